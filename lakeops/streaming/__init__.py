@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The original pipeline has no streaming source, watermark, window or state.
+Late data arrives as a re-delivered monthly file and is handled by
+reprocessing that month (``lakeops.sources.sinks.replace_months``), so no
+Structured Streaming operator is needed to match it.
+"""
