@@ -1 +1,181 @@
-"""I/O queries (registered on import)."""
+"""Registered queries that go through storage: land, read, replace, cluster,
+scan by month set, and the raw-file profile audits.
+
+Each query stages raw monthly files derived from ``events`` in a fresh
+folder below ``spark.checkpoint.dir`` (shared storage on a cluster), runs the
+operator, and returns a DataFrame that reads what was written.
+"""
+
+from __future__ import annotations
+
+from lakeops.functions.periods import month_tuple
+from lakeops.functions.schema import SERVING_COLUMNS
+from lakeops.operators import profile as P
+from lakeops.plans.oracle_sql import with_base
+from lakeops.plans.registry import register
+from lakeops.plans.silver import QUERY_MONTHS, stages_from_events
+from lakeops.session import scratch_path
+from lakeops.sources import bronze as B
+from lakeops.sources import events_trips as E
+from lakeops.sources import sinks as S
+
+SERVICES = ("yellow", "green")
+
+# Months replaced and emptied in the replace_months scenario.
+REPLACE_AGAIN = ["2024-02", "2024-05"]
+REPLACE_EMPTY = ["2024-03"]
+SCAN_MONTHS = ["2024-02", "2024-04"]
+
+
+def landed_raw(spark, sf_dir, drift=False):
+    """Stage the raw monthly files and land them; returns (root, report)."""
+    source = scratch_path(spark, "source")
+    root = scratch_path(spark, "raw")
+    E.write_raw_sources(spark, sf_dir, source, SERVICES, E.EVENT_MONTHS, drift=drift)
+    report = B.land_months(spark, source, root, SERVICES, E.EVENT_MONTHS)
+    return root, report
+
+
+@register("land_months", with_base("""
+SELECT tipo AS servico, strftime(pickup_datetime, '%Y-%m') AS ano_mes, count(*) AS registros
+  FROM trips GROUP BY tipo, strftime(pickup_datetime, '%Y-%m')"""))
+def q_land_months(spark, sf_dir):
+    _, report = landed_raw(spark, sf_dir)
+    return report
+
+
+_MONTH_IN_SCOPE = " OR ".join(
+    f"(year(pickup_datetime) = {y} AND month(pickup_datetime) = {m})"
+    for y, m in (month_tuple(s) for s in QUERY_MONTHS))
+
+
+@register("read_months", with_base(f"SELECT * FROM conformed WHERE {_MONTH_IN_SCOPE}"))
+def q_read_months(spark, sf_dir):
+    root, _ = landed_raw(spark, sf_dir)
+    return B.read_months(spark, root, SERVICES, QUERY_MONTHS)
+
+
+@register("replace_months", with_base("""
+SELECT * FROM repaired WHERE NOT (year = 2024 AND month = 3)"""))
+def q_replace_months(spark, sf_dir):
+    """First write Jan-Apr; then replace Feb and add May from a frame holding
+    every month (the other months are strays and must not be touched); then
+    replace March with no rows (March must end up empty)."""
+    st = stages_from_events(spark, sf_dir)
+    table = scratch_path(spark, "trips_table")
+    S.replace_months(spark, st.repaired, table, QUERY_MONTHS)
+    S.replace_months(spark, st.repaired, table, REPLACE_AGAIN)
+    S.replace_months(spark, st.repaired.limit(0), table, REPLACE_EMPTY)
+    return spark.read.parquet(table)
+
+
+@register("cluster_by_time", with_base("SELECT * FROM scoped"))
+def q_cluster_by_time(spark, sf_dir):
+    st = stages_from_events(spark, sf_dir)
+    table = scratch_path(spark, "trips_clustered")
+    S.replace_months(spark, st.scoped, table, QUERY_MONTHS, time_col="pickup_datetime_tratado")
+    return spark.read.parquet(table)
+
+
+_SCAN_PRED = " OR ".join(f"(year = {y} AND month = {m})" for y, m in (month_tuple(s) for s in SCAN_MONTHS))
+
+
+@register("scan_month_set", with_base(f"SELECT * FROM serving WHERE {_SCAN_PRED}"))
+def q_scan_month_set(spark, sf_dir):
+    st = stages_from_events(spark, sf_dir)
+    table = scratch_path(spark, "silver_trips")
+    S.replace_months(spark, st.scoped, table, QUERY_MONTHS, time_col="pickup_datetime_tratado")
+    source_cols = [{"pickup_datetime": "pickup_datetime_tratado",
+                    "dropoff_datetime": "dropoff_datetime_tratado"}.get(c, c) for c in SERVING_COLUMNS]
+    return S.read_table_months(spark, table, SCAN_MONTHS, source_cols,
+                               {"pickup_datetime_tratado": "pickup_datetime",
+                                "dropoff_datetime_tratado": "dropoff_datetime"})
+
+
+# ---------------------------------------------------------------------------
+# profile, missing columns, type drift
+# ---------------------------------------------------------------------------
+
+# Spark type names of the staged raw columns (oracle side).
+RAW_TYPES = {
+    "VendorID": "int", "tpep_pickup_datetime": "timestamp_ntz", "tpep_dropoff_datetime": "timestamp_ntz",
+    "lpep_pickup_datetime": "timestamp_ntz", "lpep_dropoff_datetime": "timestamp_ntz",
+    "passenger_count": "bigint", "trip_distance": "double", "RatecodeID": "bigint",
+    "store_and_fwd_flag": "string", "PULocationID": "bigint", "DOLocationID": "bigint",
+    "payment_type": "bigint", "fare_amount": "double", "extra": "double", "mta_tax": "double",
+    "tip_amount": "double", "tolls_amount": "double", "improvement_surcharge": "double",
+    "total_amount": "double", "congestion_surcharge": "double", "airport_fee": "double",
+    "ehail_fee": "double", "trip_type": "bigint",
+}
+_SQL_TYPES = {"double": "DOUBLE", "bigint": "BIGINT"}
+
+
+def _raw_columns(service):
+    """(raw name, adapter expression) pairs of a service's raw layout."""
+    exprs = E.RAW_A_EXPRS if service == "yellow" else E.RAW_B_EXPRS
+    out = []
+    for e in exprs:
+        src, _, name = e.rpartition(" AS ")
+        out.append((name, src) if src else (e, e))
+    return out
+
+
+def _profile_sql() -> str:
+    parts = []
+    for service in SERVICES:
+        for month in E.EVENT_MONTHS:
+            y, m = month_tuple(month)
+            change = E.DRIFT.get((service, month), {})
+            where = (f"tipo = '{service}' AND year(pickup_datetime) = {y} "
+                     f"AND month(pickup_datetime) = {m}")
+            for name, expr in _raw_columns(service):
+                if name in change.get("drop", []):
+                    continue
+                dtype = RAW_TYPES[name]
+                if name in change.get("retype", {}):
+                    dtype = change["retype"][name]
+                    expr = f"CAST({expr} AS {_SQL_TYPES[dtype]})"
+                out_name = change.get("rename", {}).get(name, name)
+                parts.append(
+                    f"SELECT '{service}' AS taxi_type, '{month}' AS periodo, count(*) AS total_registros, "
+                    f"'{out_name}' AS coluna, '{dtype}' AS datatype, true AS nullable, "
+                    f"CAST(min({expr}) AS VARCHAR) AS min, CAST(max({expr}) AS VARCHAR) AS max, "
+                    f"count(*) - count({expr}) AS nulls FROM trips WHERE {where}")
+    return "\n UNION ALL ".join(parts)
+
+
+_PROFILE_CTE = f", profile AS (\n{_profile_sql()}\n)\n"
+
+
+def _with_profile(final: str) -> str:
+    return with_base(_PROFILE_CTE + final)
+
+
+def _profile(spark, sf_dir):
+    root, _ = landed_raw(spark, sf_dir, drift=True)
+    return P.profile_columns(spark, root, SERVICES, E.EVENT_MONTHS)
+
+
+@register("profile_columns", _with_profile("SELECT * FROM profile"))
+def q_profile_columns(spark, sf_dir):
+    return _profile(spark, sf_dir)
+
+
+@register("missing_columns", _with_profile("""
+SELECT p.taxi_type, p.coluna, p.presente_em, t.total_periodos
+  FROM (SELECT taxi_type, coluna, count(DISTINCT periodo) AS presente_em
+          FROM profile GROUP BY taxi_type, coluna) p
+  JOIN (SELECT taxi_type, count(DISTINCT periodo) AS total_periodos
+          FROM profile GROUP BY taxi_type) t ON p.taxi_type = t.taxi_type
+ WHERE p.presente_em < t.total_periodos"""))
+def q_missing_columns(spark, sf_dir):
+    return P.missing_columns(_profile(spark, sf_dir))
+
+
+@register("type_drift", _with_profile("""
+SELECT * FROM profile
+ WHERE (taxi_type, coluna) IN (SELECT taxi_type, coluna FROM profile
+                                GROUP BY taxi_type, coluna HAVING count(DISTINCT datatype) > 1)"""))
+def q_type_drift(spark, sf_dir):
+    return P.type_drift(_profile(spark, sf_dir))
+

@@ -13,7 +13,12 @@ The raw per-service forms reproduce the two source layouts: service A
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeops.sources.bronze import source_path
 
 # The events -> trips select list (shared with the oracle).
 ADAPTER_EXPRS = [
@@ -115,3 +120,49 @@ def raw_service_frame(trips: DataFrame, service: str) -> DataFrame:
     if service == "green":
         return trips.where("tipo = 'green'").selectExpr(*RAW_B_EXPRS)
     raise ValueError(f"unknown service {service!r}")
+
+
+# Months covered by the events-derived trips.
+EVENT_MONTHS = ["2024-01", "2024-02", "2024-03", "2024-04", "2024-05"]
+
+# Schema drift written into the staged raw files, per
+# (service, month): retyped columns, dropped columns, renamed spellings.
+DRIFT = {
+    ("yellow", "2024-02"): {"retype": {"passenger_count": "double"}},
+    ("yellow", "2024-03"): {"drop": ["congestion_surcharge"]},
+    ("yellow", "2024-04"): {"rename": {"airport_fee": "Airport_fee"}},
+    ("green", "2024-03"): {"retype": {"trip_type": "double"}},
+}
+
+
+def raw_month_frame(trips: DataFrame, service: str, month: str, drift: bool = False) -> DataFrame:
+    """Raw layout of one (service, month), with the fixture drift if asked."""
+    year, mon = (int(x) for x in month.split("-"))
+    sliced = trips.where((F.year("pickup_datetime") == year) & (F.month("pickup_datetime") == mon))
+    df = raw_service_frame(sliced, service)
+    change = DRIFT.get((service, month), {}) if drift else {}
+    for c, t in change.get("retype", {}).items():
+        df = df.withColumn(c, F.col(c).cast(t))
+    for c in change.get("drop", []):
+        df = df.drop(c)
+    for a, b in change.get("rename", {}).items():
+        df = df.withColumnRenamed(a, b)
+    return df
+
+
+def write_raw_sources(spark: SparkSession, sf_dir: str, source_root: str,
+                      services=("yellow", "green"), months=None, drift: bool = False,
+                      max_parallel: int = 4) -> list[str]:
+    """Write one raw file per (service, month), as a provider would deliver
+    them, under ``source_root`` (the input of ``bronze.land_months``)."""
+    trips = trips_from_events(spark, sf_dir)
+    jobs = [(s, m) for s in services for m in (months or EVENT_MONTHS)]
+
+    def one(job):
+        s, m = job
+        path = source_path(source_root, s, m)
+        raw_month_frame(trips, s, m, drift).write.mode("overwrite").parquet(path)
+        return path
+
+    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+        return list(pool.map(one, jobs))
