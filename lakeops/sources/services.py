@@ -47,13 +47,15 @@ SERVICES = {SERVICE_A.name: SERVICE_A, SERVICE_B.name: SERVICE_B}
 SERVICE_TAG_COLUMN = "tipo"
 
 
-def standardize(df: DataFrame, spec: ServiceSpec, tag_column: str = SERVICE_TAG_COLUMN) -> DataFrame:
+def standardize(df: DataFrame, spec: ServiceSpec, tag_column: str = SERVICE_TAG_COLUMN,
+                cast: bool = True) -> DataFrame:
     """Rename, cast and tag one service's rows in a single projection.
 
     Column names named by the spec are matched ignoring case (a source may
     spell ``airport_fee`` as ``Airport_fee``). Casts are ``try_cast``: a value
     that does not fit becomes NULL instead of failing the job. Columns the spec
-    does not mention pass through unchanged.
+    does not mention pass through unchanged. ``cast=False`` keeps the raw
+    types (input of the cast-loss audit, so losses of these casts show too).
     """
     wanted = list(spec.renames) + list(spec.casts)
     actual_to_spec = {}
@@ -68,7 +70,7 @@ def standardize(df: DataFrame, spec: ServiceSpec, tag_column: str = SERVICE_TAG_
         if out_name in spec.constants or out_name == tag_column:
             continue
         expr = F.col(c)
-        if canonical in spec.casts:
+        if cast and canonical in spec.casts:
             expr = expr.try_cast(spec.casts[canonical])
         exprs.append(expr.alias(out_name))
     for name, (value, dtype) in spec.constants.items():

@@ -45,7 +45,7 @@ def cluster_by_time(df: DataFrame, time_col: str, partition_cols=("year", "month
 
 def replace_months(spark: SparkSession, df: DataFrame, table_path: str, months,
                    time_col: str | None = None, year_col: str = "year",
-                   month_col: str = "month") -> DataFrame:
+                   month_col: str = "month", num_partitions: int | None = None) -> DataFrame:
     """Replace exactly the requested months of a partitioned Parquet table.
 
     * rows of months that were not requested are not written (they are
@@ -55,6 +55,10 @@ def replace_months(spark: SparkSession, df: DataFrame, table_path: str, months,
       instead of keeping its old rows;
     * months not requested are left untouched (dynamic partition overwrite).
 
+    With ``time_col`` the rows are range-partitioned on (year, month, time)
+    and sorted (``cluster_by_time``); ``num_partitions`` fixes the number of
+    range partitions, otherwise AQE sizes them.
+
     Returns a report with one row per requested month (rows written) plus the
     stray count. Never read and replace the same table in one plan: write to
     a new location first if the input derives from ``table_path``.
@@ -70,7 +74,7 @@ def replace_months(spark: SparkSession, df: DataFrame, table_path: str, months,
     obs = Observation("replace_months")
     observed = df.observe(obs, *metrics).where(wanted)
     if time_col:
-        observed = cluster_by_time(observed, time_col, (year_col, month_col))
+        observed = cluster_by_time(observed, time_col, (year_col, month_col), num_partitions)
     (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(year_col, month_col).parquet(table_path))
     got = obs.get
