@@ -64,17 +64,23 @@ def replace_months(spark: SparkSession, df: DataFrame, table_path: str, months,
     a new location first if the input derives from ``table_path``.
     """
     months = validate_months(months)
-    wanted = month_set_predicate(months, year_col, month_col)
+    keep = F.coalesce(month_set_predicate(months, year_col, month_col), F.lit(False))
+    marked = df.withColumn("_lakeops_keep", keep)
+    if time_col:
+        marked = cluster_by_time(marked, time_col, (year_col, month_col), num_partitions)
+    # The observation sits above the range exchange: the sampling job that
+    # computes the range bounds re-runs the plan below it, so metrics taken
+    # there would be counted twice. Strays travel through the shuffle and are
+    # dropped right after it (in practice they are rare: callers pass frames
+    # scoped to the batch).
     metrics = [F.count(F.lit(1)).alias("input_rows"),
-               F.sum((~wanted | wanted.isNull()).cast("int")).alias("stray")]
+               F.sum((~F.col("_lakeops_keep")).cast("int")).alias("stray")]
     for m in months:
         y, mm = month_tuple(m)
         hit = (F.col(year_col) == y) & (F.col(month_col) == mm)
         metrics.append(F.sum(hit.cast("int")).alias(f"m_{y}_{mm}"))
     obs = Observation("replace_months")
-    observed = df.observe(obs, *metrics).where(wanted)
-    if time_col:
-        observed = cluster_by_time(observed, time_col, (year_col, month_col), num_partitions)
+    observed = marked.observe(obs, *metrics).where("_lakeops_keep").drop("_lakeops_keep")
     (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(year_col, month_col).parquet(table_path))
     got = obs.get
@@ -122,10 +128,17 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 
 def register_table(spark: SparkSession, table: str, location: str,
-                   partition_cols=("year", "month")) -> None:
-    """External Parquet table over a partitioned folder; types are inferred
-    from the files. Existing partitions are found with ``MSCK REPAIR``."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet "
+                   partition_cols=("year", "month"), schema=None) -> None:
+    """External Parquet table over a partitioned folder.
+
+    Column types come from ``schema`` or, by default, from the files (Spark
+    reads one footer; no per-column string fallback). Partitions already on
+    storage are registered with ``MSCK REPAIR``; existing registrations are
+    kept (``IF NOT EXISTS``).
+    """
+    schema = schema or spark.read.parquet(location).schema
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
               f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{location}'")
     spark.sql(f"MSCK REPAIR TABLE {table}")
 

@@ -101,3 +101,12 @@ def test_read_months_groups_by_schema(spark, tmp_dir):
     trips = E.trips_from_events(spark, SF)
     expected = trips.where("tipo = 'yellow' AND month(pickup_datetime) IN (1, 2, 4)").count()
     assert df.count() == expected
+
+
+def test_clustered_replace_reports_exact_counts(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    df = _frame(spark)
+    rep = S.replace_months(spark, df, path, ["2024-01", "2024-02"], time_col="ts")
+    got = {r.ano_mes: (r.registros, r.stray) for r in rep.collect()}
+    assert got == {"2024-01": (5, 10), "2024-02": (5, 10)}
+    assert spark.read.parquet(path).count() == 10
