@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions import expressions as X
-from lakeops.operators.quality import DEFAULT_ACCURACY
+from lakeops.operators.quality import DEFAULT_ACCURACY, DEFAULT_METHOD
 
 
 # --------------------------------------------------------------------------
@@ -81,22 +81,23 @@ def zero_rate_by(df: DataFrame, dim: str, column: str = "passenger_count",
 
 
 def stats_by_flag(df: DataFrame, flag: Column, flag_name: str, value: str = "total_amount",
-                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Per value of a (three-valued) flag: rows, mean and approximate median."""
+                  method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Per value of a (three-valued) flag: rows, mean and median."""
+    t = df.schema[value].dataType.simpleString()
     return (df.withColumn(flag_name, flag).groupBy(flag_name)
             .agg(F.count(F.lit(1)).alias("total"),
                  F.avg(value).alias(f"{value}_medio"),
-                 X.approx_median(value, accuracy).alias(f"{value}_mediano")))
+                 X.median(value, method, accuracy, t).alias(f"{value}_mediano")))
 
 
 def amount_by_null_flag(df: DataFrame, column: str = "passenger_count", value: str = "total_amount",
-                        accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    return stats_by_flag(df, F.col(column).isNull(), f"{column}_nulo", value, accuracy)
+                        method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    return stats_by_flag(df, F.col(column).isNull(), f"{column}_nulo", value, method, accuracy)
 
 
 def amount_by_zero_flag(df: DataFrame, column: str = "passenger_count", value: str = "total_amount",
-                        accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    return stats_by_flag(df, F.col(column) == 0, f"{column}_zero", value, accuracy)
+                        method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    return stats_by_flag(df, F.col(column) == 0, f"{column}_zero", value, method, accuracy)
 
 
 # --------------------------------------------------------------------------

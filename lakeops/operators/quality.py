@@ -24,8 +24,10 @@ from lakeops.functions import expressions as X
 from lakeops.functions.periods import month_bounds, month_tuple, validate_months
 from lakeops.functions.schema import AMOUNT_COMPONENTS
 
-# Accuracy of percentile_approx; 1/accuracy is the relative rank error.
-DEFAULT_ACCURACY = 1_000_000
+# Quantiles are exact by default (``method="exact"``, percentile_disc);
+# ``method="approx"`` switches to percentile_approx with this accuracy.
+DEFAULT_METHOD = "exact"
+DEFAULT_ACCURACY = X.APPROX_ACCURACY
 
 
 # --------------------------------------------------------------------------
@@ -107,20 +109,26 @@ def timestamps_changed(df: DataFrame, start: str = "pickup_datetime", end: str =
 # imputation
 # --------------------------------------------------------------------------
 
-def valid_median(df: DataFrame, column: str, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """One-row frame: approximate median of the values > 0 (lower element)."""
-    return df.where(F.col(column) > 0).agg(X.approx_median(column, accuracy).alias("mediana"))
+def _dtype(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def valid_median(df: DataFrame, column: str, method: str = DEFAULT_METHOD,
+                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """One-row frame: median of the values > 0 (lower middle for an even count)."""
+    m = X.median(column, method, accuracy, _dtype(df, column))
+    return df.where(F.col(column) > 0).agg(m.alias("mediana"))
 
 
 def impute_median(df: DataFrame, column: str = "passenger_count", out: str | None = None,
-                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                  method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Replace NULL or 0 in ``column`` by the median of its values > 0.
 
     The median comes from the same batch (it depends on which rows are in the
     frame). When no value is > 0 the median is NULL and the column is left as
     it is, so the residual report shows the NULLs/zeros instead of failing.
     """
-    median = valid_median(df, column, accuracy).scalar()
+    median = valid_median(df, column, method, accuracy).scalar()
     c = F.col(column)
     missing = c.isNull() | (c == 0)
     replaced = F.when(missing, F.coalesce(median.cast(df.schema[column].dataType), c)).otherwise(c)
@@ -128,14 +136,15 @@ def impute_median(df: DataFrame, column: str = "passenger_count", out: str | Non
 
 
 def impute_before_after(df: DataFrame, column: str = "passenger_count",
-                        accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                        method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Mean and median of ``column`` before and after imputation, one pass."""
     after = f"{column}__imputed"
-    imputed = impute_median(df, column, out=after, accuracy=accuracy)
+    imputed = impute_median(df, column, out=after, method=method, accuracy=accuracy)
+    t = _dtype(df, column)
     return imputed.agg(F.avg(column).alias("media_antes"),
-                       X.approx_median(column, accuracy).alias("mediana_antes"),
+                       X.median(column, method, accuracy, t).alias("mediana_antes"),
                        F.avg(after).alias("media_depois"),
-                       X.approx_median(after, accuracy).alias("mediana_depois"))
+                       X.median(after, method, accuracy, t).alias("mediana_depois"))
 
 
 def impute_residual(df: DataFrame, column: str = "passenger_count") -> DataFrame:
@@ -193,24 +202,24 @@ def out_of_period_detail(df: DataFrame, months, date_col: str = "data_corrida",
 # IQR outliers and duration bands
 # --------------------------------------------------------------------------
 
-def numeric_summary(df: DataFrame, column: str = "total_amount",
+def numeric_summary(df: DataFrame, column: str = "total_amount", method: str = DEFAULT_METHOD,
                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """count, mean, stddev, min, quartiles, max of one column, typed."""
-    c = F.col(column)
-    q = F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
-    return (df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"),
-                   F.stddev_samp(c).alias("stddev"), F.min(c).alias("min"), q.alias("q"),
-                   F.max(c).alias("max"))
-            .select("count", "mean", "stddev", "min",
-                    F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
-                    F.col("q")[2].alias("p75"), "max"))
+    c, t = F.col(column), _dtype(df, column)
+    return df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"),
+                  F.stddev_samp(c).alias("stddev"), F.min(c).alias("min"),
+                  X.quantile(column, 0.25, method, accuracy, t).alias("p25"),
+                  X.quantile(column, 0.5, method, accuracy, t).alias("p50"),
+                  X.quantile(column, 0.75, method, accuracy, t).alias("p75"),
+                  F.max(c).alias("max"))
 
 
 def iqr_bounds(df: DataFrame, column: str = "total_amount", factor: float = 1.5,
-               accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+               method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """One row: q1, q3, iqr, lower = q1 - factor*iqr, upper = q3 + factor*iqr."""
-    q = df.agg(F.percentile_approx(column, [0.25, 0.75], accuracy).alias("q"))
-    q = q.select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+    t = _dtype(df, column)
+    q = df.agg(X.quantile(column, 0.25, method, accuracy, t).alias("q1"),
+               X.quantile(column, 0.75, method, accuracy, t).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return q.select("q1", "q3", iqr.alias("iqr"),
                     (F.col("q1") - factor * iqr).alias("limite_inferior"),
@@ -218,20 +227,21 @@ def iqr_bounds(df: DataFrame, column: str = "total_amount", factor: float = 1.5,
 
 
 def flag_outliers(df: DataFrame, column: str = "total_amount", out: str = "outlier",
-                  factor: float = 1.5, accuracy: int = DEFAULT_ACCURACY,
+                  factor: float = 1.5, method: str = DEFAULT_METHOD,
+                  accuracy: int = DEFAULT_ACCURACY,
                   bounds_from: DataFrame | None = None) -> DataFrame:
     """Boolean ``out``: value outside the IQR bounds (NULL value -> NULL).
 
     The bounds are a scalar subquery over ``bounds_from`` (default: ``df``).
     """
-    b = iqr_bounds(bounds_from if bounds_from is not None else df, column, factor, accuracy)
+    b = iqr_bounds(bounds_from if bounds_from is not None else df, column, factor, method, accuracy)
     s = b.select(F.struct("limite_inferior", "limite_superior").alias("b")).scalar()
     return df.withColumn(out, X.outside(column, s["limite_inferior"], s["limite_superior"]))
 
 
 def iqr_outlier_counts(df: DataFrame, column: str = "total_amount",
-                       accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    return (flag_outliers(df, column, accuracy=accuracy)
+                       method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    return (flag_outliers(df, column, method=method, accuracy=accuracy)
             .groupBy("outlier").agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -240,9 +250,10 @@ def top_outliers(df: DataFrame, column: str = "total_amount", k: int = 20,
                                            "passenger_count", "trip_distance", "fare_amount",
                                            "tip_amount", "tolls_amount", "airport_fee",
                                            "total_amount"),
-                 tie_break: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                 tie_break: Sequence[str] = (), method: str = DEFAULT_METHOD,
+                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """The ``k`` largest outliers (top-k: TakeOrderedAndProject, no full sort)."""
-    flagged = flag_outliers(df, column, accuracy=accuracy).where(F.col("outlier"))
+    flagged = flag_outliers(df, column, method=method, accuracy=accuracy).where(F.col("outlier"))
     order = [F.col(column).desc()] + [F.col(c).asc_nulls_last() for c in tie_break]
     return flagged.orderBy(*order).limit(k).select(*columns)
 
@@ -255,7 +266,7 @@ def trip_duration(df: DataFrame, start: str = "pickup_datetime_tratado",
 
 def outliers_by_band(df: DataFrame, amount: str = "total_amount",
                      start: str = "pickup_datetime_tratado", end: str = "dropoff_datetime_tratado",
-                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                     method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Per duration band: trips, mean duration, mean/max amount, outlier count,
     mean and exact median of the outliers' amounts.
 
@@ -265,7 +276,7 @@ def outliers_by_band(df: DataFrame, amount: str = "total_amount",
     each executor, so memory grows with distinct amounts, not with rows.
     """
     timed = trip_duration(df, start, end)
-    flagged = flag_outliers(timed, amount, accuracy=accuracy, bounds_from=df)
+    flagged = flag_outliers(timed, amount, method=method, accuracy=accuracy, bounds_from=df)
     banded = flagged.withColumn("faixa_duracao", X.duration_band("duracao_minutos"))
     o = F.col("outlier")
     return (banded.groupBy("faixa_duracao")

@@ -75,7 +75,7 @@ def raw_standardized(spark: SparkSession, raw_root: str, months, cast: bool,
 
 
 def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
-               reports_path: str, accuracy: int = Q.DEFAULT_ACCURACY,
+               reports_path: str, method: str = Q.DEFAULT_METHOD,
                services=SERVICE_NAMES) -> dict:
     """Raw months -> typed, repaired trips; reports; month replacement."""
     months = validate_months(months)
@@ -90,7 +90,7 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
     typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
     scoped = None
     try:
-        imputed = Q.impute_median(typed, "passenger_count", accuracy=accuracy)
+        imputed = Q.impute_median(typed, "passenger_count", method=method)
         repaired = Q.order_timestamps(imputed)
         first = {
             "cast_loss": A.cast_loss(union_plain, SILVER_SCHEMA),
@@ -100,9 +100,9 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
             "volume_by_vendor": A.volume_by(typed, "VendorID"),
             "passenger_distribution": A.value_distribution(typed, "passenger_count"),
             "passenger_rates": BU.rate_bundle(typed),
-            "amount_by_null_flag": A.amount_by_null_flag(typed, accuracy=accuracy),
-            "amount_by_zero_flag": A.amount_by_zero_flag(typed, accuracy=accuracy),
-            "impute_before_after": Q.impute_before_after(typed, accuracy=accuracy),
+            "amount_by_null_flag": A.amount_by_null_flag(typed, method=method),
+            "amount_by_zero_flag": A.amount_by_zero_flag(typed, method=method),
+            "impute_before_after": Q.impute_before_after(typed, method=method),
             "impute_residual": Q.impute_residual(imputed),
             "timestamp_problems": Q.timestamp_problems(imputed),
             "timestamp_checks": BU.timestamp_bundle(repaired),
@@ -113,12 +113,12 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
         scoped = Q.filter_period(repaired, months).persist(StorageLevel.MEMORY_AND_DISK)
         typed.unpersist()
         second = {
-            "amount_summary": Q.numeric_summary(scoped, accuracy=accuracy),
-            "iqr_bounds": Q.iqr_bounds(scoped, accuracy=accuracy),
-            "iqr_outliers": Q.iqr_outlier_counts(scoped, accuracy=accuracy),
-            "top_outliers": Q.top_outliers(scoped, accuracy=accuracy,
+            "amount_summary": Q.numeric_summary(scoped, method=method),
+            "iqr_bounds": Q.iqr_bounds(scoped, method=method),
+            "iqr_outliers": Q.iqr_outlier_counts(scoped, method=method),
+            "top_outliers": Q.top_outliers(scoped, method=method,
                                            tie_break=("pickup_datetime", "tipo")),
-            "outliers_by_band": Q.outliers_by_band(scoped, accuracy=accuracy),
+            "outliers_by_band": Q.outliers_by_band(scoped, method=method),
             "negatives": Q.negatives_summary(scoped),
             "negatives_by_month": Q.negatives_by(scoped, ["year", "month"]),
             "negatives_by_date": Q.negatives_by(scoped, ["data_corrida"]),

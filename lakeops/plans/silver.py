@@ -42,9 +42,9 @@ def typed_trips(raw: Mapping[str, DataFrame]) -> DataFrame:
     return Q.add_date_parts(conform_services(raw), "pickup_datetime")
 
 
-def repaired_trips(typed: DataFrame, accuracy: int = Q.DEFAULT_ACCURACY) -> DataFrame:
+def repaired_trips(typed: DataFrame, method: str = Q.DEFAULT_METHOD) -> DataFrame:
     """Imputed passenger count, ordered timestamps, re-derived date parts."""
-    return Q.order_timestamps(Q.impute_median(typed, "passenger_count", accuracy=accuracy))
+    return Q.order_timestamps(Q.impute_median(typed, "passenger_count", method=method))
 
 
 @dataclass
@@ -58,10 +58,10 @@ class TripStages:
     metrics: DataFrame
 
 
-def build_stages(raw: Mapping[str, DataFrame], months, accuracy: int = Q.DEFAULT_ACCURACY,
+def build_stages(raw: Mapping[str, DataFrame], months, method: str = Q.DEFAULT_METHOD,
                  period_mode: str = "range") -> TripStages:
     typed = typed_trips(raw)
-    imputed = Q.impute_median(typed, "passenger_count", accuracy=accuracy)
+    imputed = Q.impute_median(typed, "passenger_count", method=method)
     repaired = Q.order_timestamps(imputed)
     scoped = Q.filter_period(repaired, months, mode=period_mode)
     serving = M.serving_trips(scoped)

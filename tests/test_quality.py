@@ -147,3 +147,13 @@ def test_negatives_by_vendor_shows_zero(spark):
     df = spark.createDataFrame([(1, -1.0), (1, 2.0), (2, 3.0)], "VendorID int, total_amount double")
     got = {r.VendorID: r.total_negativos for r in Q.negatives_by_vendor(df).collect()}
     assert got == {1: 1, 2: 0}
+
+
+def test_approx_method_close_to_exact(spark):
+    df = spark.range(1, 10001).selectExpr("cast(id as double) AS total_amount")
+    exact = Q.iqr_bounds(df).collect()[0]
+    approx = Q.iqr_bounds(df, method="approx").collect()[0]
+    assert (exact.q1, exact.q3) == (2500.0, 7500.0)
+    assert abs(approx.q1 - exact.q1) <= 2 and abs(approx.q3 - exact.q3) <= 2
+    with pytest.raises(ValueError):
+        Q.iqr_bounds(df, method="bogus")
