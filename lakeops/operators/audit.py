@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions import expressions as X
+from lakeops.functions.schema import try_cast_column
 from lakeops.operators.quality import DEFAULT_ACCURACY, DEFAULT_METHOD
 
 
@@ -115,7 +116,7 @@ def cast_loss(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
         aggs.append(F.count(F.col(c)).alias(f"b{i}"))
-        aggs.append(F.count(F.col(c).try_cast(schema[c])).alias(f"a{i}"))
+        aggs.append(F.count(try_cast_column(df, c, schema[c])).alias(f"a{i}"))
     wide = df.agg(*aggs)
     stack = ", ".join(f"'{c}', b{i}, a{i}" for i, c in enumerate(cols))
     long = wide.selectExpr(f"stack({len(cols)}, {stack}) AS (coluna, antes, depois)")

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.functions.schema import resolve_column
+from lakeops.functions.schema import resolve_column, try_cast_column
 
 
 @dataclass(frozen=True)
@@ -69,9 +69,9 @@ def standardize(df: DataFrame, spec: ServiceSpec, tag_column: str = SERVICE_TAG_
         out_name = spec.renames.get(canonical, canonical)
         if out_name in spec.constants or out_name == tag_column:
             continue
-        expr = F.col(c)
+        expr = F.col(f"`{c}`")
         if cast and canonical in spec.casts:
-            expr = expr.try_cast(spec.casts[canonical])
+            expr = try_cast_column(df, c, spec.casts[canonical])
         exprs.append(expr.alias(out_name))
     for name, (value, dtype) in spec.constants.items():
         exprs.append(F.lit(value).cast(dtype).alias(name))

@@ -72,3 +72,14 @@ def test_adapter_without_cast_keeps_raw_types(spark):
     df = spark.createDataFrame([(1, 2.5)], "VendorID long, passenger_count double")
     out = standardize(df, SERVICE_B, cast=False)
     assert dict(out.dtypes)["passenger_count"] == "double"
+
+
+def test_integral_fast_path_matches_try_cast(spark):
+    from pyspark.sql import functions as F
+    from lakeops.functions.schema import try_cast_column
+    vals = [" 12 ", "+3", "-4", "1.5", "1.0", "", "\t7\n", "1e3", "abc", "12a", "9999999999",
+            "0x10", ".5", "5.", "+", "--1", "1 2", None]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    for t in ("int", "bigint", "smallint", "tinyint"):
+        rows = df.select(F.col("s").try_cast(t).alias("a"), try_cast_column(df, "s", t).alias("b")).collect()
+        assert all(r.a == r.b for r in rows), t
