@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions import expressions as X
-from lakeops.functions.schema import try_cast_column
+from lakeops.functions.schema import quote, sql_literal, try_cast_sql
 from lakeops.operators.quality import DEFAULT_ACCURACY, DEFAULT_METHOD
 
 
@@ -115,13 +115,11 @@ def cast_loss(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     cols = [c for c in schema if c in df.columns]
     aggs = []
     for i, c in enumerate(cols):
-        aggs.append(F.count(F.col(c)).alias(f"b{i}"))
-        aggs.append(F.count(try_cast_column(df, c, schema[c])).alias(f"a{i}"))
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', b{i}, a{i}" for i, c in enumerate(cols))
-    long = wide.selectExpr(f"stack({len(cols)}, {stack}) AS (coluna, antes, depois)")
-    return (long.withColumn("perdidos", F.col("antes") - F.col("depois"))
-            .withColumn("pct_perdido",
-                        F.when(F.col("antes") > 0,
-                               F.round(F.col("perdidos") / F.col("antes") * 100, 4))
-                         .otherwise(F.lit(0.0))))
+        aggs.append(f"count({quote(c)}) AS b{i}")
+        aggs.append(f"count({try_cast_sql(df, c, schema[c])}) AS a{i}")
+    wide = df.selectExpr(*aggs)          # a global aggregate, one JVM call
+    stack = ", ".join(f"{sql_literal(c)}, b{i}, a{i}" for i, c in enumerate(cols))
+    return wide.selectExpr(
+        f"stack({len(cols)}, {stack}) AS (coluna, antes, depois)").selectExpr(
+        "coluna", "antes", "depois", "antes - depois AS perdidos",
+        "CASE WHEN antes > 0 THEN round((antes - depois) / antes * 100, 4) ELSE 0.0D END AS pct_perdido")

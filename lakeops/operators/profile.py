@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.functions.schema import quote, sql_literal
 from lakeops.sources.bronze import month_leaves
 
 PROFILE_SCHEMA = ("taxi_type string, periodo string, total_registros bigint, coluna string, "
@@ -21,23 +22,28 @@ PROFILE_SCHEMA = ("taxi_type string, periodo string, total_registros bigint, col
 
 
 def profile_frame(df: DataFrame, service: str, period: str) -> DataFrame:
-    """Long-form profile of every column of ``df``: rows, type, min, max, nulls."""
+    """Long-form profile of every column of ``df``: rows, type, min, max, nulls.
+
+    One global aggregate over all columns, then ``stack`` to one row per
+    column; both steps are SQL text sent in one call each.
+    """
     fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    aggs = ["count(1) AS _rows"]
     for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        aggs += [F.min(c).cast("string").alias(f"mn{i}"), F.max(c).cast("string").alias(f"mx{i}"),
-                 F.count(c).alias(f"nn{i}")]
-    wide = df.agg(*aggs)
-    entries = [F.struct(F.lit(f.name).alias("coluna"), F.lit(f.dataType.simpleString()).alias("datatype"),
-                        F.lit(f.nullable).alias("nullable"), F.col(f"mn{i}").alias("min"),
-                        F.col(f"mx{i}").alias("max"), F.col(f"nn{i}").alias("nn"))
-               for i, f in enumerate(fields)]
-    long = wide.select("_rows", F.explode(F.array(*entries)).alias("e"))
-    return long.select(
-        F.lit(service).alias("taxi_type"), F.lit(period).alias("periodo"),
-        F.col("_rows").alias("total_registros"), "e.coluna", "e.datatype", "e.nullable",
-        "e.min", "e.max", (F.col("_rows") - F.col("e.nn")).alias("nulls"))
+        q = quote(f.name)
+        aggs += [f"CAST(min({q}) AS STRING) AS mn{i}", f"CAST(max({q}) AS STRING) AS mx{i}",
+                 f"count({q}) AS nn{i}"]
+    wide = df.selectExpr(*aggs)
+    entries = ", ".join(
+        f"{sql_literal(f.name)}, {sql_literal(f.dataType.simpleString())}, "
+        f"{'true' if f.nullable else 'false'}, mn{i}, mx{i}, nn{i}"
+        for i, f in enumerate(fields))
+    long = wide.selectExpr("_rows", f"stack({len(fields)}, {entries}) "
+                                    "AS (coluna, datatype, nullable, min, max, nn)")
+    return long.selectExpr(
+        f"{sql_literal(service)} AS taxi_type", f"{sql_literal(period)} AS periodo",
+        "_rows AS total_registros", "coluna", "datatype", "nullable", "min", "max",
+        "_rows - nn AS nulls")
 
 
 def profile_columns(spark: SparkSession, root: str, services: Iterable[str], months) -> DataFrame:

@@ -10,9 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from lakeops.functions.schema import resolve_column, try_cast_column
+from lakeops.functions.schema import quote, resolve_column, sql_literal, try_cast_sql
 
 
 @dataclass(frozen=True)
@@ -69,11 +68,13 @@ def standardize(df: DataFrame, spec: ServiceSpec, tag_column: str = SERVICE_TAG_
         out_name = spec.renames.get(canonical, canonical)
         if out_name in spec.constants or out_name == tag_column:
             continue
-        expr = F.col(f"`{c}`")
         if cast and canonical in spec.casts:
-            expr = try_cast_column(df, c, spec.casts[canonical])
-        exprs.append(expr.alias(out_name))
+            expr = try_cast_sql(df, c, spec.casts[canonical])
+        else:
+            expr = quote(c)
+        exprs.append(f"{expr} AS {quote(out_name)}")
     for name, (value, dtype) in spec.constants.items():
-        exprs.append(F.lit(value).cast(dtype).alias(name))
-    exprs.append(F.lit(spec.name).alias(tag_column))
-    return df.select(*exprs)
+        exprs.append(f"CAST({sql_literal(value)} AS {dtype}) AS {quote(name)}")
+    exprs.append(f"{sql_literal(spec.name)} AS {quote(tag_column)}")
+    # one selectExpr: a single call to the JVM whatever the number of columns
+    return df.selectExpr(*exprs)
