@@ -179,3 +179,24 @@ SELECT * FROM profile
 def q_type_drift(spark, sf_dir):
     return P.type_drift(_profile(spark, sf_dir))
 
+
+
+# Fixed value: the panel's free query over the month it opens on.
+PANEL_QUERY = """SELECT tipo, year, month, hora_do_dia,
+       ROUND(SUM(soma_passenger_count) / SUM(qtd_corridas), 2) AS media_passenger_count
+  FROM trip_metrics GROUP BY tipo, year, month, hora_do_dia"""
+
+
+@register("panel_free_query", with_base("""
+SELECT tipo, year, month, hora_do_dia,
+       round(sum(soma_passenger_count) / sum(qtd_corridas), 2) AS media_passenger_count
+  FROM metrics GROUP BY tipo, year, month, hora_do_dia"""))
+def q_panel_free_query(spark, sf_dir):
+    """Serving tables written, exposed as views, queried with the row cap."""
+    from lakeops.plans.panel import free_query, register_views
+    st = stages_from_events(spark, sf_dir)
+    trips, metrics = scratch_path(spark, "gold_trips"), scratch_path(spark, "gold_metrics")
+    S.replace_months(spark, st.serving, trips, QUERY_MONTHS, time_col="pickup_datetime")
+    S.replace_months(spark, st.metrics, metrics, QUERY_MONTHS)
+    register_views(spark, trips, metrics)
+    return free_query(spark, PANEL_QUERY)

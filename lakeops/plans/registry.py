@@ -605,3 +605,51 @@ SELECT year, month, pickup_datetime, fare_amount, extra, mta_tax, tip_amount, to
   FROM negs WHERE abs(round(total_amount - total_calculado, 4)) > 0.01e0"""))
 def q_recompose_mismatch(spark, sf_dir):
     return Q.recompose_mismatch(_st(spark, sf_dir).scoped)
+
+
+# ---------------------------------------------------------------------------
+# fused reports (one scan each; equal to the unfused ones above)
+# ---------------------------------------------------------------------------
+
+def _bundle_part(dim: str, value: str, where: str = "") -> str:
+    w = f" WHERE {where}" if where else ""
+    return f"""SELECT '{dim}' AS dimensao, CAST({value} AS VARCHAR) AS valor, count(*) AS total,
+       CAST(sum(CAST(passenger_count IS NULL AS INTEGER)) AS BIGINT) AS passenger_count_nulo,
+       CAST(sum(CAST(passenger_count = 0 AS INTEGER)) AS BIGINT) AS passenger_count_zero,
+       round(sum(CAST(passenger_count IS NULL AS INTEGER)) / count(*) * 100, 2) AS pct_passenger_count_nulo,
+       round(sum(CAST(passenger_count = 0 AS INTEGER)) / count(*) * 100, 2) AS pct_passenger_count_zero
+  FROM typed{w} GROUP BY {value}"""
+
+
+@register("rate_bundle", with_base(
+    _bundle_part("VendorID", "VendorID") + "\nUNION ALL\n"
+    + _bundle_part("trip_type", "trip_type", "tipo = 'green'") + "\nUNION ALL\n"
+    + _bundle_part("store_and_fwd_flag", "store_and_fwd_flag")))
+def q_rate_bundle(spark, sf_dir):
+    from lakeops.operators.bundle import rate_bundle
+    return rate_bundle(_st(spark, sf_dir).typed)
+
+
+@register("timestamp_bundle", with_base("""
+SELECT f.total_inconsistentes, f.store_and_fwd_flag_preenchido,
+       g.ate_1_min, g.de_1_a_5_min, g.de_5_a_60_min, g.acima_60_min,
+       r.ainda_invertidos, r.pickup_alterado, r.dropoff_alterado
+  FROM (SELECT count(*) AS total_inconsistentes,
+               count(store_and_fwd_flag) AS store_and_fwd_flag_preenchido
+          FROM repaired WHERE dropoff_datetime < pickup_datetime) f,
+       (SELECT CAST(sum(CAST(gap <= 1 AS INTEGER)) AS BIGINT) AS ate_1_min,
+               CAST(sum(CAST(gap > 1 AND gap <= 5 AS INTEGER)) AS BIGINT) AS de_1_a_5_min,
+               CAST(sum(CAST(gap > 5 AND gap <= 60 AS INTEGER)) AS BIGINT) AS de_5_a_60_min,
+               CAST(sum(CAST(gap > 60 AS INTEGER)) AS BIGINT) AS acima_60_min
+          FROM (SELECT (floor(epoch(pickup_datetime)) - floor(epoch(dropoff_datetime))) / 60e0 AS gap
+                  FROM repaired WHERE dropoff_datetime < pickup_datetime)) g,
+       (SELECT CAST(sum(CAST(dropoff_datetime_tratado < pickup_datetime_tratado AS INTEGER)) AS BIGINT)
+                 AS ainda_invertidos,
+               CAST(sum(CAST(pickup_datetime <> pickup_datetime_tratado AS INTEGER)) AS BIGINT)
+                 AS pickup_alterado,
+               CAST(sum(CAST(dropoff_datetime <> dropoff_datetime_tratado AS INTEGER)) AS BIGINT)
+                 AS dropoff_alterado
+          FROM repaired) r"""))
+def q_timestamp_bundle(spark, sf_dir):
+    from lakeops.operators.bundle import timestamp_bundle
+    return timestamp_bundle(_st(spark, sf_dir).repaired)
