@@ -197,6 +197,6 @@ def q_panel_free_query(spark, sf_dir):
     st = stages_from_events(spark, sf_dir)
     trips, metrics = scratch_path(spark, "gold_trips"), scratch_path(spark, "gold_metrics")
     S.replace_months(spark, st.serving, trips, QUERY_MONTHS, time_col="pickup_datetime")
-    S.replace_months(spark, st.metrics, metrics, QUERY_MONTHS)
+    S.replace_months(spark, st.metrics, metrics, QUERY_MONTHS, small=True)
     register_views(spark, trips, metrics)
     return free_query(spark, PANEL_QUERY)

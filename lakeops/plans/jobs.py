@@ -152,7 +152,7 @@ def gold_job(spark: SparkSession, silver_path: str, trips_path: str, metrics_pat
     written_trips = S.replace_months(spark, serving, trips_path, months, time_col="pickup_datetime")
     # metrics are computed from the table just written (short lineage, pruned scan)
     trips = S.read_table_months(spark, trips_path, months)
-    written_metrics = S.replace_months(spark, M.hourly_metrics(trips), metrics_path, months)
+    written_metrics = S.replace_months(spark, M.hourly_metrics(trips), metrics_path, months, small=True)
     metrics = spark.read.parquet(metrics_path)
     reports = {
         "trips_written": written_trips,

@@ -45,7 +45,8 @@ def cluster_by_time(df: DataFrame, time_col: str, partition_cols=("year", "month
 
 def replace_months(spark: SparkSession, df: DataFrame, table_path: str, months,
                    time_col: str | None = None, year_col: str = "year",
-                   month_col: str = "month", num_partitions: int | None = None) -> DataFrame:
+                   month_col: str = "month", num_partitions: int | None = None,
+                   small: bool = False) -> DataFrame:
     """Replace exactly the requested months of a partitioned Parquet table.
 
     * rows of months that were not requested are not written (they are
@@ -57,7 +58,9 @@ def replace_months(spark: SparkSession, df: DataFrame, table_path: str, months,
 
     With ``time_col`` the rows are range-partitioned on (year, month, time)
     and sorted (``cluster_by_time``); ``num_partitions`` fixes the number of
-    range partitions, otherwise AQE sizes them.
+    range partitions, otherwise AQE sizes them. ``small=True`` is for tiny
+    aggregated tables: one shuffle to a single task after the aggregation
+    (which keeps its own parallelism), so each month is one file.
 
     Returns a report with one row per requested month (rows written) plus the
     stray count. Never read and replace the same table in one plan: write to
@@ -68,6 +71,8 @@ def replace_months(spark: SparkSession, df: DataFrame, table_path: str, months,
     marked = df.withColumn("_lakeops_keep", keep)
     if time_col:
         marked = cluster_by_time(marked, time_col, (year_col, month_col), num_partitions)
+    elif small:
+        marked = marked.repartition(1)
     # The observation sits above the range exchange: the sampling job that
     # computes the range bounds re-runs the plan below it, so metrics taken
     # there would be counted twice. Strays travel through the shuffle and are
@@ -112,13 +117,6 @@ def read_table_months(spark: SparkSession, table_path: str, months=None,
     return df
 
 
-def write_small(df: DataFrame, path: str, partition_cols=("year", "month"), mode="overwrite") -> None:
-    """Small aggregated tables: one shuffle to a single task after the
-    aggregation (which keeps its own parallelism), then one file per month."""
-    df.repartition(1).write.mode(mode).option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*partition_cols).parquet(path)
-
-
 # ---------------------------------------------------------------------------
 # catalog registration and documentation
 # ---------------------------------------------------------------------------
@@ -164,6 +162,13 @@ def document_table(spark: SparkSession, table: str, comment: str) -> None:
     spark.sql(f"COMMENT ON TABLE {table} IS '{text}'")
 
 
+def set_table_properties(spark: SparkSession, table: str, props: Mapping[str, str]) -> None:
+    """``ALTER TABLE ... SET TBLPROPERTIES``. Parquet footers already keep
+    per-column min/max, which is what file skipping on ``tipo`` relies on."""
+    items = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({items})")
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 

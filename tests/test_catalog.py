@@ -12,6 +12,9 @@ def test_register_document_and_partitions(spark, tmp_dir):
     S.document_table(spark, "lakeops_test.trips_ext", "trip table for tests")
     desc = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED lakeops_test.trips_ext").collect()}
     assert desc.get("Comment") == "trip table for tests"
+    S.set_table_properties(spark, "lakeops_test.trips_ext", {"lakeops.metrics.tipo": "full"})
+    props = {r[0]: r[1] for r in spark.sql("SHOW TBLPROPERTIES lakeops_test.trips_ext").collect()}
+    assert props.get("lakeops.metrics.tipo") == "full"
     commented = S.with_column_comments(df, {"id": "row id", "year": "partition year"})
     assert commented.schema["year"].metadata["comment"] == "partition year"
     spark.sql("DROP TABLE lakeops_test.trips_ext")

@@ -110,3 +110,11 @@ def test_clustered_replace_reports_exact_counts(spark, tmp_dir):
     got = {r.ano_mes: (r.registros, r.stray) for r in rep.collect()}
     assert got == {"2024-01": (5, 10), "2024-02": (5, 10)}
     assert spark.read.parquet(path).count() == 10
+
+
+def test_small_table_one_file_per_month(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    S.replace_months(spark, _frame(spark).repartition(6), path, ["2024-01", "2024-02"], small=True)
+    for m in (1, 2):
+        files = glob.glob(os.path.join(local_path(path), "year=2024", f"month={m}", "*.parquet"))
+        assert len(files) == 1
