@@ -1,4 +1,9 @@
-"""Column builders shared by the operators (all JVM-side, codegen-friendly)."""
+"""Column builders shared by the operators (all JVM-side, codegen-friendly).
+
+Expressions are written as Spark SQL text and turned into a Column with one
+``F.expr`` call: the same Catalyst expression as the equivalent chain of
+``F.*`` calls, built with one call to the JVM instead of one per node.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lakeops.functions import labels as L
+from lakeops.functions.schema import quote, sql_literal
 
 
 def col(c: str | Column) -> Column:
@@ -19,38 +25,53 @@ def count_if(pred: Column) -> Column:
     return F.sum(pred.cast("int"))
 
 
+def count_if_sql(pred: str) -> str:
+    """SQL text of ``count_if``: NULL when every row of the group is NULL."""
+    return f"sum(CAST(({pred}) AS INT))"
+
+
 def pct(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(part / whole * 100, digits)
 
 
-def duration_minutes(start: str, end: str) -> Column:
+def duration_minutes_sql(start: str, end: str) -> str:
     """Whole-second difference ``end - start`` in minutes, as a double."""
-    return (F.unix_timestamp(F.col(end)) - F.unix_timestamp(F.col(start))) / 60.0
+    return f"((unix_timestamp({quote(end)}) - unix_timestamp({quote(start)})) / 60.0D)"
+
+
+def duration_minutes(start: str, end: str) -> Column:
+    return F.expr(duration_minutes_sql(start, end))
+
+
+def duration_band_sql(minutes: str) -> str:
+    m = quote(minutes)
+    whens = " ".join(f"WHEN {m} < {upper} THEN {sql_literal(label)}" for upper, label in L.DURATION_BANDS)
+    return f"CASE {whens} ELSE {sql_literal(L.DURATION_BAND_LAST)} END"
+
+
+def duration_band(minutes: str) -> Column:
+    return F.expr(duration_band_sql(minutes))
 
 
-def duration_band(minutes: str | Column) -> Column:
-    m = col(minutes)
-    chain = None
-    for upper, label in L.DURATION_BANDS:
-        chain = F.when(m < upper, label) if chain is None else chain.when(m < upper, label)
-    return chain.otherwise(L.DURATION_BAND_LAST)
+def timestamp_problem_sql(start: str, end: str) -> str:
+    s, e = quote(start), quote(end)
+    return (f"CASE WHEN {s} IS NULL THEN {sql_literal(L.PICKUP_NULL)} "
+            f"WHEN {e} IS NULL THEN {sql_literal(L.DROPOFF_NULL)} "
+            f"WHEN {e} < {s} THEN {sql_literal(L.DROPOFF_BEFORE_PICKUP)} "
+            f"ELSE {sql_literal(L.VALID)} END")
 
 
 def timestamp_problem(start: str, end: str) -> Column:
-    s, e = F.col(start), F.col(end)
-    return (F.when(s.isNull(), L.PICKUP_NULL)
-             .when(e.isNull(), L.DROPOFF_NULL)
-             .when(e < s, L.DROPOFF_BEFORE_PICKUP)
-             .otherwise(L.VALID))
+    return F.expr(timestamp_problem_sql(start, end))
 
 
-def recomposed_total(components: Sequence[str]) -> Column:
+def recomposed_total_sql(components: Sequence[str]) -> str:
     """Sum of the components with NULL read as 0.0, added left to right."""
-    total = None
-    for c in components:
-        term = F.coalesce(F.col(c), F.lit(0.0))
-        total = term if total is None else total + term
-    return total
+    return "(" + " + ".join(f"coalesce({quote(c)}, 0.0D)" for c in components) + ")"
+
+
+def recomposed_total(components: Sequence[str]) -> Column:
+    return F.expr(recomposed_total_sql(components))
 
 
 def outside(value: str | Column, lower: Column, upper: Column) -> Column:
@@ -63,8 +84,8 @@ def outside(value: str | Column, lower: Column, upper: Column) -> Column:
 APPROX_ACCURACY = 10_000
 
 
-def quantile(name: str, p: float, method: str = "exact", accuracy: int = APPROX_ACCURACY,
-             dtype: str | None = None) -> Column:
+def quantile_sql(name: str, p: float, method: str = "exact", accuracy: int = APPROX_ACCURACY,
+                 dtype: str | None = None) -> str:
     """Discrete quantile of column ``name``: the smallest value whose
     cumulative share reaches ``p`` (the lower middle value for an even count).
 
@@ -75,14 +96,20 @@ def quantile(name: str, p: float, method: str = "exact", accuracy: int = APPROX_
     buffer bounded by ``accuracy`` whatever the number of distinct values -
     the choice for columns with unbounded distinct values.
     """
+    q = quote(name)
     if method == "exact":
-        out = F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY `{name}`)")
-        return out.cast(dtype) if dtype else out
+        out = f"percentile_disc({float(p)!r}D) WITHIN GROUP (ORDER BY {q})"
+        return f"CAST({out} AS {dtype})" if dtype else out
     if method == "approx":
-        return F.percentile_approx(F.col(name), p, accuracy)
+        return f"percentile_approx({q}, {float(p)!r}D, {int(accuracy)})"
     raise ValueError(f"unknown quantile method {method!r}")
 
 
+def quantile(name: str, p: float, method: str = "exact", accuracy: int = APPROX_ACCURACY,
+             dtype: str | None = None) -> Column:
+    return F.expr(quantile_sql(name, p, method, accuracy, dtype))
+
+
 def median(name: str, method: str = "exact", accuracy: int = APPROX_ACCURACY,
            dtype: str | None = None) -> Column:
     return quantile(name, 0.5, method, accuracy, dtype)

@@ -24,10 +24,11 @@ from lakeops.operators.quality import DEFAULT_ACCURACY, DEFAULT_METHOD
 
 def rows_by_source(df: DataFrame, source: str = "tipo", total_label: str = "total") -> DataFrame:
     """Rows per source plus a total row, in one aggregation (rollup)."""
+    q = quote(source)
     return (df.rollup(source)
-            .agg(F.count(F.lit(1)).alias("registros"), F.grouping(source).alias("_g"))
-            .select(F.when(F.col("_g") == 1, F.lit(total_label)).otherwise(F.col(source)).alias("fonte"),
-                    "registros"))
+            .agg(F.expr("count(1) AS registros"), F.expr(f"grouping({q}) AS _g"))
+            .selectExpr(f"CASE WHEN _g = 1 THEN {sql_literal(total_label)} ELSE {q} END AS fonte",
+                        "registros"))
 
 
 def exact_duplicates(df: DataFrame) -> DataFrame:
@@ -37,24 +38,24 @@ def exact_duplicates(df: DataFrame) -> DataFrame:
     collapse in the map-side partial aggregation before the shuffle); the
     total is the sum of the group sizes, the distinct count the group count.
     """
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return (groups.agg(F.sum("_n").alias("registros"),
-                       F.count(F.lit(1)).alias("registros_distintos"))
-            .withColumn("duplicados", F.col("registros") - F.col("registros_distintos")))
+    groups = df.groupBy(*df.columns).agg(F.expr("count(1) AS _n"))
+    return (groups.selectExpr("sum(_n) AS registros", "count(1) AS registros_distintos")
+            .selectExpr("registros", "registros_distintos",
+                        "registros - registros_distintos AS duplicados"))
 
 
 def key_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Groups of the logical key that occur more than once."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 1)
+    return df.groupBy(*key).agg(F.expr("count(1) AS count")).where(F.expr("count > 1"))
 
 
 def volume_by(df: DataFrame, column: str = "VendorID") -> DataFrame:
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("total_registros"))
+    return df.groupBy(column).agg(F.expr("count(1) AS total_registros"))
 
 
 def value_distribution(df: DataFrame, column: str = "passenger_count") -> DataFrame:
     """Frequency of each value, NULL and 0 included."""
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    return df.groupBy(column).agg(F.expr("count(1) AS count"))
 
 
 # --------------------------------------------------------------------------

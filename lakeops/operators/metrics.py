@@ -13,8 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.functions.periods import month_key
-from lakeops.functions.schema import SERVING_COLUMNS
+from lakeops.functions.schema import SERVING_COLUMNS, quote, sql_literal
 
 COUNT_COL = "qtd_corridas"
 
@@ -22,12 +21,8 @@ COUNT_COL = "qtd_corridas"
 def serving_trips(silver: DataFrame, start: str = "pickup_datetime_tratado",
                   end: str = "dropoff_datetime_tratado") -> DataFrame:
     """Per-trip serving projection; corrected timestamps under the public names."""
-    renamed = {start: "pickup_datetime", end: "dropoff_datetime"}
-    cols = []
-    for c in SERVING_COLUMNS:
-        source = next((k for k, v in renamed.items() if v == c), c)
-        cols.append(F.col(source).alias(c))
-    return silver.select(*cols)
+    source = {"pickup_datetime": start, "dropoff_datetime": end}
+    return silver.selectExpr(*[f"{quote(source.get(c, c))} AS {quote(c)}" for c in SERVING_COLUMNS])
 
 
 def hourly_metrics(trips: DataFrame, ts: str = "pickup_datetime",
@@ -39,11 +34,11 @@ def hourly_metrics(trips: DataFrame, ts: str = "pickup_datetime",
     most one row per (service, month, hour) it saw, so the shuffle is tiny
     and a hot key cannot overload a reducer.
     """
-    return (trips.withColumn("hora_do_dia", F.hour(ts))
+    return (trips.withColumn("hora_do_dia", F.expr(f"hour({quote(ts)})"))
             .groupBy(*by, "hora_do_dia")
-            .agg(F.count(F.lit(1)).alias(COUNT_COL),
-                 F.sum(amount).alias("soma_total_amount"),
-                 F.sum(passengers).alias("soma_passenger_count")))
+            .agg(F.expr(f"count(1) AS {COUNT_COL}"),
+                 F.expr(f"sum({quote(amount)}) AS soma_total_amount"),
+                 F.expr(f"sum({quote(passengers)}) AS soma_passenger_count")))
 
 
 def recombine_mean(metrics: DataFrame, dims: Sequence[str], sum_col: str, out: str,
@@ -52,15 +47,15 @@ def recombine_mean(metrics: DataFrame, dims: Sequence[str], sum_col: str, out: s
     """``SUM(sum_col) / SUM(count_col)`` per ``dims`` (optionally filtered)."""
     if where is not None:
         metrics = metrics.where(where)
-    mean = F.sum(sum_col) / F.sum(count_col)
+    mean = f"sum({quote(sum_col)}) / sum({quote(count_col)})"
     if digits is not None:
-        mean = F.round(mean, digits)
-    return metrics.groupBy(*dims).agg(mean.alias(out))
+        mean = f"round({mean}, {int(digits)})"
+    return metrics.groupBy(*dims).agg(F.expr(f"{mean} AS {quote(out)}"))
 
 
 def mean_amount_by_month(metrics: DataFrame, service: str | None = "yellow") -> DataFrame:
     """Mean amount per month for one service, or for all when ``service`` is None."""
-    where = None if service is None else (F.col("tipo") == service)
+    where = None if service is None else F.expr(f"tipo = {sql_literal(service)}")
     return recombine_mean(metrics, ["year", "month"], "soma_total_amount",
                           "media_total_amount", where)
 
@@ -71,29 +66,29 @@ def mean_amount_by_service_month(metrics: DataFrame) -> DataFrame:
 
 
 def mean_passengers_by_hour(metrics: DataFrame, year: int, month: int) -> DataFrame:
-    where = (F.col("year") == year) & (F.col("month") == month)
+    where = F.expr(f"year = {int(year)} AND month = {int(month)}")
     return recombine_mean(metrics, ["hora_do_dia"], "soma_passenger_count",
                           "media_passenger_count", where)
 
 
 def latest_month_key(metrics: DataFrame) -> Column:
     """Scalar subquery: the latest ``year*100+month`` present."""
-    return metrics.agg(F.max(month_key()).alias("k")).scalar()
+    return metrics.selectExpr("max(year * 100 + month) AS k").scalar()
 
 
 def mean_passengers_by_hour_latest(metrics: DataFrame) -> DataFrame:
     """The panel's default: mean passengers per hour of the latest month."""
-    where = month_key() == latest_month_key(metrics)
+    where = F.expr("year * 100 + month") == latest_month_key(metrics)
     return recombine_mean(metrics, ["hora_do_dia"], "soma_passenger_count",
                           "media_passenger_count", where)
 
 
 def metrics_coverage(metrics: DataFrame) -> DataFrame:
     """First and last month key, total trips, number of distinct months."""
-    k = month_key()
-    return metrics.agg(F.min(k).alias("de"), F.max(k).alias("ate"),
-                       F.sum(COUNT_COL).alias("total_corridas"),
-                       F.countDistinct(k).alias("meses"))
+    k = "(year * 100 + month)"
+    return metrics.selectExpr(f"CAST(min({k}) AS INT) AS de", f"CAST(max({k}) AS INT) AS ate",
+                              f"sum({COUNT_COL}) AS total_corridas",
+                              f"count(DISTINCT {k}) AS meses")
 
 
 def available_months(metrics: DataFrame) -> DataFrame:
@@ -102,11 +97,11 @@ def available_months(metrics: DataFrame) -> DataFrame:
 
 def month_trip_summary(trips: DataFrame, service: str, year: int, month: int) -> DataFrame:
     """Trip-grain check of one service and month (partition-pruned on a table)."""
-    where = (F.col("tipo") == service) & (F.col("year") == year) & (F.col("month") == month)
-    return (trips.where(where)
-            .agg(F.count(F.lit(1)).alias("qtd_corridas"),
-                 F.round(F.avg("total_amount"), 2).alias("media_total_amount"),
-                 F.round(F.avg("passenger_count"), 2).alias("media_passenger_count")))
+    where = f"tipo = {sql_literal(service)} AND year = {int(year)} AND month = {int(month)}"
+    return (trips.where(F.expr(where))
+            .selectExpr("count(1) AS qtd_corridas",
+                        "round(avg(total_amount), 2) AS media_total_amount",
+                        "round(avg(passenger_count), 2) AS media_passenger_count"))
 
 
 def mean_of_sums_check(metrics: DataFrame, trips: DataFrame, service: str | None = "yellow",
@@ -118,15 +113,15 @@ def mean_of_sums_check(metrics: DataFrame, trips: DataFrame, service: str | None
     column has no NULLs (SUM skips NULLs while the count keeps every row).
     """
     if service is not None:
-        metrics = metrics.where(F.col("tipo") == service)
-        trips = trips.where(F.col("tipo") == service)
+        metrics = metrics.where(F.expr(f"tipo = {sql_literal(service)}"))
+        trips = trips.where(F.expr(f"tipo = {sql_literal(service)}"))
     from_metrics = recombine_mean(metrics, ["year", "month"], "soma_total_amount",
                                   "media_metricas", digits=None)
     direct = trips.groupBy("year", "month").agg(
-        (F.sum("total_amount") / F.count(F.lit(1))).alias("media_viagens"))
+        F.expr("sum(total_amount) / count(1) AS media_viagens"))
     joined = from_metrics.join(direct, ["year", "month"], "full")
-    return joined.select(
-        "year", "month",
-        F.round("media_metricas", digits).alias("media_metricas"),
-        F.round("media_viagens", digits).alias("media_viagens"),
-        F.round(F.col("media_metricas") - F.col("media_viagens"), digits).alias("diferenca"))
+    d = int(digits)
+    return joined.selectExpr(
+        "year", "month", f"round(media_metricas, {d}) AS media_metricas",
+        f"round(media_viagens, {d}) AS media_viagens",
+        f"round(abs(media_metricas - media_viagens), {d}) AS diferenca")

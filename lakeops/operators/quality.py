@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lakeops.functions import labels as L
 from lakeops.functions import expressions as X
 from lakeops.functions.periods import month_bounds, month_tuple, validate_months
-from lakeops.functions.schema import AMOUNT_COMPONENTS
+from lakeops.functions.schema import AMOUNT_COMPONENTS, quote, sql_literal
 
 # Quantiles are exact by default (``method="exact"``, percentile_disc);
 # ``method="approx"`` switches to percentile_approx with this accuracy.
@@ -37,8 +37,9 @@ DEFAULT_ACCURACY = X.APPROX_ACCURACY
 def add_date_parts(df: DataFrame, ts: str, date_col: str = "data_corrida",
                    year_col: str = "year", month_col: str = "month") -> DataFrame:
     """Derive a date, its year and its month (ints) from a timestamp."""
-    t = F.col(ts)
-    return df.withColumns({date_col: F.to_date(t), year_col: F.year(t), month_col: F.month(t)})
+    t = quote(ts)
+    return df.withColumns({date_col: F.expr(f"to_date({t})"), year_col: F.expr(f"year({t})"),
+                           month_col: F.expr(f"month({t})")})
 
 
 def order_timestamps(df: DataFrame, start: str = "pickup_datetime", end: str = "dropoff_datetime",
@@ -53,7 +54,8 @@ def order_timestamps(df: DataFrame, start: str = "pickup_datetime", end: str = "
     the corrected start, so an inverted trip crossing midnight lands on the
     right day and partition.
     """
-    df = df.withColumns({out_start: F.least(start, end), out_end: F.greatest(start, end)})
+    s, e = quote(start), quote(end)
+    df = df.withColumns({out_start: F.expr(f"least({s}, {e})"), out_end: F.expr(f"greatest({s}, {e})")})
     return add_date_parts(df, out_start, date_col, year_col, month_col)
 
 
@@ -67,42 +69,42 @@ def timestamp_problems(df: DataFrame, start: str = "pickup_datetime", end: str =
                        by: Sequence[str] = ("year", "month")) -> DataFrame:
     """Rows with a NULL endpoint or end < start, counted by month and problem."""
     labelled = label_timestamp_problems(df, start, end)
-    return (labelled.where(F.col("problema_timestamp") != L.VALID)
+    return (labelled.where(F.expr(f"problema_timestamp <> {sql_literal(L.VALID)}"))
             .groupBy(*by, "problema_timestamp")
-            .agg(F.count(F.lit(1)).alias("total_registros")))
+            .agg(F.expr("count(1) AS total_registros")))
 
 
 def inverted_flag_fill(df: DataFrame, start: str = "pickup_datetime", end: str = "dropoff_datetime",
                        flag: str = "store_and_fwd_flag") -> DataFrame:
     """Inverted rows and how many of them have ``flag`` filled."""
-    return (df.where(F.col(end) < F.col(start))
-            .agg(F.count(F.lit(1)).alias("total_inconsistentes"),
-                 F.count(flag).alias("store_and_fwd_flag_preenchido")))
+    return (df.where(F.expr(f"{quote(end)} < {quote(start)}"))
+            .selectExpr("count(1) AS total_inconsistentes",
+                        f"count({quote(flag)}) AS store_and_fwd_flag_preenchido"))
 
 
 def inverted_gap_buckets(df: DataFrame, start: str = "pickup_datetime",
                          end: str = "dropoff_datetime") -> DataFrame:
     """Inverted rows by size of the gap: <=1, (1,5], (5,60], >60 minutes."""
-    gap = X.duration_minutes(end, start)
-    return (df.where(F.col(end) < F.col(start))
-            .select(gap.alias("gap"))
-            .agg(X.count_if(F.col("gap") <= 1).alias("ate_1_min"),
-                 X.count_if((F.col("gap") > 1) & (F.col("gap") <= 5)).alias("de_1_a_5_min"),
-                 X.count_if((F.col("gap") > 5) & (F.col("gap") <= 60)).alias("de_5_a_60_min"),
-                 X.count_if(F.col("gap") > 60).alias("acima_60_min")))
+    return (df.where(F.expr(f"{quote(end)} < {quote(start)}"))
+            .selectExpr(f"{X.duration_minutes_sql(end, start)} AS gap")
+            .selectExpr(f"{X.count_if_sql('gap <= 1')} AS ate_1_min",
+                        f"{X.count_if_sql('gap > 1 AND gap <= 5')} AS de_1_a_5_min",
+                        f"{X.count_if_sql('gap > 5 AND gap <= 60')} AS de_5_a_60_min",
+                        f"{X.count_if_sql('gap > 60')} AS acima_60_min"))
 
 
 def inverted_residual(df: DataFrame, start: str = "pickup_datetime_tratado",
                       end: str = "dropoff_datetime_tratado") -> DataFrame:
     """Rows still inverted after the correction (expected 0), as one row."""
-    return df.agg(X.count_if(F.col(end) < F.col(start)).alias("ainda_invertidos"))
+    return df.selectExpr(f"{X.count_if_sql(f'{quote(end)} < {quote(start)}')} AS ainda_invertidos")
 
 
 def timestamps_changed(df: DataFrame, start: str = "pickup_datetime", end: str = "dropoff_datetime",
                        out_start: str = "pickup_datetime_tratado",
                        out_end: str = "dropoff_datetime_tratado") -> DataFrame:
-    return df.agg(X.count_if(F.col(start) != F.col(out_start)).alias("pickup_alterado"),
-                  X.count_if(F.col(end) != F.col(out_end)).alias("dropoff_alterado"))
+    return df.selectExpr(
+        f"{X.count_if_sql(f'{quote(start)} <> {quote(out_start)}')} AS pickup_alterado",
+        f"{X.count_if_sql(f'{quote(end)} <> {quote(out_end)}')} AS dropoff_alterado")
 
 
 # --------------------------------------------------------------------------
@@ -117,7 +119,7 @@ def valid_median(df: DataFrame, column: str, method: str = DEFAULT_METHOD,
                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """One-row frame: median of the values > 0 (lower middle for an even count)."""
     m = X.median(column, method, accuracy, _dtype(df, column))
-    return df.where(F.col(column) > 0).agg(m.alias("mediana"))
+    return df.where(F.expr(f"{quote(column)} > 0")).agg(m.alias("mediana"))
 
 
 def impute_median(df: DataFrame, column: str = "passenger_count", out: str | None = None,
@@ -148,9 +150,9 @@ def impute_before_after(df: DataFrame, column: str = "passenger_count",
 
 
 def impute_residual(df: DataFrame, column: str = "passenger_count") -> DataFrame:
-    c = F.col(column)
-    return df.agg(X.count_if(c.isNull()).alias("nulos_remanescentes"),
-                  X.count_if(c == 0).alias("zeros_remanescentes"))
+    c = quote(column)
+    return df.selectExpr(f"{X.count_if_sql(f'{c} IS NULL')} AS nulos_remanescentes",
+                         f"{X.count_if_sql(f'{c} = 0')} AS zeros_remanescentes")
 
 
 # --------------------------------------------------------------------------
@@ -164,13 +166,13 @@ def period_condition(months, date_col: str = "data_corrida", mode: str = "range"
     month inside a gap of the list counts as inside. ``exact``: only the
     listed months.
     """
-    d = F.col(date_col)
+    d = quote(date_col)
     if mode == "range":
         lo, hi = month_bounds(months)
-        return (d >= F.lit(lo)) & (d < F.lit(hi))
+        return F.expr(f"({d} >= DATE '{lo.isoformat()}' AND {d} < DATE '{hi.isoformat()}')")
     if mode == "exact":
         keys = [y * 100 + m for y, m in (month_tuple(s) for s in validate_months(months))]
-        return (F.year(d) * 100 + F.month(d)).isin(keys)
+        return F.expr(f"(year({d}) * 100 + month({d})) IN ({', '.join(map(str, keys))})")
     raise ValueError(f"unknown period mode {mode!r}")
 
 
@@ -188,14 +190,14 @@ def filter_period(df: DataFrame, months, date_col: str = "data_corrida",
 def period_scope_counts(df: DataFrame, months, date_col: str = "data_corrida",
                         mode: str = "range") -> DataFrame:
     flagged = flag_out_of_period(df, months, date_col, mode=mode)
-    return flagged.groupBy("fora_do_periodo").agg(F.count(F.lit(1)).alias("total"))
+    return flagged.groupBy("fora_do_periodo").agg(F.expr("count(1) AS total"))
 
 
 def out_of_period_detail(df: DataFrame, months, date_col: str = "data_corrida",
                          by: Sequence[str] = ("tipo", "year", "month"),
                          mode: str = "range") -> DataFrame:
     return (df.where(~period_condition(months, date_col, mode))
-            .groupBy(*by).agg(F.count(F.lit(1)).alias("total")))
+            .groupBy(*by).agg(F.expr("count(1) AS total")))
 
 
 # --------------------------------------------------------------------------
@@ -205,25 +207,25 @@ def out_of_period_detail(df: DataFrame, months, date_col: str = "data_corrida",
 def numeric_summary(df: DataFrame, column: str = "total_amount", method: str = DEFAULT_METHOD,
                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """count, mean, stddev, min, quartiles, max of one column, typed."""
-    c, t = F.col(column), _dtype(df, column)
-    return df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"),
-                  F.stddev_samp(c).alias("stddev"), F.min(c).alias("min"),
-                  X.quantile(column, 0.25, method, accuracy, t).alias("p25"),
-                  X.quantile(column, 0.5, method, accuracy, t).alias("p50"),
-                  X.quantile(column, 0.75, method, accuracy, t).alias("p75"),
-                  F.max(c).alias("max"))
+    c, t = quote(column), _dtype(df, column)
+    return df.selectExpr(
+        f"count({c}) AS count", f"avg({c}) AS mean", f"stddev_samp({c}) AS stddev",
+        f"min({c}) AS min",
+        f"{X.quantile_sql(column, 0.25, method, accuracy, t)} AS p25",
+        f"{X.quantile_sql(column, 0.5, method, accuracy, t)} AS p50",
+        f"{X.quantile_sql(column, 0.75, method, accuracy, t)} AS p75",
+        f"max({c}) AS max")
 
 
 def iqr_bounds(df: DataFrame, column: str = "total_amount", factor: float = 1.5,
                method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """One row: q1, q3, iqr, lower = q1 - factor*iqr, upper = q3 + factor*iqr."""
     t = _dtype(df, column)
-    q = df.agg(X.quantile(column, 0.25, method, accuracy, t).alias("q1"),
-               X.quantile(column, 0.75, method, accuracy, t).alias("q3"))
-    iqr = F.col("q3") - F.col("q1")
-    return q.select("q1", "q3", iqr.alias("iqr"),
-                    (F.col("q1") - factor * iqr).alias("limite_inferior"),
-                    (F.col("q3") + factor * iqr).alias("limite_superior"))
+    q = df.selectExpr(f"{X.quantile_sql(column, 0.25, method, accuracy, t)} AS q1",
+                      f"{X.quantile_sql(column, 0.75, method, accuracy, t)} AS q3")
+    f = f"CAST({float(factor)!r} AS DOUBLE)"
+    return q.selectExpr("q1", "q3", "q3 - q1 AS iqr", f"q1 - {f} * (q3 - q1) AS limite_inferior",
+                        f"q3 + {f} * (q3 - q1) AS limite_superior")
 
 
 def flag_outliers(df: DataFrame, column: str = "total_amount", out: str = "outlier",
@@ -242,7 +244,7 @@ def flag_outliers(df: DataFrame, column: str = "total_amount", out: str = "outli
 def iqr_outlier_counts(df: DataFrame, column: str = "total_amount",
                        method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     return (flag_outliers(df, column, method=method, accuracy=accuracy)
-            .groupBy("outlier").agg(F.count(F.lit(1)).alias("count")))
+            .groupBy("outlier").agg(F.expr("count(1) AS count")))
 
 
 def top_outliers(df: DataFrame, column: str = "total_amount", k: int = 20,
@@ -261,7 +263,7 @@ def top_outliers(df: DataFrame, column: str = "total_amount", k: int = 20,
 def trip_duration(df: DataFrame, start: str = "pickup_datetime_tratado",
                   end: str = "dropoff_datetime_tratado", out: str = "duracao_minutos") -> DataFrame:
     """Duration in minutes (whole seconds / 60); only trips with duration > 0."""
-    return df.withColumn(out, X.duration_minutes(start, end)).where(F.col(out) > 0)
+    return df.withColumn(out, X.duration_minutes(start, end)).where(F.expr(f"{quote(out)} > 0"))
 
 
 def outliers_by_band(df: DataFrame, amount: str = "total_amount",
@@ -278,15 +280,15 @@ def outliers_by_band(df: DataFrame, amount: str = "total_amount",
     timed = trip_duration(df, start, end)
     flagged = flag_outliers(timed, amount, method=method, accuracy=accuracy, bounds_from=df)
     banded = flagged.withColumn("faixa_duracao", X.duration_band("duracao_minutos"))
-    o = F.col("outlier")
+    a = quote(amount)
     return (banded.groupBy("faixa_duracao")
-            .agg(F.count(F.lit(1)).alias("corridas"),
-                 F.avg("duracao_minutos").alias("duracao_media"),
-                 F.avg(amount).alias("total_medio"),
-                 F.max(amount).alias("maior_total"),
-                 X.count_if(o).alias("qtd_outliers"),
-                 F.avg(F.when(o, F.col(amount))).alias("total_medio_outlier"),
-                 F.percentile(F.when(o, F.col(amount)), F.lit(0.5)).alias("total_mediano_outlier")))
+            .agg(F.expr("count(1) AS corridas"),
+                 F.expr("avg(duracao_minutos) AS duracao_media"),
+                 F.expr(f"avg({a}) AS total_medio"),
+                 F.expr(f"max({a}) AS maior_total"),
+                 F.expr(f"{X.count_if_sql('outlier')} AS qtd_outliers"),
+                 F.expr(f"avg(CASE WHEN outlier THEN {a} END) AS total_medio_outlier"),
+                 F.expr(f"percentile(CASE WHEN outlier THEN {a} END, 0.5D) AS total_mediano_outlier")))
 
 
 # --------------------------------------------------------------------------
@@ -294,24 +296,24 @@ def outliers_by_band(df: DataFrame, amount: str = "total_amount",
 # --------------------------------------------------------------------------
 
 def negatives(df: DataFrame, amount: str = "total_amount") -> DataFrame:
-    return df.where(F.col(amount) < 0)
+    return df.where(F.expr(f"{quote(amount)} < 0"))
 
 
 def negatives_summary(df: DataFrame, amount: str = "total_amount") -> DataFrame:
-    return negatives(df, amount).agg(F.count(F.lit(1)).alias("total_negativos"),
-                                     F.min(amount).alias("valor_minimo"),
-                                     F.max(amount).alias("valor_maximo"))
+    a = quote(amount)
+    return negatives(df, amount).selectExpr("count(1) AS total_negativos",
+                                            f"min({a}) AS valor_minimo", f"max({a}) AS valor_maximo")
 
 
 def negatives_by(df: DataFrame, by: Sequence[str], amount: str = "total_amount") -> DataFrame:
     """Negative rows counted per group (groups without negatives absent)."""
-    return negatives(df, amount).groupBy(*by).agg(F.count(F.lit(1)).alias("count"))
+    return negatives(df, amount).groupBy(*by).agg(F.expr("count(1) AS count"))
 
 
 def negatives_by_vendor(df: DataFrame, vendor: str = "VendorID",
                         amount: str = "total_amount") -> DataFrame:
     """Negatives per vendor, vendors without any shown with 0."""
-    return df.groupBy(vendor).agg(X.count_if(F.col(amount) < 0).alias("total_negativos"))
+    return df.groupBy(vendor).agg(F.expr(f"{X.count_if_sql(f'{quote(amount)} < 0')} AS total_negativos"))
 
 
 def with_recomposition(df: DataFrame, amount: str = "total_amount",
@@ -324,9 +326,9 @@ def recompose_check(df: DataFrame, amount: str = "total_amount",
                     tolerance: float = L.RECOMPOSE_TOLERANCE) -> DataFrame:
     """Negative rows: do the components add up to the total (within tolerance)?"""
     neg = with_recomposition(negatives(df, amount), amount, components)
-    ok = F.abs(F.col(amount) - F.col("total_calculado")) <= tolerance
-    label = F.when(ok, L.RECOMPOSE_OK).otherwise(L.RECOMPOSE_DIFF)
-    return neg.withColumn("validacao", label).groupBy("validacao").agg(F.count(F.lit(1)).alias("count"))
+    label = (f"CASE WHEN abs({quote(amount)} - total_calculado) <= {float(tolerance)!r}D "
+             f"THEN {sql_literal(L.RECOMPOSE_OK)} ELSE {sql_literal(L.RECOMPOSE_DIFF)} END")
+    return neg.withColumn("validacao", F.expr(label)).groupBy("validacao").agg(F.expr("count(1) AS count"))
 
 
 def recompose_mismatch(df: DataFrame, amount: str = "total_amount",
@@ -335,6 +337,6 @@ def recompose_mismatch(df: DataFrame, amount: str = "total_amount",
                        columns: Sequence[str] = ("year", "month", "pickup_datetime")) -> DataFrame:
     """Detail of the negative rows whose components do not add up."""
     neg = with_recomposition(negatives(df, amount), amount, components)
-    neg = neg.withColumn("diferenca", F.round(F.col(amount) - F.col("total_calculado"), 4))
-    return (neg.where(F.abs(F.col("diferenca")) > tolerance)
+    neg = neg.withColumn("diferenca", F.expr(f"round({quote(amount)} - total_calculado, 4)"))
+    return (neg.where(F.expr(f"abs(diferenca) > {float(tolerance)!r}D"))
             .select(*columns, *components, amount, "total_calculado", "diferenca"))
