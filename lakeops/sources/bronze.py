@@ -61,7 +61,7 @@ def _land_one(spark: SparkSession, source_root: str, root: str, service: str, mo
 
 
 def land_months(spark: SparkSession, source_root: str, root: str, services: Iterable[str],
-                months, max_parallel: int = 4) -> DataFrame:
+                months, max_parallel: int = 8) -> DataFrame:
     """Land each (service, month) raw file unchanged into the raw zone.
 
     The requested leaves are cleared first. Every month is copied by its own

@@ -152,7 +152,7 @@ def raw_month_frame(trips: DataFrame, service: str, month: str, drift: bool = Fa
 
 def write_raw_sources(spark: SparkSession, sf_dir: str, source_root: str,
                       services=("yellow", "green"), months=None, drift: bool = False,
-                      max_parallel: int = 4) -> list[str]:
+                      max_parallel: int = 8) -> list[str]:
     """Write one raw file per (service, month), as a provider would deliver
     them, under ``source_root`` (the input of ``bronze.land_months``)."""
     trips = trips_from_events(spark, sf_dir)
