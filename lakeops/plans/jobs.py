@@ -1,11 +1,13 @@
 """The three jobs: land raw months, build the typed trip table, build the
 serving table and metrics.
 
-A job is the only place that runs actions. It persists the frame its
-reports share (spill to disk allowed), writes each report as a small
-Parquet table (durable, nothing pulled through the driver), writes the data
-with ``replace_months`` and releases the cache in ``finally``. Reports are
-written by concurrent Spark jobs so the many small aggregates overlap.
+A job is the only place that runs actions. It writes the frame its reports
+share once as a Parquet table below the shared checkpoint folder (lineage
+cut, survives executor loss, column-pruned reads), writes each report as a
+small Parquet table (durable, nothing pulled through the driver), writes the
+data with ``replace_months`` and removes its work folder in ``finally``.
+Reports are written by concurrent Spark jobs so the many small aggregates
+overlap.
 
 Run with spark-submit or ``python -m lakeops.plans.jobs <job> ...``.
 """
@@ -17,7 +19,6 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.functions.periods import default_months, parse_months, validate_months
@@ -29,6 +30,7 @@ from lakeops.operators import profile as P
 from lakeops.operators import quality as Q
 from lakeops.sources import bronze as B
 from lakeops.sources import sinks as S
+from lakeops.session import delete_path, scratch_path
 from lakeops.sources.services import SERVICES, standardize
 
 SERVICE_NAMES = tuple(SERVICES)
@@ -76,23 +78,33 @@ def raw_standardized(spark: SparkSession, raw_root: str, months, cast: bool,
 
 def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
                reports_path: str, method: str = Q.DEFAULT_METHOD,
-               services=SERVICE_NAMES) -> dict:
-    """Raw months -> typed, repaired trips; reports; month replacement."""
+               services=SERVICE_NAMES, work_path: str | None = None) -> dict:
+    """Raw months -> typed, repaired trips; reports; month replacement.
+
+    The typed trips are written once as Parquet below the shared checkpoint
+    folder and every later step reads that table: lineage is cut (a lost
+    executor costs a re-read of its files, not a recompute from the raw
+    months), nothing needs to fit in executor memory, and each report reads
+    only the columns it uses. Repairs (imputation, ordering, period scope) are
+    cheap projections over that table, recomputed per reader.
+    """
     months = validate_months(months)
     raw_cast = raw_standardized(spark, raw_root, months, True, services)
     if not raw_cast:
         raise ValueError(f"no raw files under {raw_root} for {months}")
     raw_plain = raw_standardized(spark, raw_root, months, False, services)
     union_plain = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), raw_plain)
-    typed = Q.add_date_parts(
+    typed_src = Q.add_date_parts(
         reduce(lambda a, b: a.unionByName(b), [conform(d, SILVER_SCHEMA) for d in raw_cast]),
         "pickup_datetime")
-    typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
-    scoped = None
+    work = work_path or scratch_path(spark, "silver_work")
     try:
+        typed_src.write.mode("overwrite").parquet(f"{work}/typed")
+        typed = spark.read.parquet(f"{work}/typed")
         imputed = Q.impute_median(typed, "passenger_count", method=method)
         repaired = Q.order_timestamps(imputed)
-        first = {
+        scoped = Q.filter_period(repaired, months)
+        reports = {
             "cast_loss": A.cast_loss(union_plain, SILVER_SCHEMA),
             "rows_by_source": A.rows_by_source(typed),
             "exact_duplicates": A.exact_duplicates(typed),
@@ -108,11 +120,6 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
             "timestamp_checks": BU.timestamp_bundle(repaired),
             "period_scope": Q.period_scope_counts(repaired, months),
             "out_of_period": Q.out_of_period_detail(repaired, months),
-        }
-        out = write_reports(first, f"{reports_path}/typed")
-        scoped = Q.filter_period(repaired, months).persist(StorageLevel.MEMORY_AND_DISK)
-        typed.unpersist()
-        second = {
             "amount_summary": Q.numeric_summary(scoped, method=method),
             "iqr_bounds": Q.iqr_bounds(scoped, method=method),
             "iqr_outliers": Q.iqr_outlier_counts(scoped, method=method),
@@ -127,14 +134,13 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
             "recompose_check": Q.recompose_check(scoped),
             "recompose_mismatch": Q.recompose_mismatch(scoped),
         }
-        out.update(write_reports(second, f"{reports_path}/scoped"))
+        out = write_reports(reports, reports_path)
         out["written"] = S.replace_months(spark, scoped, silver_path, months,
                                           time_col="pickup_datetime_tratado")
         return out
     finally:
-        typed.unpersist()
-        if scoped is not None:
-            scoped.unpersist()
+        if work_path is None:
+            delete_path(spark, work)
 
 
 # ---------------------------------------------------------------------------

@@ -28,6 +28,14 @@ def test_land_silver_gold_end_to_end(spark, tmp_dir):
                 for r in st.scoped.groupBy("year", "month").count().collect()}
     assert written == expected
     assert silver["timestamp_checks"].collect()[0].ainda_invertidos == 0
+    # reports read from the written typed table equal the operators on the lazy stages
+    from lakeops.operators import audit as A, bundle as BU, quality as Q
+    same = {"rows_by_source": A.rows_by_source(st.typed), "passenger_rates": BU.rate_bundle(st.typed),
+            "iqr_bounds": Q.iqr_bounds(st.scoped), "outliers_by_band": Q.outliers_by_band(st.scoped),
+            "recompose_mismatch": Q.recompose_mismatch(st.scoped),
+            "timestamp_problems": Q.timestamp_problems(st.imputed)}
+    for name, df in same.items():
+        assert _rows(silver[name].select(*df.columns)) == _rows(df), name
 
     gold = J.gold_job(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold_trips", f"{tmp_dir}/gold_metrics",
                       QUERY_MONTHS, f"{tmp_dir}/reports/gold")
