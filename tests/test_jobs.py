@@ -29,7 +29,13 @@ def test_land_silver_gold_end_to_end(spark, tmp_dir):
     assert written == expected
     assert silver["timestamp_checks"].collect()[0].ainda_invertidos == 0
     # reports read from the written typed table equal the operators on the lazy stages
+    from functools import reduce
     from lakeops.operators import audit as A, bundle as BU, quality as Q
+    from lakeops.plans.silver import build_stages
+    from lakeops.sources import bronze as B
+    raw_frames = {s: reduce(lambda a, b: a.unionByName(b), B.read_months_raw(spark, raw, s, QUERY_MONTHS))
+                  for s in ("yellow", "green")}
+    st = build_stages(raw_frames, QUERY_MONTHS)       # same batch as the job (the median depends on it)
     same = {"rows_by_source": A.rows_by_source(st.typed), "passenger_rates": BU.rate_bundle(st.typed),
             "iqr_bounds": Q.iqr_bounds(st.scoped), "outliers_by_band": Q.outliers_by_band(st.scoped),
             "recompose_mismatch": Q.recompose_mismatch(st.scoped),
