@@ -92,17 +92,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(jpath, True)
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    """Names of the sub-folders of ``path`` (empty if it does not exist)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jpath):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
-
-
 __all__ = [
     "DEFAULT_CONF", "build_session", "ensure_checkpoint_dir", "scratch_path",
-    "local_path", "path_exists", "delete_path", "list_dirs",
+    "local_path", "path_exists", "delete_path",
 ]

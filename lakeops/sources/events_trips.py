@@ -48,9 +48,6 @@ ADAPTER_EXPRS = [
     "CASE WHEN event_id % 29 = 0 THEN -value ELSE value END AS total_amount",
 ]
 
-# Event types that become service A rows (the rest are B).
-SERVICE_A_EVENT_TYPES = ("click", "view", "purchase")
-
 # Raw service A layout, derived from the adapter columns.
 RAW_A_EXPRS = [
     "vendor_id AS VendorID",

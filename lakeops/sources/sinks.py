@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.periods import month_set_predicate, month_tuple, validate_months
-from lakeops.session import delete_path, path_exists
+from lakeops.session import delete_path
 
 
 def partition_dir(table_path: str, year: int, month: int) -> str:
@@ -171,7 +171,3 @@ def set_table_properties(spark: SparkSession, table: str, props: Mapping[str, st
 
 def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
-
-
-def path_has_data(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)
