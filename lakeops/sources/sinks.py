@@ -36,11 +36,18 @@ def cluster_by_time(df: DataFrame, time_col: str, partition_cols=("year", "month
     Files written from the result hold disjoint, sorted time ranges within a
     month, so min/max statistics skip files for time filters (the write-time
     form of a sort / single-column z-order rewrite).
+
+    Ties are broken by the input partition of the row: a single hot time
+    value (say a default timestamp on a third of all rows) is then split
+    over as many ranges as the input partitions carrying it, instead of
+    landing in one task. The tie-breaker is deterministic on recompute (a
+    row's input partition does not change), which range partitioning needs.
     """
-    keys = [*partition_cols, time_col]
-    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys))
-    return ranged.sortWithinPartitions(*keys)
+    keys = [*partition_cols, time_col, "_lakeops_part"]
+    tagged = df.withColumn("_lakeops_part", F.spark_partition_id())
+    ranged = (tagged.repartitionByRange(num_partitions, *keys) if num_partitions
+              else tagged.repartitionByRange(*keys))
+    return ranged.sortWithinPartitions(*keys).drop("_lakeops_part")
 
 
 def replace_months(spark: SparkSession, df: DataFrame, table_path: str, months,

@@ -118,3 +118,17 @@ def test_small_table_one_file_per_month(spark, tmp_dir):
     for m in (1, 2):
         files = glob.glob(os.path.join(local_path(path), "year=2024", f"month={m}", "*.parquet"))
         assert len(files) == 1
+
+
+def test_hot_timestamp_is_split_over_tasks(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    # one timestamp carried by 90% of the rows, spread over 8 input partitions
+    df = spark.range(0, 8000, numPartitions=8).selectExpr(
+        "id", "2024 AS year", "1 AS month",
+        "CASE WHEN id % 10 = 0 THEN timestamp_ntz'2024-01-02 00:00:00' + make_dt_interval(0, 0, 0, id) "
+        "ELSE timestamp_ntz'2024-01-01 00:00:00' END AS ts")
+    S.replace_months(spark, df, path, ["2024-01"], time_col="ts", num_partitions=8)
+    files = glob.glob(os.path.join(local_path(path), "year=2024", "month=1", "*.parquet"))
+    sizes = sorted(pq.read_metadata(f).num_rows for f in files)
+    assert sum(sizes) == 8000
+    assert len(sizes) >= 4 and sizes[-1] < 8000 * 0.5       # the hot value is not in one file
