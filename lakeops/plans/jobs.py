@@ -37,13 +37,19 @@ SERVICE_NAMES = tuple(SERVICES)
 
 
 def write_reports(reports: Mapping[str, DataFrame], path: str, max_parallel: int = 8) -> dict:
-    """Write every report to ``path/<name>`` (one small file each), in
-    parallel Spark jobs; return readers over what was written."""
+    """Write every report to ``path/<name>``, in parallel Spark jobs; return
+    readers over what was written.
+
+    No ``coalesce(1)``: on a report without a shuffle (a filter over the trips,
+    such as the recomposition mismatches) it would pull the whole scan into one
+    task. Aggregated reports end in a shuffle that AQE already merges into one
+    small partition, so they still come out as one file.
+    """
     spark = next(iter(reports.values())).sparkSession if reports else None
 
     def one(item):
         name, df = item
-        df.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
         return name
 
     with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
