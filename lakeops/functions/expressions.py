@@ -79,37 +79,6 @@ def outside(value: str | Column, lower: Column, upper: Column) -> Column:
     return (v < lower) | (v > upper)
 
 
-# Accuracy of percentile_approx when the approximate method is chosen
-# (Spark's default; 1/accuracy is the relative rank error).
+# Accuracy of percentile_approx when the approximate quantile method is
+# chosen (Spark's default; 1/accuracy is the relative rank error).
 APPROX_ACCURACY = 10_000
-
-
-def quantile_sql(name: str, p: float, method: str = "exact", accuracy: int = APPROX_ACCURACY,
-                 dtype: str | None = None) -> str:
-    """Discrete quantile of column ``name``: the smallest value whose
-    cumulative share reaches ``p`` (the lower middle value for an even count).
-
-    ``exact`` uses ``percentile_disc``: partial aggregation on every executor,
-    buffer = one (value, count) entry per distinct value of the group, so its
-    memory grows with distinct values, never with rows (a value held by a
-    third of all rows is one entry). ``approx`` uses ``percentile_approx``:
-    buffer bounded by ``accuracy`` whatever the number of distinct values -
-    the choice for columns with unbounded distinct values.
-    """
-    q = quote(name)
-    if method == "exact":
-        out = f"percentile_disc({float(p)!r}D) WITHIN GROUP (ORDER BY {q})"
-        return f"CAST({out} AS {dtype})" if dtype else out
-    if method == "approx":
-        return f"percentile_approx({q}, {float(p)!r}D, {int(accuracy)})"
-    raise ValueError(f"unknown quantile method {method!r}")
-
-
-def quantile(name: str, p: float, method: str = "exact", accuracy: int = APPROX_ACCURACY,
-             dtype: str | None = None) -> Column:
-    return F.expr(quantile_sql(name, p, method, accuracy, dtype))
-
-
-def median(name: str, method: str = "exact", accuracy: int = APPROX_ACCURACY,
-           dtype: str | None = None) -> Column:
-    return quantile(name, 0.5, method, accuracy, dtype)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lakeops.functions import expressions as X
 from lakeops.functions.schema import quote, sql_literal, try_cast_sql
 from lakeops.operators.quality import DEFAULT_ACCURACY, DEFAULT_METHOD
+from lakeops.operators.quantiles import attach_groups, quantile_frame
 
 
 # --------------------------------------------------------------------------
@@ -84,12 +85,16 @@ def zero_rate_by(df: DataFrame, dim: str, column: str = "passenger_count",
 
 def stats_by_flag(df: DataFrame, flag: Column, flag_name: str, value: str = "total_amount",
                   method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Per value of a (three-valued) flag: rows, mean and median."""
-    t = df.schema[value].dataType.simpleString()
-    return (df.withColumn(flag_name, flag).groupBy(flag_name)
-            .agg(F.count(F.lit(1)).alias("total"),
-                 F.avg(value).alias(f"{value}_medio"),
-                 X.median(value, method, accuracy, t).alias(f"{value}_mediano")))
+    """Per value of a (three-valued) flag: rows, mean and median.
+
+    At most three groups (true, false, NULL), so the median's lookups are
+    broadcast; a group holding most rows is still split over every task.
+    """
+    flagged = df.withColumn(flag_name, flag)
+    main = flagged.groupBy(flag_name).agg(F.count(F.lit(1)).alias("total"),
+                                          F.avg(value).alias(f"{value}_medio"))
+    med = quantile_frame(flagged, value, {f"{value}_mediano": 0.5}, [flag_name], method, accuracy)
+    return attach_groups(main, med, [flag_name])
 
 
 def amount_by_null_flag(df: DataFrame, column: str = "passenger_count", value: str = "total_amount",

@@ -23,9 +23,11 @@ from lakeops.functions import labels as L
 from lakeops.functions import expressions as X
 from lakeops.functions.periods import month_bounds, month_tuple, validate_months
 from lakeops.functions.schema import AMOUNT_COMPONENTS, quote, sql_literal
+from lakeops.operators.quantiles import attach_groups, attach_row, quantile_frame
 
-# Quantiles are exact by default (``method="exact"``, percentile_disc);
-# ``method="approx"`` switches to percentile_approx with this accuracy.
+# Quantiles are exact by default (``method="exact"``: radix selection, memory
+# bounded per group); ``method="disc"`` is Spark's percentile_disc /
+# percentile, ``method="approx"`` percentile_approx with this accuracy.
 DEFAULT_METHOD = "exact"
 DEFAULT_ACCURACY = X.APPROX_ACCURACY
 
@@ -118,8 +120,8 @@ def _dtype(df: DataFrame, column: str) -> str:
 def valid_median(df: DataFrame, column: str, method: str = DEFAULT_METHOD,
                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """One-row frame: median of the values > 0 (lower middle for an even count)."""
-    m = X.median(column, method, accuracy, _dtype(df, column))
-    return df.where(F.expr(f"{quote(column)} > 0")).agg(m.alias("mediana"))
+    return quantile_frame(df.where(F.expr(f"{quote(column)} > 0")), column, {"mediana": 0.5},
+                          method=method, accuracy=accuracy)
 
 
 def impute_median(df: DataFrame, column: str = "passenger_count", out: str | None = None,
@@ -142,11 +144,14 @@ def impute_before_after(df: DataFrame, column: str = "passenger_count",
     """Mean and median of ``column`` before and after imputation, one pass."""
     after = f"{column}__imputed"
     imputed = impute_median(df, column, out=after, method=method, accuracy=accuracy)
-    t = _dtype(df, column)
-    return imputed.agg(F.avg(column).alias("media_antes"),
-                       X.median(column, method, accuracy, t).alias("mediana_antes"),
-                       F.avg(after).alias("media_depois"),
-                       X.median(after, method, accuracy, t).alias("mediana_depois"))
+    means = imputed.agg(F.avg(column).alias("media_antes"), F.avg(after).alias("media_depois"))
+    # both medians in one selection: the two columns stacked, grouped by side
+    stacked = imputed.selectExpr(f"stack(2, 0, {quote(column)}, 1, {quote(after)}) AS (__side, __val)")
+    med = quantile_frame(stacked, "__val", {"m": 0.5}, ["__side"], method, accuracy)
+    med = med.selectExpr("max(CASE WHEN __side = 0 THEN m END) AS mediana_antes",
+                         "max(CASE WHEN __side = 1 THEN m END) AS mediana_depois")
+    return attach_row(means, med).select("media_antes", "mediana_antes", "media_depois",
+                                         "mediana_depois")
 
 
 def impute_residual(df: DataFrame, column: str = "passenger_count") -> DataFrame:
@@ -207,22 +212,18 @@ def out_of_period_detail(df: DataFrame, months, date_col: str = "data_corrida",
 def numeric_summary(df: DataFrame, column: str = "total_amount", method: str = DEFAULT_METHOD,
                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """count, mean, stddev, min, quartiles, max of one column, typed."""
-    c, t = quote(column), _dtype(df, column)
-    return df.selectExpr(
-        f"count({c}) AS count", f"avg({c}) AS mean", f"stddev_samp({c}) AS stddev",
-        f"min({c}) AS min",
-        f"{X.quantile_sql(column, 0.25, method, accuracy, t)} AS p25",
-        f"{X.quantile_sql(column, 0.5, method, accuracy, t)} AS p50",
-        f"{X.quantile_sql(column, 0.75, method, accuracy, t)} AS p75",
-        f"max({c}) AS max")
+    c = quote(column)
+    main = df.selectExpr(f"count({c}) AS count", f"avg({c}) AS mean", f"stddev_samp({c}) AS stddev",
+                         f"min({c}) AS min", f"max({c}) AS max")
+    q = quantile_frame(df, column, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, method=method,
+                       accuracy=accuracy)
+    return attach_row(main, q).select("count", "mean", "stddev", "min", "p25", "p50", "p75", "max")
 
 
 def iqr_bounds(df: DataFrame, column: str = "total_amount", factor: float = 1.5,
                method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """One row: q1, q3, iqr, lower = q1 - factor*iqr, upper = q3 + factor*iqr."""
-    t = _dtype(df, column)
-    q = df.selectExpr(f"{X.quantile_sql(column, 0.25, method, accuracy, t)} AS q1",
-                      f"{X.quantile_sql(column, 0.75, method, accuracy, t)} AS q3")
+    q = quantile_frame(df, column, {"q1": 0.25, "q3": 0.75}, method=method, accuracy=accuracy)
     f = f"CAST({float(factor)!r} AS DOUBLE)"
     return q.selectExpr("q1", "q3", "q3 - q1 AS iqr", f"q1 - {f} * (q3 - q1) AS limite_inferior",
                         f"q3 + {f} * (q3 - q1) AS limite_superior")
@@ -234,11 +235,19 @@ def flag_outliers(df: DataFrame, column: str = "total_amount", out: str = "outli
                   bounds_from: DataFrame | None = None) -> DataFrame:
     """Boolean ``out``: value outside the IQR bounds (NULL value -> NULL).
 
-    The bounds are a scalar subquery over ``bounds_from`` (default: ``df``).
+    The bounds over ``bounds_from`` (default: ``df``) are computed by a job of
+    their own when this is called - two numbers reach the driver - and
+    inlined as literals: plans that select over the flagged rows (the band
+    medians run several passes over them) then carry two constants instead of
+    nesting the quartiles' own passes in each of theirs.
     """
     b = iqr_bounds(bounds_from if bounds_from is not None else df, column, factor, method, accuracy)
-    s = b.select(F.struct("limite_inferior", "limite_superior").alias("b")).scalar()
-    return df.withColumn(out, X.outside(column, s["limite_inferior"], s["limite_superior"]))
+    row = b.select("limite_inferior", "limite_superior").first()
+    t = df.schema[column].dataType
+    lo, hi = (F.lit(v).cast("double") for v in (row.limite_inferior, row.limite_superior))
+    if row.limite_inferior is None:     # no values: every flag NULL, as the comparison with NULL gives
+        lo = hi = F.lit(None).cast("double")
+    return df.withColumn(out, X.outside(F.col(column).cast("double") if t.simpleString() != "double" else column, lo, hi))
 
 
 def iqr_outlier_counts(df: DataFrame, column: str = "total_amount",
@@ -273,22 +282,24 @@ def outliers_by_band(df: DataFrame, amount: str = "total_amount",
     mean and exact median of the outliers' amounts.
 
     The IQR bounds are computed over all rows of ``df`` (not only rows with a
-    positive duration). The exact median is Spark's ``percentile``: its buffer
-    holds one (value, count) entry per distinct amount, merged partially on
-    each executor, so memory grows with distinct amounts, not with rows.
+    positive duration). The median of the outliers is the continuous one
+    (interpolated), by radix selection per band (five bands: its lookups are
+    broadcast).
     """
     timed = trip_duration(df, start, end)
     flagged = flag_outliers(timed, amount, method=method, accuracy=accuracy, bounds_from=df)
     banded = flagged.withColumn("faixa_duracao", X.duration_band("duracao_minutos"))
     a = quote(amount)
-    return (banded.groupBy("faixa_duracao")
+    main = (banded.groupBy("faixa_duracao")
             .agg(F.expr("count(1) AS corridas"),
                  F.expr("avg(duracao_minutos) AS duracao_media"),
                  F.expr(f"avg({a}) AS total_medio"),
                  F.expr(f"max({a}) AS maior_total"),
                  F.expr(f"{X.count_if_sql('outlier')} AS qtd_outliers"),
-                 F.expr(f"avg(CASE WHEN outlier THEN {a} END) AS total_medio_outlier"),
-                 F.expr(f"percentile(CASE WHEN outlier THEN {a} END, 0.5D) AS total_mediano_outlier")))
+                 F.expr(f"avg(CASE WHEN outlier THEN {a} END) AS total_medio_outlier")))
+    med = quantile_frame(banded.where(F.col("outlier")), amount, {"total_mediano_outlier": 0.5},
+                         ["faixa_duracao"], method, accuracy, continuous=True)
+    return attach_groups(main, med, ["faixa_duracao"])
 
 
 # --------------------------------------------------------------------------
