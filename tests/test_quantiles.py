@@ -95,3 +95,21 @@ def test_attach_groups_null_safe(spark):
     q = spark.createDataFrame([(True, 10.0), (None, 30.0)], "f boolean, m double")
     got = {r.f: (r.n, r.m) for r in QQ.attach_groups(main, q, ["f"]).collect()}
     assert got == {True: (1, 10.0), False: (2, None), None: (3, 30.0)}
+
+
+def test_radix_many_groups_without_broadcast(spark):
+    # groups of unbounded count: no broadcast hint, adaptive execution decides
+    df = spark.range(0, 4000).selectExpr("id % 97 AS g", "CAST((id * 7919) % 1000 AS DOUBLE) / 10 AS v")
+    got = {r.g: (r.m, r.q) for r in QQ.quantile_frame(df, "v", {"m": 0.5, "q": 0.9}, ["g"], method="radix",
+                                                       bounded_groups=False).collect()}
+    want = {r.g: (r.m, r.q) for r in QQ.quantile_frame(df, "v", {"m": 0.5, "q": 0.9}, ["g"],
+                                                        method="disc").collect()}
+    assert got == want and len(got) == 97
+
+
+def test_radix_plan_aggregates_partially_before_every_shuffle(frame):
+    q = QQ.quantile_frame(frame, "v", {"m": 0.5}, ["g"], method="radix")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    # four counting passes, each with a map-side partial aggregate
+    assert plan.count("partial_count(1)") == 4
+    assert "percentile" not in plan.lower() and "collect_list" not in plan
