@@ -52,7 +52,7 @@ _INF_KEY = 0x7FF0000000000000
 
 def double_key_columns(v: str) -> list[list[str]]:
     """Projections (applied in order) ending in ``__q_k``: a BIGINT key that
-    sorts like the double column ``v`` (NULL for NULL).
+    sorts like the double column ``v`` (0 for NULL; callers drop NULL values).
 
     For a >= 0 the key is the IEEE-754 bit pattern: (biased exponent << 52) |
     mantissa. ``log2`` gives the exponent up to one unit, corrected by one
