@@ -229,30 +229,38 @@ def iqr_bounds(df: DataFrame, column: str = "total_amount", factor: float = 1.5,
                         f"q3 + {f} * (q3 - q1) AS limite_superior")
 
 
+def outlier_bounds(df: DataFrame, column: str = "total_amount", factor: float = 1.5,
+                   method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> tuple:
+    """(lower, upper) IQR bounds, computed now by a job of their own: two
+    numbers reach the driver (both None when the column has no values)."""
+    row = iqr_bounds(df, column, factor, method, accuracy).select(
+        "limite_inferior", "limite_superior").first()
+    return row.limite_inferior, row.limite_superior
+
+
 def flag_outliers(df: DataFrame, column: str = "total_amount", out: str = "outlier",
                   factor: float = 1.5, method: str = DEFAULT_METHOD,
                   accuracy: int = DEFAULT_ACCURACY,
-                  bounds_from: DataFrame | None = None) -> DataFrame:
+                  bounds_from: DataFrame | None = None, bounds: tuple | None = None) -> DataFrame:
     """Boolean ``out``: value outside the IQR bounds (NULL value -> NULL).
 
-    The bounds over ``bounds_from`` (default: ``df``) are computed by a job of
-    their own when this is called - two numbers reach the driver - and
-    inlined as literals: plans that select over the flagged rows (the band
-    medians run several passes over them) then carry two constants instead of
-    nesting the quartiles' own passes in each of theirs.
+    ``bounds`` (lower, upper) are used as given; otherwise they are computed
+    over ``bounds_from`` (default: ``df``) by ``outlier_bounds`` when this is
+    called and inlined as literals: plans that select over the flagged rows
+    (the band medians run several passes over them) then carry two constants
+    instead of nesting the quartiles' own passes in each of theirs.
     """
-    b = iqr_bounds(bounds_from if bounds_from is not None else df, column, factor, method, accuracy)
-    row = b.select("limite_inferior", "limite_superior").first()
-    t = df.schema[column].dataType
-    lo, hi = (F.lit(v).cast("double") for v in (row.limite_inferior, row.limite_superior))
-    if row.limite_inferior is None:     # no values: every flag NULL, as the comparison with NULL gives
-        lo = hi = F.lit(None).cast("double")
-    return df.withColumn(out, X.outside(F.col(column).cast("double") if t.simpleString() != "double" else column, lo, hi))
+    if bounds is None:
+        bounds = outlier_bounds(bounds_from if bounds_from is not None else df, column, factor,
+                                method, accuracy)
+    lo, hi = (F.lit(b).cast("double") for b in bounds)
+    return df.withColumn(out, X.outside(F.col(column).cast("double"), lo, hi))
 
 
 def iqr_outlier_counts(df: DataFrame, column: str = "total_amount",
-                       method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    return (flag_outliers(df, column, method=method, accuracy=accuracy)
+                       method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY,
+                       bounds: tuple | None = None) -> DataFrame:
+    return (flag_outliers(df, column, method=method, accuracy=accuracy, bounds=bounds)
             .groupBy("outlier").agg(F.expr("count(1) AS count")))
 
 
@@ -262,9 +270,10 @@ def top_outliers(df: DataFrame, column: str = "total_amount", k: int = 20,
                                            "tip_amount", "tolls_amount", "airport_fee",
                                            "total_amount"),
                  tie_break: Sequence[str] = (), method: str = DEFAULT_METHOD,
-                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                 accuracy: int = DEFAULT_ACCURACY, bounds: tuple | None = None) -> DataFrame:
     """The ``k`` largest outliers (top-k: TakeOrderedAndProject, no full sort)."""
-    flagged = flag_outliers(df, column, method=method, accuracy=accuracy).where(F.col("outlier"))
+    flagged = flag_outliers(df, column, method=method, accuracy=accuracy,
+                            bounds=bounds).where(F.col("outlier"))
     order = [F.col(column).desc()] + [F.col(c).asc_nulls_last() for c in tie_break]
     return flagged.orderBy(*order).limit(k).select(*columns)
 
@@ -277,7 +286,8 @@ def trip_duration(df: DataFrame, start: str = "pickup_datetime_tratado",
 
 def outliers_by_band(df: DataFrame, amount: str = "total_amount",
                      start: str = "pickup_datetime_tratado", end: str = "dropoff_datetime_tratado",
-                     method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                     method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY,
+                     bounds: tuple | None = None) -> DataFrame:
     """Per duration band: trips, mean duration, mean/max amount, outlier count,
     mean and exact median of the outliers' amounts.
 
@@ -287,7 +297,8 @@ def outliers_by_band(df: DataFrame, amount: str = "total_amount",
     broadcast).
     """
     timed = trip_duration(df, start, end)
-    flagged = flag_outliers(timed, amount, method=method, accuracy=accuracy, bounds_from=df)
+    flagged = flag_outliers(timed, amount, method=method, accuracy=accuracy, bounds_from=df,
+                            bounds=bounds)
     banded = flagged.withColumn("faixa_duracao", X.duration_band("duracao_minutos"))
     a = quote(amount)
     main = (banded.groupBy("faixa_duracao")

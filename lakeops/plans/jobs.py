@@ -110,6 +110,11 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
         imputed = Q.impute_median(typed, "passenger_count", method=method)
         repaired = Q.order_timestamps(imputed)
         scoped = Q.filter_period(repaired, months)
+        # the IQR bounds are selected once (one row) and serve the bounds
+        # report and the three outlier reports
+        iqr = Q.iqr_bounds(scoped, method=method)
+        iqr_row = iqr.first()
+        bounds = (iqr_row.limite_inferior, iqr_row.limite_superior)
         reports = {
             "cast_loss": A.cast_loss(union_plain, SILVER_SCHEMA),
             "rows_by_source": A.rows_by_source(typed),
@@ -127,11 +132,11 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
             "period_scope": Q.period_scope_counts(repaired, months),
             "out_of_period": Q.out_of_period_detail(repaired, months),
             "amount_summary": Q.numeric_summary(scoped, method=method),
-            "iqr_bounds": Q.iqr_bounds(scoped, method=method),
-            "iqr_outliers": Q.iqr_outlier_counts(scoped, method=method),
-            "top_outliers": Q.top_outliers(scoped, method=method,
-                                           tie_break=("pickup_datetime", "tipo")),
-            "outliers_by_band": Q.outliers_by_band(scoped, method=method),
+            "iqr_bounds": spark.createDataFrame([iqr_row], iqr.schema),
+            "iqr_outliers": Q.iqr_outlier_counts(scoped, bounds=bounds),
+            "top_outliers": Q.top_outliers(scoped, tie_break=("pickup_datetime", "tipo"),
+                                           bounds=bounds),
+            "outliers_by_band": Q.outliers_by_band(scoped, bounds=bounds),
             "negatives": Q.negatives_summary(scoped),
             "negatives_by_month": Q.negatives_by(scoped, ["year", "month"]),
             "negatives_by_date": Q.negatives_by(scoped, ["data_corrida"]),
