@@ -224,6 +224,11 @@ def iqr_bounds(df: DataFrame, column: str = "total_amount", factor: float = 1.5,
                method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """One row: q1, q3, iqr, lower = q1 - factor*iqr, upper = q3 + factor*iqr."""
     q = quantile_frame(df, column, {"q1": 0.25, "q3": 0.75}, method=method, accuracy=accuracy)
+    return iqr_from_quartiles(q, factor)
+
+
+def iqr_from_quartiles(q: DataFrame, factor: float = 1.5) -> DataFrame:
+    """The bounds row from a frame with quartile columns ``q1`` and ``q3``."""
     f = f"CAST({float(factor)!r} AS DOUBLE)"
     return q.selectExpr("q1", "q3", "q3 - q1 AS iqr", f"q1 - {f} * (q3 - q1) AS limite_inferior",
                         f"q3 + {f} * (q3 - q1) AS limite_superior")

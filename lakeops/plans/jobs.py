@@ -110,9 +110,13 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
         imputed = Q.impute_median(typed, "passenger_count", method=method)
         repaired = Q.order_timestamps(imputed)
         scoped = Q.filter_period(repaired, months)
-        # the IQR bounds are selected once (one row) and serve the bounds
+        # the amount quartiles are selected once (one row): they are the
+        # summary report, and q1/q3 give the IQR bounds that serve the bounds
         # report and the three outlier reports
-        iqr = Q.iqr_bounds(scoped, method=method)
+        summary = Q.numeric_summary(scoped, method=method)
+        summary_row = summary.first()
+        summary_df = spark.createDataFrame([summary_row], summary.schema)
+        iqr = Q.iqr_from_quartiles(summary_df.selectExpr("p25 AS q1", "p75 AS q3"))
         iqr_row = iqr.first()
         bounds = (iqr_row.limite_inferior, iqr_row.limite_superior)
         reports = {
@@ -131,7 +135,7 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
             "timestamp_checks": BU.timestamp_bundle(repaired),
             "period_scope": Q.period_scope_counts(repaired, months),
             "out_of_period": Q.out_of_period_detail(repaired, months),
-            "amount_summary": Q.numeric_summary(scoped, method=method),
+            "amount_summary": summary_df,
             "iqr_bounds": spark.createDataFrame([iqr_row], iqr.schema),
             "iqr_outliers": Q.iqr_outlier_counts(scoped, bounds=bounds),
             "top_outliers": Q.top_outliers(scoped, tie_break=("pickup_datetime", "tipo"),

@@ -38,6 +38,7 @@ def test_land_silver_gold_end_to_end(spark, tmp_dir):
     st = build_stages(raw_frames, QUERY_MONTHS)       # same batch as the job (the median depends on it)
     same = {"rows_by_source": A.rows_by_source(st.typed), "passenger_rates": BU.rate_bundle(st.typed),
             "iqr_bounds": Q.iqr_bounds(st.scoped), "outliers_by_band": Q.outliers_by_band(st.scoped),
+            "amount_summary": Q.numeric_summary(st.scoped), "iqr_outliers": Q.iqr_outlier_counts(st.scoped),
             "recompose_mismatch": Q.recompose_mismatch(st.scoped),
             "timestamp_problems": Q.timestamp_problems(st.imputed)}
     for name, df in same.items():
