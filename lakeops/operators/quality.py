@@ -113,10 +113,6 @@ def timestamps_changed(df: DataFrame, start: str = "pickup_datetime", end: str =
 # imputation
 # --------------------------------------------------------------------------
 
-def _dtype(df: DataFrame, column: str) -> str:
-    return df.schema[column].dataType.simpleString()
-
-
 def valid_median(df: DataFrame, column: str, method: str = DEFAULT_METHOD,
                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """One-row frame: median of the values > 0 (lower middle for an even count)."""
