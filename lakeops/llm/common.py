@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ def utf8(column: Column) -> Column:
     return column.cast("binary")
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def written(df: DataFrame, name: str, compression: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` below the shared scratch folder and read it back.
 
     Cuts the lineage: a lost executor costs the tasks since this table, not
@@ -33,7 +35,7 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -49,6 +51,17 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
+def slices_by_bytes(batches: Iterable[pa.RecordBatch], column: int, size: int = 6 << 20) -> Iterator[pa.RecordBatch]:
+    """Views whose strings in ``column`` have about ``size`` bytes together (one longer string stands alone)."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at, done = 0, 0
+        while at < batch.num_rows:
+            until = max(at + 1, int(np.searchsorted(ends, done + size, side="right")))
+            yield batch.slice(at, until - at)
+            at, done = until, int(ends[until - 1])
+
+
 class Memo(dict):
     """A dictionary that fills itself with ``make(key)`` and forgets all when full."""
 

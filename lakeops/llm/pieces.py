@@ -24,11 +24,16 @@ import unicodedata
 from array import array
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # the pattern of the library's byte-level pre-tokenizer; fixed value
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-SPACE_BEFORE_SPACE = re.compile(r"\s ")
-CONTROL_SEPARATORS = re.compile("[\x1c-\x1f]")    # white space to Python, not to Unicode
+# any white space before a space, in the syntax of the Arrow functions; a superset of Unicode's
+SPACE_BEFORE_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
+CONTROL_SEPARATORS = re.compile("[\x1c-\x1f]")    # white space to some libraries, not to others
 LATIN_END = "ɐ"
 
 
@@ -40,24 +45,10 @@ def kept_in_worker(name: str, make):
     return holder.__dict__[name]
 
 
-class _Words(dict):
-    """Ids by word; a word without ids is noted in ``lacking`` and reads as no ids."""
-
-    def __init__(self):
-        super().__init__()
-        self.lacking: set[str] = set()
-        self.misses = 0
-
-    def __missing__(self, word):
-        self.lacking.add(word)
-        self.misses += 1
-        return b""
-
-
 class PieceEncoder:
-    """``encode(texts)``: per text its ids as little-endian unsigned 32-bit integers."""
+    """Ids of many texts by a tokenizer file; see the module."""
 
-    def __init__(self, path: str, memo_words: int = 700_000, memo_pieces: int = 400_000):
+    def __init__(self, path: str, memo_words: int = 1_300_000):
         import os
 
         import regex
@@ -75,9 +66,10 @@ class PieceEncoder:
                 t["lstrip"] or t["rstrip"] for t in layout.get("added_tokens") or []):
             self.rule = None
         self.special_starts = sorted({s[:2] for s in self.special})
-        self.words = _Words()
-        self.piece_ids: dict[str, bytes] = {}
-        self.memo_words, self.memo_pieces = memo_words, memo_pieces
+        # ids by word, a word after its space being written without it; pieces are words of their own
+        self.words: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}        # "spaced" only: what stands without a space before it
+        self.memo_words = memo_words
 
     @staticmethod
     def _rule(layout: dict) -> tuple[str | None, str | None]:
@@ -101,19 +93,13 @@ class PieceEncoder:
         return [array("I", e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
 
-    def split(self, text: str) -> list[str] | None:
-        """Words whose ids make up the text's ids; None: encode the text whole."""
-        if self.rule == "dropped":
-            return None if CONTROL_SEPARATORS.search(text) else text.split()
-        if self.rule == "spaced" and not SPACE_BEFORE_SPACE.search(text):
-            return text.split(" ")
-        return None
-
     def _cut(self, word: str) -> list[str] | None:
         """The word's pieces as the library cuts it; None: not proven, encode it whole."""
         for start in self.special_starts:
             if start in word:
                 return None
+        if CONTROL_SEPARATORS.search(word):
+            return None
         if self.rule == "spaced":
             return self.pattern.findall(word)
         low = word.lower()
@@ -123,48 +109,100 @@ class PieceEncoder:
             return None
         return self.pattern.findall(low)
 
-    def _resolve(self, words: list[str]) -> dict[str, bytes]:
-        cut = [self._cut(w) for w in words]
-        memo, lacking = self.piece_ids, set()
+    def _resolve(self, words: list[str], lead: str = "") -> dict[str, bytes]:
+        """Ids of ``lead + word`` by word, through the library for pieces that no memo holds."""
+        cut = [self._cut(lead + w) for w in words]
+        if not lead and self.rule == "spaced":
+            apart, inner = self.heads, self.heads
+        else:
+            apart, inner = (self.heads, self.words) if lead else (self.words, self.words)
+        new: dict[str, bytes | None] = {}        # by piece
+        for word, pieces in zip(words, cut):
+            for p in (lead + word,) if pieces is None else pieces:
+                if p not in new and (p[1:] not in inner if lead and p[:1] == lead else p not in apart):
+                    new[p] = None
+        new.update(zip(new, self.library(list(new))))
+        found = {}
         for word, pieces in zip(words, cut):
-            lacking.update([word] if pieces is None else pieces)
-        lacking = [p for p in lacking if p not in memo]
-        memo.update(zip(lacking, self.library(lacking)))
-        found = {w: memo[w] if pieces is None else b"".join([memo[p] for p in pieces])
-                 for w, pieces in zip(words, cut)}
-        if len(memo) > self.memo_pieces:      # keep the early, hence frequent, ones
-            for p in lacking:
-                del memo[p]
+            found[word] = b"".join([new[p] if p in new else inner[p[1:]] if lead and p[:1] == lead else apart[p]
+                                    for p in ((lead + word,) if pieces is None else pieces)])
+        # full memos take nothing more: what came early is what is frequent
+        if max(len(apart), len(inner)) < self.memo_words:
+            for p, ids in new.items():
+                if lead and p[:1] == lead:
+                    inner[p[1:]] = ids
+                else:
+                    apart[p] = ids
+            inner.update(found)
         return found
 
+    def _looked_up(self, words: pa.StringArray, first: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+        """Per word its number, and the ids of each number; ``first``: places of words without a space before them."""
+        coded = words.dictionary_encode()
+        number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        distinct = coded.dictionary.to_pylist()
+        spaced = self.rule == "spaced"
+        ids = list(map(self.words.get, distinct))
+        holes = [k for k, known in enumerate(ids) if known is None]
+        if holes:
+            found = self._resolve([distinct[k] for k in holes], " " if spaced else "")
+            for k in holes:
+                ids[k] = found[distinct[k]]
+        if spaced and len(first):
+            starts = words.take(pa.array(first)).to_pylist()
+            heads = dict.fromkeys(starts)
+            found = self._resolve([w for w in heads if w not in self.heads])
+            at = {w: len(ids) + k for k, w in enumerate(heads)}
+            number[first] = [at[w] for w in starts]
+            ids += [found[w] if w in found else self.heads[w] for w in heads]
+        return number, ids
+
+    def _by_words(self, texts: pa.StringArray, flat: bool) -> tuple[np.ndarray | None, np.ndarray]:
+        lists = pc.split_pattern(texts, " ") if self.rule == "spaced" else pc.ascii_split_whitespace(texts)
+        size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        end = np.cumsum(size)
+        number, ids = self._looked_up(lists.flatten(), end - size)
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        n = length[number]
+        before = np.concatenate(([0], np.cumsum(n)))
+        counts = before[end] - before[end - size]
+        if not flat:
+            return None, counts
+        start = np.cumsum(length) - length
+        place = np.repeat(start[number] - before[:-1], n)
+        place += np.arange(len(place))
+        return np.frombuffer(b"".join(ids), "<u4")[place], counts
+
+    def encode_column(self, texts: pa.StringArray, flat: bool = True) -> tuple[np.ndarray | None, np.ndarray]:
+        """Ids of all texts in a row (None without ``flat``), and the number of ids of each.
+
+        No begin, end or added special tokens; no NULL texts.
+        """
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        whole = np.full(len(texts), self.rule is None)
+        if self.rule == "spaced":
+            whole = pc.match_substring_regex(texts, SPACE_BEFORE_SPACE).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._by_words(texts, flat)
+        counts = np.zeros(len(texts), np.int64)
+        direct = [np.frombuffer(x, "<u4") for x in self.library(texts.filter(pa.array(whole)).to_pylist())]
+        counts[whole] = [len(x) for x in direct]
+        rest, parts = np.zeros(0, "<u4"), []
+        if not whole.all():
+            rest, counts[~whole] = self._by_words(texts.filter(pa.array(~whole)), flat)
+        if not flat:
+            return None, counts
+        others, at = iter(direct), 0
+        for n, alone in zip(counts.tolist(), whole.tolist()):
+            parts.append(next(others) if alone else rest[at:at + n])
+            at += 0 if alone else n
+        return np.concatenate(parts), counts
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Ids of each text without begin, end or added special tokens."""
-        if self.rule is None:
-            return self.library(texts)
-        split = [self.split(t) for t in texts]
-        lead = " " if self.rule == "spaced" else ""     # all words but a text's first carry their space
-        heads = self._resolve(list({w[0] for w in split if w})) if lead else {}
-        tails = [w[1:] if lead and w else w for w in split]
-        memo, get = self.words, self.words.__getitem__
-        out, again = [], []
-        for at, words in enumerate(tails):
-            before = memo.misses
-            out.append(b"".join(map(get, words or ())))
-            if memo.misses > before:
-                again.append(at)
-        lacking = list(memo.lacking)
-        memo.lacking.clear()
-        found = self._resolve([lead + w for w in lacking])
-        memo.update((w, found[lead + w]) for w in lacking)
-        for at in again:
-            out[at] = b"".join(map(get, tails[at]))
-        whole = [at for at, w in enumerate(split) if w is None]
-        for at, ids in zip(whole, self.library([texts[at] for at in whole])):
-            out[at] = ids
-        if len(memo) > self.memo_words:      # keep the early, hence frequent, ones
-            for w in lacking:
-                del memo[w]
-        return [heads[w[0]] + ids if lead and w else ids for w, ids in zip(split, out)]
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        ids, counts = self.encode_column(pa.array(texts, pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])] if len(texts) else []
 
 
 def encoder(path: str) -> PieceEncoder:

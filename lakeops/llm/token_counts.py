@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lakeops.session import path_exists, scratch_path
 
-from .common import slices, text_or_empty, utf8
+from .common import slices_by_bytes, text_or_empty, utf8
 from .pieces import encoder, kept_in_worker
 
 
@@ -30,17 +30,17 @@ def tokenizer_version(path: str) -> str:
 
 
 def load_counter(path: str):
-    """``texts -> counts`` by the library that reads ``path`` (.json or .model).
+    """``Arrow texts -> counts`` by the library that reads ``path`` (.json or .model).
 
     No begin, end or added special tokens, no truncation, no padding; special
     strings inside texts are handled as the library does by default.
     """
     if path.endswith(".json"):
         pieces = encoder(path)
-        return lambda texts: [len(ids) // 4 for ids in pieces.encode(texts)]
+        return lambda texts: pieces.encode_column(texts, flat=False)[1]
     import sentencepiece
     model = kept_in_worker(f"model:{path}", lambda: sentencepiece.SentencePieceProcessor(model_file=path))
-    return lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
+    return lambda texts: np.array([len(ids) for ids in model.encode(texts.to_pylist(), num_threads=1)], np.int64)
 
 
 def count_tokens(texts: DataFrame, path: str) -> DataFrame:
@@ -48,9 +48,8 @@ def count_tokens(texts: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = load_counter(path)
-        for batch in slices(batches, 64):
-            counts = count(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(counts, np.int64))],
+        for batch in slices_by_bytes(batches, 1):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count(batch.column(1)))],
                                              ["digest", "n_tokens"])
 
     return texts.mapInArrow(run, "digest binary, n_tokens long")

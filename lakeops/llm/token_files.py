@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop, slices, text_or_empty, written
+from .common import drop, slices, slices_by_bytes, text_or_empty, written
 from .pieces import encoder
 
 BLOCK_IDS = 1 << 16          # a block closes at the document that reaches so many ids
@@ -56,28 +56,42 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return words[start].copy().view("<u4").reshape(-1) & KEEP[length - 1]
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str, text_col: str) -> DataFrame:
-    """``(id, ids)`` per row: the library's ids as little-endian unsigned 32-bit integers, then ``end_id``."""
-    end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+def id_width(tokenizer: str) -> str:
+    """Unsigned integer type, little-endian, that holds every id of the tokenizer."""
+    from tokenizers import Tokenizer
+    return "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+
+
+def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str, text_col: str,
+                     width: str) -> DataFrame:
+    """``(id, ids)`` per row: the library's ids, then ``end_id``, as integers of type ``width``."""
+    extra = 0 if end_id is None else 1
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = encoder(tokenizer)
-        for batch in slices(batches):
-            ids = [x + end for x in pieces.encode(batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+        for batch in slices_by_bytes(batches, 1):
+            ids, counts = pieces.encode_column(batch.column(1))
+            ends = np.cumsum(counts)
+            if extra:
+                ids, ends = np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1)
+            size = np.dtype(width).itemsize
+            offsets = np.concatenate(([0], ends * size)).astype(np.int64)
+            packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [
+                None, pa.py_buffer(offsets), pa.py_buffer(ids.astype(width))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed.cast(pa.binary())], ["id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
             .mapInArrow(run, f"id {kind}, ids binary"))
 
 
-def id_counts(tokens: DataFrame) -> DataFrame:
+def id_counts(tokens: DataFrame, width: str) -> DataFrame:
     """``(token, n)`` over the ``ids`` of all rows, added up within tasks first."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in slices(batches):
-            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
+            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), width)
             counts = np.bincount(ids, minlength=len(total))
             counts[:len(total)] += total
             total = counts
@@ -99,8 +113,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int |
     empty table writes an empty file set.
     """
     spark = docs.sparkSession
-    tokens, tokens_path = written(encode_documents(docs, tokenizer, end_id, id_col, text_col), "token-ids")
-    counted = sorted((-r["n"], r["token"]) for r in id_counts(tokens).collect())
+    width = id_width(tokenizer)
+    size = np.dtype(width).itemsize
+    tokens, tokens_path = written(encode_documents(docs, tokenizer, end_id, id_col, text_col, width), "token-ids",
+                                  compression="zstd")
+    counted = sorted((-r["n"], r["token"]) for r in id_counts(tokens, width).collect())
     ranked = np.array([token for _, token in counted], np.uint32)
     rank = np.zeros(int(ranked.max()) + 1 if len(ranked) else 1, np.uint32)
     rank[ranked] = np.arange(len(ranked), dtype=np.uint32)
@@ -108,24 +125,24 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int |
      .coalesce(1).write.parquet(f"{path}/codebook"))
 
     def block(part: int, no: int, rows: list, id_type: pa.DataType) -> pa.RecordBatch:
-        control, data = pack(rank[np.frombuffer(b"".join(ids for _, ids in rows), "<u4")])
+        control, data = pack(rank[np.frombuffer(b"".join(ids for _, ids in rows), width)])
         return pa.RecordBatch.from_arrays(
             [pa.array([part], pa.int32()), pa.array([no], pa.int64()),
              pa.array([[doc for doc, _ in rows]], pa.list_(id_type)),
-             pa.array([[len(ids) // 4 for _, ids in rows]], pa.list_(pa.int64())),
+             pa.array([[len(ids) // size for _, ids in rows]], pa.list_(pa.int64())),
              pa.array([control], pa.binary()), pa.array([data], pa.binary())],
             ["part", "block", "doc_ids", "lengths", "control", "data"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        no, rows, size, part, id_type = 0, [], 0, 0, None
+        no, rows, held, part, id_type = 0, [], 0, 0, None
         for batch in slices(batches):
             id_type, part = batch.schema.field(0).type, batch.column(2)[0].as_py()
             for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows.append((doc, ids))
-                size += len(ids) // 4
-                if size >= BLOCK_IDS:
+                held += len(ids) // size
+                if held >= BLOCK_IDS:
                     yield block(part, no, rows, id_type)
-                    no, rows, size = no + 1, [], 0
+                    no, rows, held = no + 1, [], 0
         if rows:
             yield block(part, no, rows, id_type)
 
