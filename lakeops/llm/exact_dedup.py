@@ -77,8 +77,8 @@ def deduplicate(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", tex
     groups, _ = written(rows.groupBy("digest").agg(F.min("id").alias("keep_id"),
                                                    F.sum("copies").alias("group_size")), "digest-groups")
     index.add(groups, batch)
-    known = index.table()
-    verdict = groups.select("digest", "group_size").join(known.hint("merge"), "digest")
+    # stored, so that the join below shuffles both sides and a text in very many rows can be split
+    verdict, _ = written(groups.select("digest", "group_size").join(index.table().hint("merge"), "digest"), "verdict")
     first = (F.col("batch") == batch) & F.col("id").eqNullSafe(F.col("keep_id"))
     return (rows.join(verdict, "digest")
             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast(LongType()), F.col("copies"))))
