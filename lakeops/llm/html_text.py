@@ -8,8 +8,11 @@ order, the first that it has gives the text. Pages of one site share a
 template, so a page whose own scores mislead (a long notice, a short
 article) is read where its siblings keep their articles.
 
-Pages move nowhere: votes are a few small rows per page, added up within
-tasks first, so a host with a third of all pages is no heavier than others.
+Votes are one small row per page, added up within tasks first, so a host
+with a third of all pages is no heavier than others. The winning paths (one
+row per host) join the pages by Spark's own choice: pages stay in place while
+the stored path table is under its broadcast threshold, beyond it they are
+shuffled by host and adaptive execution splits the large hosts.
 """
 
 from __future__ import annotations
@@ -249,7 +252,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     host with no name. Repeated rows are separate pages; other columns are
     not read; an empty table gives no rows.
     """
-    paths, _ = written(winning_paths(container_votes(pages, url_col, html_col), keep), "host-paths")
+    votes, _ = written(container_votes(pages, url_col, html_col), "host-votes")     # used twice below
+    paths, _ = written(winning_paths(votes, keep), "host-paths")
     kind, url_kind = pages.schema[id_col].dataType, pages.schema[url_col].dataType
     slim = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), _host(url_col).alias("host"),
                         text_or_empty(html_col).alias("html"))
