@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lakeops.session import path_exists, scratch_path
 
-from .common import slices_by_bytes, text_or_empty, utf8
+from .common import slices_by_bytes, text_or_empty, utf8, written
 from .pieces import encoder, kept_in_worker
 
 
@@ -102,7 +102,9 @@ def document_token_counts(docs: DataFrame, tokenizer: str, cache: CountCache | N
     cache.append(count_tokens(misses.select("digest", "content"), tokenizer), version)
     rows = docs.select(F.col(id_col).alias("id"), F.octet_length(utf8(text_or_empty(text_col)))
                        .cast("long").alias("n_bytes"), digest.alias("digest"))
-    return (rows.join(cache.counts(version), "digest")
+    # the delivery's counts, stored: the join below then shuffles both sides and a text in very many rows can be split
+    counts, _ = written(cache.counts(version).join(rows.select("digest").distinct(), "digest", "left_semi"), "counts")
+    return (rows.join(counts, "digest")
             .select(F.col("id").alias(id_col), "n_bytes", "n_tokens",
                     (F.col("n_tokens") > limit).alias("over_limit")))
 
