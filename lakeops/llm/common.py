@@ -63,14 +63,14 @@ def slices_by_bytes(batches: Iterable[pa.RecordBatch], column: int, size: int =
 
 
 class Memo(dict):
-    """A dictionary that fills itself with ``make(key)`` and forgets all when full."""
+    """A dictionary that fills itself with ``make(key)`` until it is full; early keys are the frequent ones."""
 
     def __init__(self, make, limit: int = 400_000):
         super().__init__()
         self.make, self.limit = make, limit
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if len(self) < self.limit:
+            self[key] = value
         return value

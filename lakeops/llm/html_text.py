@@ -94,7 +94,7 @@ def blocks(page: str) -> list[Block]:
                 while place >= 0 and stack[place][0] not in CONTAINER:
                     prose = prose or stack[place][0] in PROSE
                     place -= 1
-                out.append(Block(stack[place][1] if place >= 0 else (), text, not (stack and stack[-1][2]),
+                out.append(Block(stack[place][1] if place >= 0 else ROOT, text, not (stack and stack[-1][2]),
                                  linked, prose))
             buffer.clear()
         linked = 0
@@ -162,7 +162,7 @@ def blocks(page: str) -> list[Block]:
                        NOT_MAIN_NAME.search(label) or NOT_MAIN_NAME.search(named.get("id", "")))
                    or named.get("role", "").lower() in NOT_MAIN_ROLE
                    or named.get("aria-hidden") == "true" or HIDDEN.search(attributes) is not None)
-        above = stack[-1][1] if stack else ()
+        above = stack[-1][1] if stack else ROOT
         path = above
         if tag in CONTAINER:
             classes = ".".join(sorted(set(DIGITS.sub("0", label.lower()).split())))
@@ -172,7 +172,9 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-CONTAINER = frozenset("html body main article section div td center details".split())
+# html and body are implied: pages may leave them out
+ROOT = ("body",)
+CONTAINER = frozenset("main article section div td center details".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt figcaption td".split())
 STOP_P = frozenset("html body main article section div td th table button".split())
 LISTS = frozenset("ul ol dl table tbody thead tfoot menu html body main article section div".split())
@@ -187,7 +189,7 @@ def best_container(page: list[Block]) -> tuple[str, float] | None:
     """
     score: dict[tuple, float] = defaultdict(float)
     for block in page:
-        if block.main and block.path:
+        if block.main:
             value = (len(block.text) - 2 * block.links) * (1.0 if block.prose else 0.5)
             for up in range(min(3, len(block.path))):
                 score[block.path[:len(block.path) - up]] += value / 2 ** up

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, utf8
+from .common import slices_by_bytes, utf8
 
 WINDOW = 256                 # bytes per window when predicting
 PAD = 256                    # beside the 256 byte values; leaves states untouched
@@ -246,7 +246,7 @@ def predict(docs: DataFrame, model: ByteGru | None, text_col: str = "text", labe
     ready = docs.withColumn("__input", F.when(F.rlike(F.col(text_col), F.lit(HAS_LETTER)), utf8(F.col(text_col))))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices_by_bytes(batches, -1, 2 << 20):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             letters = np.array([t is not None for t in texts], bool)
             names, best = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))

@@ -48,7 +48,7 @@ def kept_in_worker(name: str, make):
 class PieceEncoder:
     """Ids of many texts by a tokenizer file; see the module."""
 
-    def __init__(self, path: str, memo_words: int = 1_300_000):
+    def __init__(self, path: str, memo_words: int = 1_100_000):
         import os
 
         import regex
@@ -205,9 +205,9 @@ class PieceEncoder:
         return [x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])] if len(texts) else []
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, **options) -> PieceEncoder:
     """The worker's encoder of a tokenizer file."""
-    return kept_in_worker(f"pieces:{path}", lambda: PieceEncoder(path))
+    return kept_in_worker(f"pieces:{path}:{options}", lambda: PieceEncoder(path, **options))
 
 
 __all__ = ["PieceEncoder", "encoder", "kept_in_worker"]

@@ -72,7 +72,7 @@ class PieceLattice:
     the unknown piece) at a score below every piece's.
     """
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, memo: int = 250_000):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.normalize = model.normalize

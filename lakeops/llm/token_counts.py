@@ -36,7 +36,7 @@ def load_counter(path: str):
     strings inside texts are handled as the library does by default.
     """
     if path.endswith(".json"):
-        pieces = encoder(path)
+        pieces = encoder(path, memo_words=600_000)
         return lambda texts: pieces.encode_column(texts, flat=False)[1]
     import sentencepiece
     model = kept_in_worker(f"model:{path}", lambda: sentencepiece.SentencePieceProcessor(model_file=path))
