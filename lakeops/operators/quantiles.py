@@ -5,8 +5,10 @@ entry per distinct value of a group and merge them in the one task that
 finishes the group: a group holding a third of all rows with unbounded
 distinct values (amounts) would pull an unbounded map into one task.
 
-Here the k-th smallest value of every group is found in at most four
-aggregation passes over the rows, each bounded:
+Here rows are first counted per (group, value) - one scan, one shuffle that
+partial aggregation shortens where values repeat - and the k-th smallest value
+of every group is found in four aggregation passes over those counts, each
+bounded and all reading the same shuffle:
 
 1. every value maps to a 64-bit key that sorts like the value (integers as
    themselves; doubles through sign, exponent and mantissa, built from
@@ -139,13 +141,16 @@ def select_ranks(df: DataFrame, column: str, probs: Mapping[str, float], by: Seq
             raise ValueError(f"group column {b!r} uses the reserved prefix __q_")
     gb = [F.col(b) for b in by]
     vt = "double" if continuous else df.schema[column].dataType.simpleString()
-    rows = (with_key(df, column, by).where(F.col("__q_v").isNotNull())
-            .withColumn("__q_v", F.col("__q_v").cast(vt)))
+    # rows per (group, value), counted once: every pass reads this same shuffle
+    # (Spark reuses it), so the source is scanned once and the keys are made
+    # once per distinct value and task
+    values = (df.where(F.col(column).isNotNull()).groupBy(*dict.fromkeys([*by, column]))
+              .agg(F.expr("count(1) AS __q_w")))
+    rows = with_key(values, column, [*by, "__q_w"]).withColumn("__q_v", F.col("__q_v").cast(vt))
 
     def bucket_counts(frame: DataFrame, keys: list[str], shift: int) -> DataFrame:
         return (frame.groupBy(*keys, F.expr(f"shiftright(__q_k, {shift})").alias("__q_d"))
-                .agg(F.expr("count(1) AS __q_c"), F.expr("min(__q_k) AS __q_lo"),
-                     F.expr("max(__q_k) AS __q_hi"), F.expr("min(__q_v) AS __q_m")))
+                .agg(F.expr("sum(__q_w) AS __q_c"), F.expr("min(__q_v) AS __q_m")))
 
     shifts = [64 - DIGIT_BITS * (j + 1) for j in range(MAX_PASSES)]     # 48, 32, 16, 0
     # pass 1: top 16 bits of the key, group sizes, then every target's bucket
@@ -161,8 +166,7 @@ def select_ranks(df: DataFrame, column: str, probs: Mapping[str, float], by: Seq
 
     # passes 2..4: the rows of the chosen bucket are those whose key has the
     # bucket's prefix - an equi-join of (group, key prefix) with one row per
-    # (group, target); counted by the next 16 bits. A target settled early
-    # (min key = max key) just re-counts its one key.
+    # (group, target); counted by the next 16 bits.
     keep = part + ["__q_n", "__q_r"]
     for prev, shift in zip(shifts, shifts[1:]):
         look = found.select(*[F.col(b).alias(f"__q_b{i}") for i, b in enumerate(by)],
@@ -174,7 +178,7 @@ def select_ranks(df: DataFrame, column: str, probs: Mapping[str, float], by: Seq
         cond = [F.col(f"__q_x.{quote(b)}").eqNullSafe(F.col(f"__q_u.__q_b{i}")) for i, b in enumerate(by)]
         cond.append(F.col("__q_x.__q_pfx") == F.col("__q_u.__q_pfx"))
         cand = x.join(u, reduce(lambda a, b: a & b, cond), "inner").select(
-            *[F.col(f"__q_x.{quote(b)}") for b in by], "__q_x.__q_k", "__q_x.__q_v",
+            *[F.col(f"__q_x.{quote(b)}") for b in by], "__q_x.__q_k", "__q_x.__q_v", "__q_x.__q_w",
             "__q_u.__q_t", "__q_u.__q_n", "__q_u.__q_r")
         found = _pick(bucket_counts(cand, keep, shift), part)
 
