@@ -9,6 +9,7 @@ Reports are informative: nothing here changes or removes rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,19 +36,37 @@ def rows_by_source(df: DataFrame, source: str = "tipo", total_label: str = "tota
 def exact_duplicates(df: DataFrame) -> DataFrame:
     """Total rows, distinct full rows and the difference, as one row.
 
-    One scan and one shuffle: rows are grouped on all columns (duplicates
-    collapse in the map-side partial aggregation before the shuffle); the
-    total is the sum of the group sizes, the distinct count the group count.
+    Every row is shuffled as two 64-bit hashes; rows whose hashes occur once
+    are distinct. Only rows whose hashes repeat are compared in full.
     """
-    groups = df.groupBy(*df.columns).agg(F.expr("count(1) AS _n"))
-    return (groups.selectExpr("sum(_n) AS registros", "count(1) AS registros_distintos")
+    marked, sizes = _by_hash(df, df.columns)
+    doubtful = _repeated(marked, sizes).groupBy(*df.columns).agg(F.expr("count(1) AS _n"))
+    parts = (sizes.selectExpr("_n AS r", "CASE WHEN _n = 1 THEN 1L ELSE 0L END AS d")
+             .unionAll(doubtful.selectExpr("0L AS r", "1L AS d")))
+    return (parts.selectExpr("coalesce(sum(r), 0L) AS registros", "coalesce(sum(d), 0L) AS registros_distintos")
             .selectExpr("registros", "registros_distintos",
                         "registros - registros_distintos AS duplicados"))
 
 
 def key_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Groups of the logical key that occur more than once."""
-    return df.groupBy(*key).agg(F.expr("count(1) AS count")).where(F.expr("count > 1"))
+    """Groups of the logical key that occur more than once.
+
+    As in ``exact_duplicates``, keys are shuffled only where their hashes repeat.
+    """
+    marked, sizes = _by_hash(df.select(*key), key)
+    return (_repeated(marked, sizes).groupBy(*key).agg(F.expr("count(1) AS count"))
+            .where(F.expr("count > 1")))
+
+
+def _by_hash(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``df`` with two hashes of ``columns``, and the rows per pair of hashes."""
+    cols = ", ".join(quote(c) for c in columns)
+    marked = df.selectExpr("*", f"xxhash64({cols}) AS _h1", f"xxhash64('second', {cols}) AS _h2")
+    return marked, marked.groupBy("_h1", "_h2").agg(F.expr("count(1) AS _n"))
+
+
+def _repeated(marked: DataFrame, sizes: DataFrame) -> DataFrame:
+    return marked.join(sizes.where("_n > 1").select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
 
 
 def volume_by(df: DataFrame, column: str = "VendorID") -> DataFrame:
@@ -111,9 +130,23 @@ def amount_by_zero_flag(df: DataFrame, column: str = "passenger_count", value: s
 # cast loss
 # --------------------------------------------------------------------------
 
-def cast_loss(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
+def cast_loss(frames: DataFrame | Sequence[DataFrame], schema: Mapping[str, str]) -> DataFrame:
     """Per column: non-NULL values before and after ``try_cast`` to the target.
 
+    Several frames (files whose types differ) are measured each in its own
+    types and added up per column: no union coerces a value before it is
+    counted. A column that a frame lacks adds nothing.
+    """
+    frames = [frames] if isinstance(frames, DataFrame) else list(frames)
+    counts = reduce(DataFrame.unionAll, [_cast_counts(df, schema) for df in frames])
+    return (counts.groupBy("coluna").agg(F.expr("sum(antes) AS antes"), F.expr("sum(depois) AS depois"))
+            .selectExpr("coluna", "antes", "depois", "antes - depois AS perdidos",
+                        "CASE WHEN antes > 0 THEN round((antes - depois) / antes * 100, 4) ELSE 0.0D END AS pct_perdido"))
+
+
+def _cast_counts(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
+    """``(coluna, antes, depois)`` of one frame.
+
     One scan: both counts are computed side by side in a single aggregate, then
     unpivoted to one row per column. Run it on the raw columns (before any
     adapter cast) so that losses in those casts are visible too.
@@ -125,7 +158,4 @@ def cast_loss(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
         aggs.append(f"count({try_cast_sql(df, c, schema[c])}) AS a{i}")
     wide = df.selectExpr(*aggs)          # a global aggregate, one JVM call
     stack = ", ".join(f"{sql_literal(c)}, b{i}, a{i}" for i, c in enumerate(cols))
-    return wide.selectExpr(
-        f"stack({len(cols)}, {stack}) AS (coluna, antes, depois)").selectExpr(
-        "coluna", "antes", "depois", "antes - depois AS perdidos",
-        "CASE WHEN antes > 0 THEN round((antes - depois) / antes * 100, 4) ELSE 0.0D END AS pct_perdido")
+    return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (coluna, antes, depois)")

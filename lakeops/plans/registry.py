@@ -243,6 +243,49 @@ def q_cast_loss(spark, sf_dir):
     return A.cast_loss(E.read_table(spark, sf_dir, "lineitem"), LINEITEM_TARGET)
 
 
+# The part of lineitem delivered as text in the mixed-type scenario, and the text no number can be.
+MIXED = """
+SELECT 'l_linenumber' AS coluna, count(*) AS antes, count(*) FILTER (l_returnflag <> 'R') AS depois,
+       count(*) FILTER (l_returnflag = 'R') AS perdidos,
+       round(count(*) FILTER (l_returnflag = 'R') / count(*) * 100, 4) AS pct_perdido
+  FROM lineitem
+UNION ALL
+SELECT 'l_quantity' AS coluna, count(*) AS antes, count(*) AS depois, 0 AS perdidos, 0e0 AS pct_perdido
+  FROM lineitem"""
+
+
+@register("cast_loss_mixed_types", MIXED)
+def q_cast_loss_mixed_types(spark, sf_dir):
+    """Deliveries of one column as integer and as text, part of it not a number."""
+    rows = E.read_table(spark, sf_dir, "lineitem")
+    typed = rows.where("l_returnflag = 'A'").selectExpr("CAST(l_linenumber AS BIGINT) AS l_linenumber", "l_quantity")
+    text = rows.where("l_returnflag <> 'A'").selectExpr(
+        "CASE WHEN l_returnflag = 'R' THEN 'abc' ELSE CAST(l_linenumber AS STRING) END AS l_linenumber",
+        "CAST(l_quantity AS STRING) AS l_quantity")
+    return A.cast_loss([typed, text], {"l_linenumber": "int", "l_quantity": "double"})
+
+
+@register("exact_duplicates_lineitem", """
+SELECT (SELECT count(*) FROM lineitem) AS registros,
+       (SELECT count(*) FROM (SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount FROM lineitem))
+           AS registros_distintos,
+       (SELECT count(*) FROM lineitem)
+       - (SELECT count(*) FROM (SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount FROM lineitem))
+           AS duplicados""")
+def q_exact_duplicates_lineitem(spark, sf_dir):
+    """A projection of lineitem in which most rows repeat."""
+    return A.exact_duplicates(E.read_table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_linestatus", "l_quantity", "l_discount"))
+
+
+@register("key_duplicates_orders", """
+SELECT o_custkey, o_orderdate, count(*) AS count
+  FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1""")
+def q_key_duplicates_orders(spark, sf_dir):
+    """Customers with several orders on a day."""
+    return A.key_duplicates(E.read_table(spark, sf_dir, "orders"), ["o_custkey", "o_orderdate"])
+
+
 # ---------------------------------------------------------------------------
 # structural audit and value quality (typed stage: before any repair)
 # ---------------------------------------------------------------------------
