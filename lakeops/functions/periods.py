@@ -20,15 +20,20 @@ MONTH_PATTERN = re.compile(r"^\d{4}-(0[1-9]|1[0-2])$")
 
 
 def validate_months(months) -> list[str]:
-    """Check every item is ``YYYY-MM`` and drop repeats, keeping first order.
+    """The distinct months of a batch in the order given.
 
-    Raises ``ValueError`` naming every invalid item (and only those).
+    ``ValueError`` lists what is not a ``YYYY-MM`` month.
     """
-    items = list(months)
-    bad = [m for m in items if not isinstance(m, str) or not MONTH_PATTERN.match(m)]
-    if bad:
-        raise ValueError(f"invalid month(s): {bad}; expected YYYY-MM with month 01-12")
-    return list(dict.fromkeys(items))
+    seen: dict[str, None] = {}
+    refused = []
+    for item in months:
+        if isinstance(item, str) and MONTH_PATTERN.fullmatch(item):
+            seen.setdefault(item)
+        else:
+            refused.append(repr(item))
+    if refused:
+        raise ValueError(f"not a month written YYYY-MM: {', '.join(refused)}")
+    return list(seen)
 
 
 def parse_months(text: str) -> list[str]:
@@ -84,8 +89,3 @@ def month_set_predicate(months, year_col: str = "year", month_col: str = "month"
     pairs = [(F.col(year_col) == y) & (F.col(month_col) == m)
              for y, m in (month_tuple(s) for s in items)]
     return reduce(or_, pairs)
-
-
-def month_key(year_col: str = "year", month_col: str = "month") -> Column:
-    """``year * 100 + month`` as an int, the panel's month key."""
-    return (F.col(year_col) * 100 + F.col(month_col)).cast("int")

@@ -2,14 +2,14 @@
 
 Repairs: median imputation, start/end ordering, period scoping. Reports:
 timestamp problems, outliers by IQR and duration band, negative amounts and
-whether their components add up. Every function is lazy and returns a
-DataFrame; none caches or collects.
-
-Scalars the repairs need (a median, IQR bounds, the latest month) are
-scalar subqueries (``DataFrame.scalar()``): Spark evaluates the one-row
-aggregate once, with partial aggregation on every executor, and inlines the
-value - no cross join, no driver round trip in user code, and the size of
-what moves is one row whatever the data size.
+whether their components add up. None caches; all but ``flag_outliers`` and
+what builds on it are lazy.
+
+The imputation median is a scalar subquery (``DataFrame.scalar()``): Spark
+evaluates the one-row aggregate once, with partial aggregation on every
+executor, and inlines the value. The IQR bounds are two numbers that
+``outlier_bounds`` brings to the driver with a job of its own, unless the
+caller passes ``bounds``; the silver job computes them once for its reports.
 """
 
 from __future__ import annotations

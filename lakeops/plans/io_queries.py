@@ -8,6 +8,7 @@ operator, and returns a DataFrame that reads what was written.
 
 from __future__ import annotations
 
+from lakeops.functions.descriptions import COLUMN_TEXTS
 from lakeops.functions.periods import month_tuple
 from lakeops.functions.schema import SERVING_COLUMNS
 from lakeops.operators import profile as P
@@ -94,6 +95,19 @@ def q_scan_month_set(spark, sf_dir):
                                 "dropoff_datetime_tratado": "dropoff_datetime"})
 
 
+@register("catalog_months", with_base(f"SELECT * FROM scoped WHERE {_SCAN_PRED}"))
+def q_catalog_months(spark, sf_dir):
+    """Write, register, reprocess one month, point its partition at it again, read by table name."""
+    st = stages_from_events(spark, sf_dir)
+    path = scratch_path(spark, "catalog_trips")
+    table = path.rpartition("/")[2].replace("-", "_")
+    S.replace_months(spark, st.scoped, path, QUERY_MONTHS, time_col="pickup_datetime_tratado")
+    S.register_table(spark, table, path, comments=COLUMN_TEXTS)
+    S.replace_months(spark, st.scoped, path, SCAN_MONTHS[:1])
+    S.register_partitions(spark, table, path, SCAN_MONTHS[:1])
+    return spark.table(table).where(_SCAN_PRED)
+
+
 # ---------------------------------------------------------------------------
 # profile, missing columns, type drift
 # ---------------------------------------------------------------------------
@@ -183,7 +197,7 @@ def q_type_drift(spark, sf_dir):
 
 
 
-# Fixed value: the panel's free query over the month it opens on.
+# Fixed value: a free query of the panel.
 PANEL_QUERY = """SELECT tipo, year, month, hora_do_dia,
        ROUND(SUM(soma_passenger_count) / SUM(qtd_corridas), 2) AS media_passenger_count
   FROM trip_metrics GROUP BY tipo, year, month, hora_do_dia"""
@@ -194,7 +208,7 @@ SELECT tipo, year, month, hora_do_dia,
        round(sum(soma_passenger_count) / sum(qtd_corridas), 2) AS media_passenger_count
   FROM metrics GROUP BY tipo, year, month, hora_do_dia"""))
 def q_panel_free_query(spark, sf_dir):
-    """Serving tables written, exposed as views, queried with the row cap."""
+    """Serving tables written, exposed as views, queried in full."""
     from lakeops.plans.panel import free_query, register_views
     st = stages_from_events(spark, sf_dir)
     trips, metrics = scratch_path(spark, "gold_trips"), scratch_path(spark, "gold_metrics")

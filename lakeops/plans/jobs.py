@@ -20,8 +20,10 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeops.functions.periods import default_months, parse_months, validate_months
+from lakeops.functions.descriptions import COLUMN_TEXTS, TABLE_TEXTS
+from lakeops.functions.periods import default_months, month_tuple, parse_months, validate_months
 from lakeops.functions.schema import SERVING_COLUMNS, SILVER_SCHEMA, TRIP_KEY, conform
 from lakeops.operators import audit as A
 from lakeops.operators import bundle as BU
@@ -35,6 +37,13 @@ from lakeops.sources.services import SERVICES, standardize
 
 SERVICE_NAMES = tuple(SERVICES)
 
+# columns that order equal amounts in the top_outliers report: all it shows
+TOP_TIES = ("pickup_datetime", "tipo", "passenger_count", "trip_distance", "fare_amount", "tip_amount",
+            "tolls_amount", "airport_fee")
+# reports read by size: the column that ranks them
+RANKED = {"passenger_distribution": ("count",), "volume_by_vendor": ("total_registros",), "key_duplicates": ("count",),
+          "top_outliers": ("total_amount",), "iqr_outliers": ("count",)}
+
 
 def write_reports(reports: Mapping[str, DataFrame], path: str, max_parallel: int = 8) -> dict:
     """Write every report to ``path/<name>``, in parallel Spark jobs; return
@@ -66,10 +75,11 @@ def land_job(spark: SparkSession, source_root: str, raw_root: str, months,
     """Clear + land the requested months, then profile them."""
     months = validate_months(months)
     landed = B.land_months(spark, source_root, raw_root, services, months)
-    profile = P.profile_columns(spark, raw_root, services, months)
-    reports = {"landed": landed, "profile": profile,
-               "missing_columns": P.missing_columns(profile), "type_drift": P.type_drift(profile)}
-    return write_reports(reports, reports_path)
+    # one scan per raw file: the schema reports read the profile as written
+    out = write_reports({"landed": landed, "profile": P.profile_columns(spark, raw_root, services, months)},
+                        reports_path)
+    return out | write_reports({"missing_columns": P.missing_columns(out["profile"]),
+                                "type_drift": P.type_drift(out["profile"])}, reports_path)
 
 
 # ---------------------------------------------------------------------------
@@ -84,7 +94,8 @@ def raw_standardized(spark: SparkSession, raw_root: str, months, cast: bool,
 
 def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
                reports_path: str, method: str = Q.DEFAULT_METHOD,
-               services=SERVICE_NAMES, work_path: str | None = None) -> dict:
+               services=SERVICE_NAMES, work_path: str | None = None,
+               database: str | None = None, top_k: int = 20) -> dict:
     """Raw months -> typed, repaired trips; reports; month replacement.
 
     The typed trips are written once as Parquet below the shared checkpoint
@@ -92,14 +103,14 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
     executor costs a re-read of its files, not a recompute from the raw
     months), nothing needs to fit in executor memory, and each report reads
     only the columns it uses. Repairs (imputation, ordering, period scope) are
-    cheap projections over that table, recomputed per reader.
+    cheap projections over that table, recomputed per reader. With
+    ``database`` the table is published there as ``silver``.
     """
     months = validate_months(months)
     raw_cast = raw_standardized(spark, raw_root, months, True, services)
     if not raw_cast:
         raise ValueError(f"no raw files under {raw_root} for {months}")
     raw_plain = raw_standardized(spark, raw_root, months, False, services)
-    union_plain = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), raw_plain)
     typed_src = Q.add_date_parts(
         reduce(lambda a, b: a.unionByName(b), [conform(d, SILVER_SCHEMA) for d in raw_cast]),
         "pickup_datetime")
@@ -120,7 +131,7 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
         iqr_row = iqr.first()
         bounds = (iqr_row.limite_inferior, iqr_row.limite_superior)
         reports = {
-            "cast_loss": A.cast_loss(union_plain, SILVER_SCHEMA),
+            "cast_loss": A.cast_loss(raw_plain, SILVER_SCHEMA),
             "rows_by_source": A.rows_by_source(typed),
             "exact_duplicates": A.exact_duplicates(typed),
             "key_duplicates": A.key_duplicates(typed, TRIP_KEY),
@@ -138,8 +149,7 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
             "amount_summary": summary_df,
             "iqr_bounds": spark.createDataFrame([iqr_row], iqr.schema),
             "iqr_outliers": Q.iqr_outlier_counts(scoped, bounds=bounds),
-            "top_outliers": Q.top_outliers(scoped, tie_break=("pickup_datetime", "tipo"),
-                                           bounds=bounds),
+            "top_outliers": Q.top_outliers(scoped, k=top_k, tie_break=TOP_TIES, bounds=bounds),
             "outliers_by_band": Q.outliers_by_band(scoped, bounds=bounds),
             "negatives": Q.negatives_summary(scoped),
             "negatives_by_month": Q.negatives_by(scoped, ["year", "month"]),
@@ -152,6 +162,8 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
         out = write_reports(reports, reports_path)
         out["written"] = S.replace_months(spark, scoped, silver_path, months,
                                           time_col="pickup_datetime_tratado")
+        if database:
+            S.publish(spark, f"{database}.silver", silver_path, TABLE_TEXTS["silver"], COLUMN_TEXTS)
         return out
     finally:
         if work_path is None:
@@ -163,8 +175,15 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
 # ---------------------------------------------------------------------------
 
 def gold_job(spark: SparkSession, silver_path: str, trips_path: str, metrics_path: str,
-             months, reports_path: str, question_service: str = "yellow") -> dict:
+             months, reports_path: str, question_service: str = "yellow",
+             question_month: str | None = None, database: str | None = None) -> dict:
+    """Serving trips, hourly metrics and the questions over them.
+
+    ``question_month`` (default: the last requested month) is the month of the
+    fixed-month question. With ``database`` both tables are published there.
+    """
     months = validate_months(months)
+    year, month = month_tuple(question_month or max(months))
     source_cols = [{"pickup_datetime": "pickup_datetime_tratado",
                     "dropoff_datetime": "dropoff_datetime_tratado"}.get(c, c) for c in SERVING_COLUMNS]
     serving = S.read_table_months(spark, silver_path, months, source_cols,
@@ -179,12 +198,23 @@ def gold_job(spark: SparkSession, silver_path: str, trips_path: str, metrics_pat
         "trips_written": written_trips,
         "metrics_written": written_metrics,
         "mean_amount_by_month": M.mean_amount_by_month(metrics, question_service),
+        "mean_passengers_by_hour": M.mean_passengers_by_hour(metrics, year, month),
         "mean_passengers_by_hour_latest": M.mean_passengers_by_hour_latest(metrics),
         "coverage": M.metrics_coverage(metrics),
     }
+    if database:
+        S.publish(spark, f"{database}.trips", trips_path, TABLE_TEXTS["trips"], COLUMN_TEXTS)
+        S.publish(spark, f"{database}.metrics", metrics_path, TABLE_TEXTS["metrics"], COLUMN_TEXTS)
     return write_reports(reports, reports_path)
 
 
+def in_reading_order(name: str, report: DataFrame) -> DataFrame:
+    """A report sorted for printing: largest first where it counts or ranks, else by its columns."""
+    first = next((c for c in RANKED.get(name, ()) if c in report.columns), None)
+    rest = [c for c in report.columns if c != first]
+    return report.orderBy(*([F.col(first).desc()] if first else []), *rest)
+
+
 # ---------------------------------------------------------------------------
 # command line
 # ---------------------------------------------------------------------------
@@ -206,6 +236,12 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--months", default=None,
                         help="comma-separated YYYY-MM list; default: two months back")
         sp.add_argument("--reports-path", required=True)
+    for sp in (silver, gold):
+        sp.add_argument("--database", default=None, help="publish the written tables there")
+    silver.add_argument("--work-path", default=None,
+                        help="shared folder for the typed work table; default: below spark.checkpoint.dir")
+    silver.add_argument("--top-k", type=int, default=20, help="rows of the top_outliers report")
+    gold.add_argument("--question-month", default=None, help="YYYY-MM of the fixed-month question")
     return p
 
 
@@ -217,13 +253,14 @@ def main(argv=None) -> None:
     if args.job == "land":
         out = land_job(spark, args.source_root, args.raw_root, months, args.reports_path)
     elif args.job == "silver":
-        out = silver_job(spark, args.raw_root, args.silver_path, months, args.reports_path)
+        out = silver_job(spark, args.raw_root, args.silver_path, months, args.reports_path,
+                         work_path=args.work_path, database=args.database, top_k=args.top_k)
     else:
         out = gold_job(spark, args.silver_path, args.trips_path, args.metrics_path, months,
-                       args.reports_path)
+                       args.reports_path, question_month=args.question_month, database=args.database)
     for name, df in out.items():
-        print(f"\n[{name}]")
-        df.show(20, truncate=False)
+        print(f"\n[{name}] {df.count()} rows")
+        in_reading_order(name, df).show(20, truncate=False)
 
 
 if __name__ == "__main__":

@@ -42,11 +42,6 @@ def typed_trips(raw: Mapping[str, DataFrame]) -> DataFrame:
     return Q.add_date_parts(conform_services(raw), "pickup_datetime")
 
 
-def repaired_trips(typed: DataFrame, method: str = Q.DEFAULT_METHOD) -> DataFrame:
-    """Imputed passenger count, ordered timestamps, re-derived date parts."""
-    return Q.order_timestamps(Q.impute_median(typed, "passenger_count", method=method))
-
-
 @dataclass
 class TripStages:
     raw: dict

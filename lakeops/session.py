@@ -3,12 +3,14 @@
 Every operator in this package is a lazy ``DataFrame -> DataFrame`` function;
 only the jobs and the sinks run actions. Anything written as an
 intermediate result goes below the shared folder the cluster names in
-``spark.checkpoint.dir`` (never a machine-local temporary folder); a local
-fallback is created only when that setting is absent, as in unit tests.
+``spark.checkpoint.dir``. Only a session that runs on one machine (master
+``local``, as in unit tests) may do without that setting and gets a temporary
+folder; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,21 +45,22 @@ def build_session(master: str | None = None, app_name: str = "lakeops",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """The shared checkpoint folder, as the session names it.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. The local fallback exists for tests on a laptop.
+    Raises ``RuntimeError`` if a cluster session names none: executors there
+    would write to their own disks. A ``local`` session gets a temporary folder.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lakeops-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)

@@ -5,12 +5,15 @@ replaces exactly the requested (year, month) partitions and nothing else.
 On a plain Parquet table this is a directory overwrite per month - not
 transactional: a reader during the write may see a month half replaced.
 
-Scale notes. Rows are range-partitioned on (year, month, time column) before
-the write: a month is split over as many tasks as its size needs (a month
-holding a third of all rows is split too, the range bounds come from a
-sample), each task writes files whose time range does not overlap the
-others' (tight Parquet min/max for time filters), and AQE sizes the number of
-range partitions. Row counts per month are taken during the write with an
+Scale notes. Given a time column, rows are range-partitioned on (year, month,
+time) before the write: a month holding a third of all rows is split too (the
+range bounds come from a sample) and each task writes files whose time range
+does not overlap the others' (tight Parquet min/max for time filters). The
+number of ranges is ``num_partitions`` or ``spark.sql.shuffle.partitions``;
+adaptive execution merges small ranges but never splits one, so set it to the
+table's size over the file size wanted. Without a time column rows are
+rebalanced by (year, month): adaptive execution merges and splits the
+partitions by size, so a month has few files however many tasks read it. Row counts per month are taken during the write with an
 ``Observation`` - no extra scan.
 """
 
@@ -22,10 +25,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.periods import month_set_predicate, month_tuple, validate_months
-from lakeops.session import delete_path
+from lakeops.functions.schema import sql_literal
+from lakeops.session import delete_path, path_exists
 
 
 def partition_dir(table_path: str, year: int, month: int) -> str:
+    """Where Spark writes a month, and where the catalog looks for it."""
     return f"{table_path.rstrip('/')}/year={year}/month={month}"
 
 
@@ -64,8 +69,8 @@ def replace_months(spark: SparkSession, df: DataFrame, table_path: str, months,
     * months not requested are left untouched (dynamic partition overwrite).
 
     With ``time_col`` the rows are range-partitioned on (year, month, time)
-    and sorted (``cluster_by_time``); ``num_partitions`` fixes the number of
-    range partitions, otherwise AQE sizes them. ``small=True`` is for tiny
+    and sorted (``cluster_by_time``) into ``num_partitions`` ranges; without
+    it they are rebalanced by month. ``small=True`` is for tiny
     aggregated tables: one shuffle to a single task after the aggregation
     (which keeps its own parallelism), so each month is one file.
 
@@ -80,6 +85,8 @@ def replace_months(spark: SparkSession, df: DataFrame, table_path: str, months,
         marked = cluster_by_time(marked, time_col, (year_col, month_col), num_partitions)
     elif small:
         marked = marked.repartition(1)
+    else:
+        marked = marked.hint("rebalance", F.col(year_col), F.col(month_col))
     # The observation sits above the range exchange: the sampling job that
     # computes the range bounds re-runs the plan below it, so metrics taken
     # there would be counted twice. Strays travel through the shuffle and are
@@ -111,13 +118,19 @@ def read_table_months(spark: SparkSession, table_path: str, months=None,
                       renames: Mapping[str, str] | None = None) -> DataFrame:
     """Scan a (year, month)-partitioned Parquet table, pruned to ``months``.
 
-    The month predicate is an OR of (year = y AND month = m) pairs, which Spark
-    turns into partition filters: only the requested directories are listed
-    and read. ``columns`` prunes the Parquet read schema.
+    With ``months`` only the folders of those months are listed and read; a
+    month without a folder has no rows. ``columns`` prunes the Parquet read
+    schema.
     """
-    df = spark.read.parquet(table_path)
-    if months is not None:
-        df = df.where(month_set_predicate(months))
+    if months is None:
+        df = spark.read.parquet(table_path)
+    else:
+        asked = [partition_dir(table_path, *month_tuple(m)) for m in validate_months(months)]
+        there = [p for p in asked if path_exists(spark, p)]
+        if there:
+            df = spark.read.option("basePath", table_path).parquet(*there)
+        else:
+            df = spark.read.parquet(table_path).where(month_set_predicate(months))
     if columns is not None:
         renames = renames or {}
         df = df.select(*[F.col(c).alias(renames.get(c, c)) for c in columns])
@@ -133,28 +146,46 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 
 def register_table(spark: SparkSession, table: str, location: str,
-                   partition_cols=("year", "month"), schema=None) -> None:
-    """External Parquet table over a partitioned folder.
+                   partition_cols=("year", "month"), schema=None,
+                   comments: Mapping[str, str] | None = None) -> None:
+    """External Parquet table over a partitioned folder, described anew on every call.
 
     Column types come from ``schema`` or, by default, from the files (Spark
-    reads one footer; no per-column string fallback). Partitions already on
-    storage are registered with ``MSCK REPAIR``; existing registrations are
-    kept (``IF NOT EXISTS``).
+    reads one footer; no per-column string fallback), column texts from
+    ``comments``. An existing registration is replaced, so a column that
+    appeared since is visible; the table is external, its files stay.
+    Partitions on storage are registered with ``MSCK REPAIR``.
     """
     schema = schema or spark.read.parquet(location).schema
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+    comments = comments or {}
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                     + (f" COMMENT {sql_literal(comments[f.name])}" if f.name in comments else "")
+                     for f in schema.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet "
               f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{location}'")
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
+def publish(spark: SparkSession, table: str, location: str, text: str,
+            comments: Mapping[str, str] | None = None, props: Mapping[str, str] | None = None) -> None:
+    """Register a written table, creating its database, with its texts and properties."""
+    if "." in table:
+        create_database(spark, table.rpartition(".")[0])
+    register_table(spark, table, location, comments=comments)
+    document_table(spark, table, text)
+    if props:
+        set_table_properties(spark, table, props)
+
+
 def register_partitions(spark: SparkSession, table: str, location: str, months) -> None:
-    """Add (or re-point) one partition per month; other partitions untouched."""
+    """Add one partition per month, or point an existing one at its folder again; others untouched."""
     for m in validate_months(months):
         y, mm = month_tuple(m)
-        path = f"{location.rstrip('/')}/year={y:04d}/month={mm:02d}"
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (year={y}, month={mm}) "
-                  f"LOCATION '{path}'")
+        part, path = f"PARTITION (year={y}, month={mm})", partition_dir(location, y, mm)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {part} LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
 
 
 def with_column_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:

@@ -64,3 +64,24 @@ def test_gold_reprocess_one_month_is_idempotent(spark, tmp_dir):
     J.gold_job(spark, *args, ["2024-02"], f"{tmp_dir}/r2")
     assert _rows(spark.read.parquet(f"{tmp_dir}/gm")) == first
     assert spark.read.parquet(f"{tmp_dir}/gm").where(F.col("month") == 2).count() > 0
+
+
+def test_silver_job_survives_text_in_a_number_column(spark, tmp_dir):
+    src, raw = f"{tmp_dir}/src", f"{tmp_dir}/raw"
+    months = ["2024-01", "2024-02"]
+    E.write_raw_sources(spark, SF, src, ("yellow", "green"), months, drift=True)
+    from lakeops.sources.bronze import source_path
+    trips = E.trips_from_events(spark, SF)
+    changed = E.raw_month_frame(trips, "green", "2024-02").withColumn(
+        "passenger_count", F.expr("CASE WHEN PULocationID % 2 = 0 THEN 'abc' ELSE CAST(passenger_count AS STRING) END"))
+    changed.write.mode("overwrite").parquet(source_path(src, "green", "2024-02"))
+    lost = changed.where("passenger_count = 'abc'").count()
+    J.land_job(spark, src, raw, months, f"{tmp_dir}/reports/land")
+    out = J.silver_job(spark, raw, f"{tmp_dir}/silver", months, f"{tmp_dir}/reports/silver", database="jobs_test")
+    loss = {r.coluna: r.perdidos for r in out["cast_loss"].collect()}
+    assert lost > 0 and loss["passenger_count"] == lost
+    table = spark.table("jobs_test.silver")
+    assert table.count() == spark.read.parquet(f"{tmp_dir}/silver").count() > 0
+    texts = {r.col_name: r.comment for r in spark.sql("DESCRIBE TABLE jobs_test.silver").collect()}
+    assert texts["total_amount"] and texts["tipo"]
+    spark.sql("DROP DATABASE jobs_test CASCADE")
