@@ -240,12 +240,13 @@ class PieceLattice:
         return text[1:] if text.startswith(" ") else text
 
 
-def lattice(path: str) -> PieceLattice:
-    return kept_in_worker(f"lattice:{path}", lambda: PieceLattice(path))
+def lattice(path: str, memo: int = 250_000) -> PieceLattice:
+    """The worker's lattice of a model file."""
+    return kept_in_worker(f"lattice:{path}:{memo}", lambda: PieceLattice(path, memo))
 
 
 def encode_nbest(docs: DataFrame, model: str, n: int = 3, text_col: str = "text", ids: str | None = "ids",
-                 detail: str = "nbest") -> DataFrame:
+                 detail: str = "nbest", memo: int = 250_000) -> DataFrame:
     """``docs`` with all its columns plus the segmentations of each whole text; no shuffle.
 
     * ``ids`` (array of int): the best segmentation; None leaves it out;
@@ -255,7 +256,9 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, text_col: str = "text"
       model sees it (it writes U+2581 as a space).
 
     NULL counts as empty; the empty text has one segmentation without ids
-    and score 0. New columns must not exist yet. A tie between segmentations
+    and score 0. ``memo`` bounds the words, and the parts of words, whose
+    result a worker keeps (about 600 bytes for one of each); it changes the
+    time only. New columns must not exist yet. A tie between segmentations
     of a word goes to the smaller ids; between words, to the earlier one.
     """
     new = [c for c in (ids, detail, "decoded") if c]
@@ -265,7 +268,7 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, text_col: str = "text"
     ready = docs.withColumn("__input", text_or_empty(text_col))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = lattice(model)
+        pieces = lattice(model, memo)
         shape = pa.list_(pa.struct([("score", pa.float64()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64())]))
         for batch in slices(batches):
             best, details, same = [], [], []
