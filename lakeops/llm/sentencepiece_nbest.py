@@ -15,11 +15,13 @@ distinct part once and the work per text is a lookup per word.
 
 from __future__ import annotations
 
-import heapq
 import math
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from heapq import heappop, heappush
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,20 @@ UNKNOWN_PENALTY = 10.0       # below the lowest piece score, as in the public li
 _NONE = ()
 
 
+def _ids(node: tuple | None) -> tuple[int, ...]:
+    """All ids of a node and those behind it."""
+    ids: list[int] = []
+    while node:
+        ids += node[0]
+        node = node[1]
+    return tuple(ids)
+
+
+def _rank(found: tuple[float, tuple[int, ...]]) -> tuple[float, tuple[int, ...]]:
+    """Best score first, ties by ids from the left."""
+    return -found[0], found[1]
+
+
 class _Words(dict):
     """Number of each word seen; its ids, score and gap stand at that number."""
 
@@ -108,56 +124,91 @@ class PieceLattice:
             return (self.unknown,)
         return tuple(self.byte_ids[b] for b in char.encode("utf-8", "replace"))
 
-    def search(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n`` best segmentations of normalised text: (score, ids), best first, ties by ids from the left.
-
-        Fewer if the text has fewer; the empty text has one, without ids.
-        """
+    def _forward(self, text: str) -> tuple[list[float], list[list[int]]]:
+        """Best score of each prefix, and per place where the edges that end there start."""
         size, table = len(text), self.table
-        ends: list[list] = [[] for _ in range(size + 1)]      # per end: (start, ids, score) of its edges
+        starts: list[list[int]] = [[] for _ in range(size + 1)]
         best = [0.0] + [-math.inf] * size
         for i in range(size):
             here, j, edge = best[i], i + 1, table.get(text[i], _NONE)
             if not edge:                                       # no piece covers the character alone
-                ends[j].append((i, self._fallback(text[i]), self.low))
-                best[j] = max(best[j], here + self.low)
+                starts[j].append(i)
+                if here + self.low > best[j]:
+                    best[j] = here + self.low
             while edge is not _NONE:
                 if edge:
-                    ids, score = edge
-                    ends[j].append((i, ids, score))
-                    if here + score > best[j]:
-                        best[j] = here + score
+                    starts[j].append(i)
+                    if here + edge[1] > best[j]:
+                        best[j] = here + edge[1]
                 j += 1
                 edge = table.get(text[i:j], _NONE) if j <= size else _NONE
-        # equal bounds pop by the ids behind them, so complete segmentations of one score need a last sort
+        return best, starts
+
+    def search(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        """The ``n`` best segmentations of normalised text: (score, ids), best first, ties by ids from the left.
+
+        Fewer if the text has fewer; the empty text has one, without ids.
+        """
+        best, starts = self._forward(text)
+        pieces = self.pieces
+        # of equal bounds the one nearest to the start goes on, so a tie costs one path at a time;
+        # a node is (ids of its piece, node behind it), so paths share what lies behind them
         found: list[tuple[float, tuple[int, ...]]] = []
-        heap = [(-best[-1], (), size, 0.0)]
-        while heap and (len(found) < n or -heap[0][0] >= found[-1][0]):
-            _, ids, at, score = heapq.heappop(heap)
-            if at == 0:
-                found.append((score, ids))
-                if len(found) >= 8 * n:       # a large tie: the search order decides
+        heap: list[tuple] = [(-best[-1], len(text), 0, 0.0, None)]
+        order, floor = 0, -math.inf
+        while heap and len(found) < 8 * n and -heap[0][0] >= floor:      # 8 n: a large tie, the search order decides
+            reach, at, _, score, node = heappop(heap)
+            while at:
+                onward = None
+                for i in starts[at]:
+                    own, s = pieces.get(text[i:at]) or (self._fallback(text[i]), self.low)
+                    bound = best[i] + s + score
+                    if onward is None and bound >= -reach:     # as good as the path was: goes on past the heap
+                        onward = i, s + score, (own, node)
+                    elif bound >= floor:
+                        order += 1
+                        heappush(heap, (-bound, i, order, s + score, (own, node)))
+                if onward is None:
                     break
-                continue
-            for i, own, s in ends[at]:
-                heapq.heappush(heap, (-(best[i] + s + score), own + ids, i, s + score))
-        return sorted(found, key=lambda f: (-f[0], f[1]))[:n]
+                at, score, node = onward
+            else:
+                found.append((score, _ids(node)))
+                if len(found) >= n:
+                    floor = score
+        return sorted(found, key=_rank)[:n] if len(found) > 1 else found
 
     def cut(self, text: str) -> list[str]:
         """Parts of normalised text that no piece joins."""
-        joined, parts, start = self.joined, [], 0
-        for k in range(1, len(text)):
-            if text[k - 1:k + 1] not in joined:
-                parts.append(text[start:k])
-                start = k
-        parts.append(text[start:])
-        return parts
+        pairs = map(self.joined.__contains__, map(add, text, text[1:]))
+        cuts = [k for k, joined in enumerate(pairs, 1) if not joined]
+        return [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)])] if cuts else [text]
 
     def _part(self, part: str) -> tuple[bytes, float, float]:
-        """Ids of the best segmentation, its score, and the gap to the next."""
-        found = self.search(part, 2)
-        gap = found[0][0] - found[1][0] if len(found) > 1 else math.inf
-        return array("I", found[0][1]).tobytes(), found[0][0], gap
+        """Ids of the best segmentation, its score, and the gap to the next.
+
+        The search's first path is the best one, and as its bounds are exact
+        the highest bound then left open is the next one's score.
+        """
+        best, starts = self._forward(part)
+        pieces, total, left, score, at, path = self.pieces, best[-1], -math.inf, 0.0, len(part), []
+        while at:
+            onward = None
+            for i in starts[at]:
+                own, s = pieces.get(part[i:at]) or (self._fallback(part[i]), self.low)
+                bound = best[i] + s + score
+                if onward is None and bound >= total:
+                    onward = i, s + score, own
+                elif bound > left:
+                    left = bound
+            if onward is None:
+                break
+            at, score, own = onward
+            path.append(own)
+        if at or left >= total:        # a tie: the ids decide
+            found = self.search(part, 2)
+            gap = found[0][0] - found[1][0] if len(found) > 1 else math.inf
+            return array("I", found[0][1]).tobytes(), found[0][0], gap
+        return array("I", chain.from_iterable(reversed(path))).tobytes(), score, score - left
 
     def _word(self, word: str) -> tuple[bytes, float, float]:
         parts = [self.parts[p] for p in self.cut(word)]
@@ -215,7 +266,7 @@ class PieceLattice:
         heap, seen = [(0.0, (0,) * len(choices))], {(0,) * len(choices)}
         rank = 0
         while heap and rank < n:
-            loss, pick = heapq.heappop(heap)
+            loss, pick = heappop(heap)
             if rank:
                 swapped = ids.copy()
                 for (k, options), at in zip(choices, pick):
@@ -227,7 +278,7 @@ class PieceLattice:
                 following = (*pick[:c], pick[c] + 1, *pick[c + 1:])
                 if following[c] < len(options) and following not in seen:
                     seen.add(following)
-                    heapq.heappush(heap, (sum(o[p][0] for (_, o), p in zip(choices, following)), following))
+                    heappush(heap, (sum(o[p][0] for (_, o), p in zip(choices, following)), following))
         return results
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -259,7 +310,10 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, text_col: str = "text"
     and score 0. ``memo`` bounds the words, and the parts of words, whose
     result a worker keeps (about 600 bytes for one of each); it changes the
     time only. New columns must not exist yet. A tie between segmentations
-    of a word goes to the smaller ids; between words, to the earlier one.
+    of a word goes to the smaller ids (of more than ``8 n`` in one tie, to
+    the smaller among those that the search meets first, the same in every
+    run); between words, to the earlier one. A search takes memory in
+    proportion to the length of its part, however long that is.
     """
     new = [c for c in (ids, detail, "decoded") if c]
     clash = set(new) & set(docs.columns)

@@ -1,8 +1,10 @@
 """Each operator against a brute-force version, with odd rows and empty tables."""
 
 import hashlib
+import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -411,6 +413,25 @@ def test_nbest_is_exact():
     assert lattice.search("", 3) == [(0.0, ())]
 
 
+def test_parts_keep_the_searched_gap():
+    lattice = sentencepiece_nbest.PieceLattice(str(P.path("piece_bpe_32k.model")), memo=20)
+    for part in ["a", "there", "aaaa", "日x", "ab" * 40, "0f" * 30, "international", "▁the"]:
+        two = lattice.search(part, 2)
+        ids, score, gap = lattice._part(part)
+        assert (np.frombuffer(ids, "<u4").tolist(), score) == (list(two[0][1]), two[0][0])
+        assert gap == (two[0][0] - two[1][0] if len(two) > 1 else math.inf)
+
+
+def test_nbest_of_a_very_long_word_takes_linear_memory():
+    lattice = sentencepiece_nbest.PieceLattice(str(P.path("piece_bpe_32k.model")), memo=20)
+    tracemalloc.start()
+    found = lattice.search("a" * 50_000, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 3 and found[0][0] >= found[1][0] >= found[2][0] and peak < 200 << 20
+    assert all(lattice.decode(ids) == "a" * 50_000 for _, ids in found)
+
+
 def test_sentencepiece(spark, odd_docs, no_docs):
     path = str(P.path("piece_bpe_32k.model"))
     got = sentencepiece_nbest.encode_nbest(odd_docs, path, 3)
