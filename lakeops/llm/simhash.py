@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, utf8, written
+from .common import slices, text_or_empty, utf8, written
 from .components import connected_components
 
 BITS = 64
@@ -71,21 +71,28 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``(id, fp)`` per row, ``fp`` the fingerprint's bits as a signed long."""
+                      shingle: int = 3, seed: int = 42, digest: bool = False) -> DataFrame:
+    """``(id, fp)`` per row, ``fp`` the fingerprint's bits as a signed long; on demand ``digest``, the text's SHA-256."""
     kind = docs.schema[id_col].dataType
+    extra = [_digest(text_col).alias("digest")] if digest else []
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fps = [fingerprint(t, shingle, seed) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["id", "fp"])
+                [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), *batch.columns[2:]],
+                ["id", "fp", *batch.schema.names[2:]])
 
-    schema = T.StructType([T.StructField("id", kind), T.StructField("fp", T.LongType())])
-    return (docs.select(F.col(id_col).alias("id"), utf8(F.col(text_col)).alias("text"))
+    schema = T.StructType([T.StructField("id", kind), T.StructField("fp", T.LongType()),
+                           *[T.StructField("digest", T.BinaryType()) for _ in extra]])
+    return (docs.select(F.col(id_col).alias("id"), utf8(F.col(text_col)).alias("text"), *extra)
             .mapInArrow(run, schema))
 
 
+def _digest(text_col: str):
+    return F.unhex(F.sha2(utf8(text_or_empty(text_col)), 256))
+
+
 def segment_plan(max_bits: int, segments: int) -> list[tuple[int, int, int]]:
     """``(shift, width, radius)`` per segment; radius -1: the segment need not be searched."""
     whole, rest = divmod(max_bits, segments)
@@ -165,27 +172,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     table gives an empty result. ``heavy`` only chooses between two exact ways.
     """
     rows, _ = written(with_fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
+    of_fp = _groups(rows, max_bits, segments, heavy).select("fp", "component_id")
+    return (rows.join(of_fp, "fp")
+            .select(F.col("id").alias(id_col),
+                    F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def _groups(rows: DataFrame, max_bits: int, segments: int, heavy: int) -> DataFrame:
+    """``(fp, component, component_id)`` per distinct fingerprint; ``component`` names the group even without ids."""
     fps, _ = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fps")
     groups = connected_components(hamming_links(fps.select("fp"), max_bits, segments, heavy), "a", "b")
     placed = fps.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_fp = placed.join(smallest, "component").select("fp", "component_id")
-    return (rows.join(of_fp, "fp")
-            .select(F.col("id").alias(id_col),
-                    F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    return placed.join(smallest, "component").select("fp", "component", "component_id")
 
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is its group's smallest, with all their columns.
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                  max_bits: int = 2, seed: int = 42, segments: int = 2, heavy: int = 64) -> DataFrame:
+    """One row of ``docs`` per group, with all its columns: that of the group's smallest id, or without id if none has one.
 
-    An id names one document: of rows that repeat a kept id one stays. A
-    group without any id keeps one row.
+    Rows are told apart by id and text, so rows without an id and rows that
+    repeat an id stay if their texts are in different groups. If a group's
+    smallest id has several texts in it, the one with the smallest SHA-256
+    stays; of rows equal in id and text one stays.
     """
-    groups = near_duplicates(docs, id_col, text_col, **options)
-    stay = (groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__stay")).distinct())
-    same = docs[id_col].eqNullSafe(stay["__stay"])
-    return docs.join(stay, same, "left_semi").dropDuplicates([id_col])
+    rows, _ = written(with_fingerprints(docs, id_col, text_col, shingle, seed, digest=True), "fingerprints")
+    # equal texts have equal fingerprints: id and digest together name one group
+    first = (rows.join(_groups(rows, max_bits, segments, heavy), "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
+             .groupBy("component", "component_id").agg(F.min("digest").alias("__first")))
+    stay, _ = written(first.select(F.col("component_id").alias("__stay"), "__first"), "group-firsts")
+    told = docs.withColumn("__digest", _digest(text_col))
+    same = told[id_col].eqNullSafe(stay["__stay"]) & (told["__digest"] == stay["__first"])
+    return told.join(stay, same, "left_semi").dropDuplicates([id_col, "__digest"]).drop("__digest")
 
 
 __all__ = ["one_per_group", "fingerprint", "with_fingerprints", "hamming_links", "near_duplicates", "segment_plan"]

@@ -94,6 +94,19 @@ def test_simhash(odd_docs, no_docs):
     assert rows_of(simhash.near_duplicates(no_docs)) == [] == rows_of(simhash.one_per_group(no_docs))
 
 
+def test_one_row_per_group_without_ids_and_with_repeated_ids(spark):
+    far = ["the quick brown fox jumps over it", "a wholly different text about ships", "numbers and letters in a third one",
+           "nothing like the others at all here", "yet one more unrelated line of words"]
+    rows = [(None, far[0]), (None, far[1]), (None, far[1]), (None, None), (None, " "), (7, far[2]), (7, far[3]), (7, far[3]),
+            (3, far[4]), (5, far[4]), (5, "alone under an id that is used twice")]
+    assert len({plain_fingerprint(t) for _, t in rows}) == 7
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = rows_of(simhash.one_per_group(docs))
+    assert Counter((i, t or "") for i, t in kept if t != " " and t) == Counter(
+        [(None, far[0]), (None, far[1]), (7, far[2]), (7, far[3]), (3, far[4]), (5, rows[-1][1])])
+    assert len(kept) == 7 and [i for i, t in kept if not (t or "").strip()] == [None]
+
+
 def test_exact_dedup(spark, odd_docs, no_docs):
     docs = rows_of(odd_docs.select("doc_id", "text"))
     norm = lambda t: BLANK.sub(" ", t or "")
