@@ -260,11 +260,15 @@ def _chains(nodes: DataFrame) -> DataFrame:
             .select(*fields, (above + F.coalesce("c_total", F.lit(0))).alias("above")))
 
 
+def draw_bases(seed: int, attempt: int) -> list[int]:
+    rnd = random.Random(f"{seed}:{attempt}")
+    return [rnd.randrange(1 << 16, P - 1) for _ in range(LANES)]
+
+
 def _verified_rows(turns: DataFrame, base_of, head_of, max_head: int, seed: int, attempts: int):
     """The passed nodes and their groups, all groups proven equal."""
     for attempt in range(attempts):
-        rnd = random.Random(f"{seed}:{attempt}")
-        bases = [rnd.randrange(1 << 16, P - 1) for _ in range(LANES)]
+        bases = draw_bases(seed, attempt)
         own, own_path = own_prefixes(turns, bases)
         rows, rows_path = written(passed_nodes(own, bases, base_of, head_of, max_head), "passed-nodes")
         same = [*PARENT, *DIGEST]

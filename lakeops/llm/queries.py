@@ -178,9 +178,9 @@ ORACLES = {
             SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.near_n >= 5 * w.n THEN r.near END AS form,
                    CASE WHEN r.near_n >= 5 * w.n THEN r.near_n END AS form_n
             FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1),
-        follow(word, at) AS (
+        follow(word, last) AS (
             SELECT word, word FROM forms
-            UNION ALL SELECT follow.word, forms.form FROM follow JOIN forms ON forms.word = follow.at WHERE forms.form IS NOT NULL)
-        SELECT f.word, f.form, l.at AS root, f.n, f.n_near, f.form_n
-        FROM forms f JOIN follow l ON l.word = f.word JOIN forms e ON e.word = l.at AND e.form IS NULL""",
+            UNION ALL SELECT follow.word, forms.form FROM follow JOIN forms ON forms.word = follow.last WHERE forms.form IS NOT NULL)
+        SELECT f.word, f.form, l.last AS root, f.n, f.n_near, f.form_n
+        FROM forms f JOIN follow l ON l.word = f.word JOIN forms e ON e.word = l.last AND e.form IS NULL""",
 }

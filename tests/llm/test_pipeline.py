@@ -13,19 +13,23 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_query_returns_whole_tables(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet").count()
+    of_other_rows = {"op11_prefix_trie", "op12_bin_slack", "op13_spelling"}        # nodes, pieces, words: tests of their own
     for name, query in queries.QUERIES.items():
-        rows = query(spark, SF)
-        assert rows.count() == (spark.read.parquet(f"{SF}/pages.parquet").count() if "html" in name else documents), name
+        if name not in of_other_rows:
+            rows = query(spark, SF)
+            assert rows.count() == (spark.read.parquet(f"{SF}/pages.parquet").count() if "html" in name else documents), name
 
 
 def test_oracle(spark):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for name in ("documents", "conversations"):
+        con.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
     for name, sql in queries.ORACLES.items():
-        want = con.execute(sql).fetchall()
-        names = [d[0] for d in con.description]
-        assert sorted(map(tuple, queries.QUERIES[name](spark, SF).select(*names).collect())) == sorted(want)
+        want = con.execute(sql)
+        names = [d[0] for d in want.description]
+        got = queries.QUERIES[name](spark, SF).select(*names).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want.fetchall(), key=str), name
 
 
 def test_held_out_rule(spark):
