@@ -2,14 +2,12 @@
 
 Repairs: median imputation, start/end ordering, period scoping. Reports:
 timestamp problems, outliers by IQR and duration band, negative amounts and
-whether their components add up. None caches; all but ``flag_outliers`` and
-what builds on it are lazy.
+whether their components add up. None caches; all are lazy.
 
 The imputation median is a scalar subquery (``DataFrame.scalar()``): Spark
 evaluates the one-row aggregate once, with partial aggregation on every
-executor, and inlines the value. The IQR bounds are two numbers that
-``outlier_bounds`` brings to the driver with a job of its own, unless the
-caller passes ``bounds``; the silver job computes them once for its reports.
+executor, and inlines the value. So are the IQR bounds, unless the caller
+passes ``bounds``; the silver job computes them once for its reports.
 """
 
 from __future__ import annotations
@@ -25,8 +23,8 @@ from lakeops.functions.periods import month_bounds, month_tuple, validate_months
 from lakeops.functions.schema import AMOUNT_COMPONENTS, quote, sql_literal
 from lakeops.operators.quantiles import attach_groups, attach_row, quantile_frame
 
-# Quantiles are exact by default (``method="exact"``: radix selection, memory
-# bounded per group); ``method="disc"`` is Spark's percentile_disc /
+# Quantiles are exact by default (``method="exact"``: sketch and bracket,
+# memory bounded per group); ``method="disc"`` is Spark's percentile_disc /
 # percentile, ``method="approx"`` percentile_approx with this accuracy.
 DEFAULT_METHOD = "exact"
 DEFAULT_ACCURACY = X.APPROX_ACCURACY
@@ -230,31 +228,23 @@ def iqr_from_quartiles(q: DataFrame, factor: float = 1.5) -> DataFrame:
                         f"q3 + {f} * (q3 - q1) AS limite_superior")
 
 
-def outlier_bounds(df: DataFrame, column: str = "total_amount", factor: float = 1.5,
-                   method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> tuple:
-    """(lower, upper) IQR bounds, computed now by a job of their own: two
-    numbers reach the driver (both None when the column has no values)."""
-    row = iqr_bounds(df, column, factor, method, accuracy).select(
-        "limite_inferior", "limite_superior").first()
-    return row.limite_inferior, row.limite_superior
-
-
 def flag_outliers(df: DataFrame, column: str = "total_amount", out: str = "outlier",
                   factor: float = 1.5, method: str = DEFAULT_METHOD,
                   accuracy: int = DEFAULT_ACCURACY,
                   bounds_from: DataFrame | None = None, bounds: tuple | None = None) -> DataFrame:
     """Boolean ``out``: value outside the IQR bounds (NULL value -> NULL).
 
-    ``bounds`` (lower, upper) are used as given; otherwise they are computed
-    over ``bounds_from`` (default: ``df``) by ``outlier_bounds`` when this is
-    called and inlined as literals: plans that select over the flagged rows
-    (the band medians run several passes over them) then carry two constants
-    instead of nesting the quartiles' own passes in each of theirs.
+    ``bounds`` (lower, upper) are used as given; otherwise they are those of
+    ``bounds_from`` (default: ``df``), a scalar subquery that Spark runs once
+    and shares between the scans of one plan. No job runs here.
     """
     if bounds is None:
-        bounds = outlier_bounds(bounds_from if bounds_from is not None else df, column, factor,
-                                method, accuracy)
-    lo, hi = (F.lit(b).cast("double") for b in bounds)
+        found = iqr_bounds(bounds_from if bounds_from is not None else df, column, factor, method, accuracy)
+        both = found.select(F.struct("limite_inferior", "limite_superior").alias("b")).scalar()
+        bounds = (both["limite_inferior"], both["limite_superior"])
+    else:
+        bounds = tuple(F.lit(b) for b in bounds)
+    lo, hi = (b.cast("double") for b in bounds)
     return df.withColumn(out, X.outside(F.col(column).cast("double"), lo, hi))
 
 
@@ -294,7 +284,7 @@ def outliers_by_band(df: DataFrame, amount: str = "total_amount",
 
     The IQR bounds are computed over all rows of ``df`` (not only rows with a
     positive duration). The median of the outliers is the continuous one
-    (interpolated), by radix selection per band (five bands: its lookups are
+    (interpolated), selected exactly per band (five bands: their brackets are
     broadcast).
     """
     timed = trip_duration(df, start, end)

@@ -1,28 +1,31 @@
-"""Exact quantiles per group with bounded memory, by distributed radix selection.
+"""Exact quantiles per group with bounded memory.
 
 Spark's exact ``percentile`` / ``percentile_disc`` keep one (value, count)
 entry per distinct value of a group and merge them in the one task that
-finishes the group: a group holding a third of all rows with unbounded
-distinct values (amounts) would pull an unbounded map into one task.
-
-Here rows are first counted per (group, value) - one scan, one shuffle that
-partial aggregation shortens where values repeat - and the k-th smallest value
-of every group is found in four aggregation passes over those counts, each
-bounded and all reading the same shuffle:
-
-1. every value maps to a 64-bit key that sorts like the value (integers as
-   themselves; doubles through sign, exponent and mantissa, built from
-   ``log2`` / ``power`` - exact, see ``double_key_columns``);
-2. pass 1 counts rows per (group, top 16 bits of the key) - at most 65 536
-   buckets per group, partially aggregated on every executor, so a hot group
-   is spread over all map tasks and costs 65 536 entries at most, never its
-   rows; a running sum over the buckets of a group (bounded) finds the bucket
-   holding rank k and the rank left inside it;
-3. each later pass keeps only the rows of the chosen bucket - an equi-join
-   on (group, key prefix) with a broadcast lookup of one row per group and
-   target - and counts them by the next 16 bits of the key;
-4. after four passes (48, 32, 16, 0 bits shifted away) every bucket holds a
-   single key, whose value is the answer.
+finishes the group: a hot group with unbounded distinct values (amounts, ids)
+would pull an unbounded map into one task. Two ways do without:
+
+**Sketch and bracket** (``method="exact"``, the default), two scans:
+
+1. a mergeable sketch per group (``percentile_approx``: bounded, merged from
+   map-side partials) gives, for every wanted rank, two values between which
+   the rank's value lies: the sketch's quantiles a few error bounds below and
+   above. A group of no more rows than the sketch's accuracy needs no bracket;
+2. the second scan counts, per group and wanted rank, the rows below the
+   bracket (one number) and the rows inside it by value. Both aggregate
+   partially before the only shuffle; rows above the bracket go nowhere.
+   Inside the bracket are 6 / accuracy of the group's rows, and a running
+   count over their distinct values finds the value.
+
+The result is proven, not assumed: if the rank did not fall into its bracket
+the query fails instead of answering.
+
+**Radix selection** (``method="radix"``), four counting passes of 16 bits of
+a sortable 64-bit key over the rows counted per (group, value): every value
+maps to a key that sorts like it (see ``double_key_columns``), a pass counts
+rows per bucket of the next 16 bits, at most 65 536 per group, and keeps the
+bucket that holds the rank. It needs no sketch and its last bucket holds one
+key only, at the price of more passes.
 
 Ranks follow Spark's (and the SQL standard's) definitions: discrete
 quantile p = the value at 1-based rank max(1, ceil(p * n)); continuous
@@ -185,16 +188,71 @@ def select_ranks(df: DataFrame, column: str, probs: Mapping[str, float], by: Seq
     return found.select(*by, "__q_t", F.col("__q_m").alias("__q_v"), "__q_n")
 
 
+def bracket_ranks(df: DataFrame, column: str, probs: Mapping[str, float], by: Sequence[str] = (),
+                  continuous: bool = False, bounded_groups: bool = True, accuracy: int = 10_000) -> DataFrame:
+    """As ``select_ranks``, by a sketch and one counting pass between its brackets."""
+    by = list(by)
+    for b in by:
+        if b.startswith("__q_"):
+            raise ValueError(f"group column {b!r} uses the reserved prefix __q_")
+    names = [quote(b) for b in by]
+    kind = df.schema[column].dataType
+    vt = "double" if continuous else kind.simpleString()
+    rows = df.where(F.col(column).isNotNull()).selectExpr(
+        *names, f"CAST({quote(column)} AS {vt}) AS __q_v", f"CAST({quote(column)} AS DOUBLE) AS __q_d")
+    if isinstance(kind, (FloatType, DoubleType)):
+        # a sketch has no place for NaN, which sorts after infinity: it stands beside it there
+        rows = rows.withColumn("__q_d", F.expr("CASE WHEN isnan(__q_d) THEN double('infinity') ELSE __q_d END"))
+    ranks = _targets(probs, continuous)
+    per = 2 if continuous else 1                     # ranks per quantile
+    margin = 3.0 / accuracy                          # the sketch errs by one at most, neighbouring ranks by another
+    points = [max(0.0, float(p) - margin) for p in probs.values()] + [min(1.0, float(p) + margin) for p in probs.values()]
+    sketched = rows.groupBy(*by).agg(
+        F.expr("count(1) AS __q_n"),
+        F.expr(f"percentile_approx(__q_d, array({', '.join(f'{p!r}D' for p in points)}), {int(accuracy)}) AS __q_s"))
+    spans = []
+    for i, r in enumerate(ranks):
+        at = i // per
+        lo = f"__q_s[{at}]" if points[at] > 0 else "double('-infinity')"
+        hi = f"__q_s[{len(probs) + at}]" if points[len(probs) + at] < 1 else "double('infinity')"
+        spans.append(f"named_struct('t', {i}, 'r', {r}, "
+                     f"'lo', CASE WHEN __q_n <= {int(accuracy)} THEN double('-infinity') ELSE {lo} END, "
+                     f"'hi', CASE WHEN __q_n <= {int(accuracy)} THEN double('infinity') ELSE {hi} END)")
+    brackets = sketched.selectExpr(*(f"{n} AS __q_b{i}" for i, n in enumerate(names)), "__q_n", f"array({', '.join(spans)}) AS __q_x")
+    if by:
+        look = F.broadcast(brackets) if bounded_groups else brackets
+        same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"__q_b{i}")) for i, b in enumerate(by)])
+        met = rows.join(look, same)
+    else:
+        one = brackets.select(F.struct("__q_n", "__q_x").alias("__q_s")).scalar()
+        met = rows.withColumn("__q_s", one).selectExpr("__q_v", "__q_d", "__q_s.__q_n AS __q_n", "__q_s.__q_x AS __q_x")
+    # a NULL value stands for all rows below the bracket
+    met = met.selectExpr(*names, "__q_n", "explode(transform(filter(__q_x, x -> __q_d <= x.hi), "
+                         "x -> named_struct('t', x.t, 'r', x.r, 'v', CASE WHEN __q_d >= x.lo THEN __q_v END))) AS __q_e")
+    met = met.selectExpr(*names, "__q_n", "__q_e.t AS __q_t", "__q_e.r AS __q_r", "__q_e.v AS __q_v")
+    counts = met.groupBy(*by, "__q_n", "__q_t", "__q_r", "__q_v").agg(F.expr("count(1) AS __q_c"))
+    w = Window.partitionBy(*by, "__q_t").orderBy(F.col("__q_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    found = (counts.withColumn("__q_cum", F.sum("__q_c").over(w))
+             .groupBy(*by, "__q_t", "__q_n", "__q_r")
+             .agg(F.expr("max(CASE WHEN __q_cum - __q_c < __q_r AND __q_r <= __q_cum THEN __q_v END) AS __q_m"),
+                  F.expr("max(CASE WHEN __q_v IS NULL THEN __q_c ELSE 0L END) AS __q_below"),
+                  F.expr("sum(__q_c) AS __q_all")))
+    proven = ("CASE WHEN __q_below >= __q_r OR __q_all < __q_r "
+              "THEN raise_error('a rank lies outside its bracket: use a higher accuracy') ELSE __q_m END")
+    return found.selectExpr(*names, "__q_t", f"{proven} AS __q_v", "__q_n")
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: Mapping[str, float], by: Sequence[str] = (),
-                    continuous: bool = False, bounded_groups: bool = True) -> DataFrame:
+                    continuous: bool = False, bounded_groups: bool = True, ranks=select_ranks) -> DataFrame:
     """One row per group of ``by`` (exactly one row when ``by`` is empty) with
     one column per entry of ``probs``: the exact quantile of ``column``.
 
-    Discrete quantiles keep the column's type; continuous ones are doubles.
-    Groups whose values are all NULL are absent (grouped) or NULL (global).
+    ``ranks`` selects them (``select_ranks`` or ``bracket_ranks``). Discrete
+    quantiles keep the column's type; continuous ones are doubles. Groups
+    whose values are all NULL are absent (grouped) or NULL (global).
     """
     by = list(by)
-    long = select_ranks(df, column, probs, by, continuous, bounded_groups)
+    long = ranks(df, column, probs, by, continuous, bounded_groups)
     aggs = []
     for j, name in enumerate(probs):
         if continuous:
@@ -217,21 +275,19 @@ def quantile_frame(df: DataFrame, column: str, probs: Mapping[str, float], by: S
 
     Methods (all but ``approx`` exact, with equal results):
 
-    * ``radix``: the radix selection above - memory bounded per group
-      whatever its size or its number of distinct values; four passes.
+    * ``exact`` (default): sketch and bracket, for any numeric type; two
+      scans, bounded memory whatever the group's size or distinct values.
+    * ``radix``: the radix selection - four passes, no sketch; integer and
+      floating-point columns.
     * ``disc``: Spark's ``percentile_disc`` / ``percentile`` in one
-      aggregate; its buffer holds one entry per distinct value of a group, so
-      it is bounded by the column's value domain, not by rows.
-    * ``exact`` (default): ``disc`` for integer columns (counts and codes
-      such as passenger_count: a handful of distinct values whatever the row
-      count), ``radix`` for floating-point columns (amounts: distinct values
-      grow with the data). Pass ``radix`` for an integer column with a wide
-      domain (ids, epoch times).
+      aggregate; its buffer holds one entry per distinct value of a group.
     * ``approx``: ``percentile_approx`` with ``accuracy`` - one pass,
       bounded buffer, rank error up to n / accuracy.
     """
     if method == "exact":
-        method = "disc" if isinstance(df.schema[column].dataType, INTEGRAL) else "radix"
+        def within(*args):
+            return bracket_ranks(*args, accuracy=accuracy)
+        return exact_quantiles(df, column, probs, by, continuous, bounded_groups, within)
     if method == "radix":
         return exact_quantiles(df, column, probs, by, continuous, bounded_groups)
     c, t = quote(column), df.schema[column].dataType.simpleString()

@@ -26,7 +26,7 @@ from lakeops.functions.descriptions import COLUMN_TEXTS, TABLE_TEXTS
 from lakeops.functions.periods import default_months, month_tuple, parse_months, validate_months
 from lakeops.functions.schema import SERVING_COLUMNS, SILVER_SCHEMA, TRIP_KEY, conform
 from lakeops.operators import audit as A
-from lakeops.operators import bundle as BU
+from lakeops.operators import cube as C
 from lakeops.operators import metrics as M
 from lakeops.operators import profile as P
 from lakeops.operators import quality as Q
@@ -92,6 +92,26 @@ def raw_standardized(spark: SparkSession, raw_root: str, months, cast: bool,
             for s in services for df in B.read_months_raw(spark, raw_root, s, months)]
 
 
+def counting_reports(cube: DataFrame, months) -> dict[str, DataFrame]:
+    """All reports that only count trips, from the cube."""
+    cells = C.scoped(cube, months)
+    return {
+        "rows_by_source": C.rows_by_source(cube),
+        "volume_by_vendor": C.volume_by(cube, "VendorID"),
+        "passenger_rates": C.rate_bundle(cube),
+        "timestamp_problems": C.timestamp_problems(cube),
+        "timestamp_checks": C.timestamp_bundle(cube),
+        "period_scope": C.period_scope_counts(cube, months),
+        "out_of_period": C.out_of_period_detail(cube, months),
+        "negatives": C.negatives_summary(cells),
+        "negatives_by_month": C.negatives_by(cells, ["year", "month"]),
+        "negatives_by_date": C.negatives_by(cells, ["data_corrida"]),
+        "negatives_by_vendor": C.negatives_by_vendor(cells),
+        "negatives_by_payment": C.negatives_by(cells, ["payment_type"]),
+        "recompose_check": C.recompose_check(cells),
+    }
+
+
 def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
                reports_path: str, method: str = Q.DEFAULT_METHOD,
                services=SERVICE_NAMES, work_path: str | None = None,
@@ -102,9 +122,11 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
     folder and every later step reads that table: lineage is cut (a lost
     executor costs a re-read of its files, not a recompute from the raw
     months), nothing needs to fit in executor memory, and each report reads
-    only the columns it uses. Repairs (imputation, ordering, period scope) are
-    cheap projections over that table, recomputed per reader. With
-    ``database`` the table is published there as ``silver``.
+    only the columns it uses. The counting reports share one scan: they are
+    roll-ups of a small cube that is written beside the trips. Repairs
+    (imputation, ordering, period scope) are cheap projections over that
+    table, recomputed per reader. With ``database`` the table is published
+    there as ``silver``.
     """
     months = validate_months(months)
     raw_cast = raw_standardized(spark, raw_root, months, True, services)
@@ -118,6 +140,8 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
     try:
         typed_src.write.mode("overwrite").parquet(f"{work}/typed")
         typed = spark.read.parquet(f"{work}/typed")
+        C.trip_cube(typed).write.mode("overwrite").parquet(f"{work}/cube")
+        cube = spark.read.parquet(f"{work}/cube")
         imputed = Q.impute_median(typed, "passenger_count", method=method)
         repaired = Q.order_timestamps(imputed)
         scoped = Q.filter_period(repaired, months)
@@ -132,32 +156,20 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
         bounds = (iqr_row.limite_inferior, iqr_row.limite_superior)
         reports = {
             "cast_loss": A.cast_loss(raw_plain, SILVER_SCHEMA),
-            "rows_by_source": A.rows_by_source(typed),
             "exact_duplicates": A.exact_duplicates(typed),
             "key_duplicates": A.key_duplicates(typed, TRIP_KEY),
-            "volume_by_vendor": A.volume_by(typed, "VendorID"),
             "passenger_distribution": A.value_distribution(typed, "passenger_count"),
-            "passenger_rates": BU.rate_bundle(typed),
             "amount_by_null_flag": A.amount_by_null_flag(typed, method=method),
             "amount_by_zero_flag": A.amount_by_zero_flag(typed, method=method),
             "impute_before_after": Q.impute_before_after(typed, method=method),
             "impute_residual": Q.impute_residual(imputed),
-            "timestamp_problems": Q.timestamp_problems(imputed),
-            "timestamp_checks": BU.timestamp_bundle(repaired),
-            "period_scope": Q.period_scope_counts(repaired, months),
-            "out_of_period": Q.out_of_period_detail(repaired, months),
             "amount_summary": summary_df,
             "iqr_bounds": spark.createDataFrame([iqr_row], iqr.schema),
             "iqr_outliers": Q.iqr_outlier_counts(scoped, bounds=bounds),
             "top_outliers": Q.top_outliers(scoped, k=top_k, tie_break=TOP_TIES, bounds=bounds),
             "outliers_by_band": Q.outliers_by_band(scoped, bounds=bounds),
-            "negatives": Q.negatives_summary(scoped),
-            "negatives_by_month": Q.negatives_by(scoped, ["year", "month"]),
-            "negatives_by_date": Q.negatives_by(scoped, ["data_corrida"]),
-            "negatives_by_vendor": Q.negatives_by_vendor(scoped),
-            "negatives_by_payment": Q.negatives_by(scoped, ["payment_type"]),
-            "recompose_check": Q.recompose_check(scoped),
             "recompose_mismatch": Q.recompose_mismatch(scoped),
+            **counting_reports(cube, months),
         }
         out = write_reports(reports, reports_path)
         out["written"] = S.replace_months(spark, scoped, silver_path, months,

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.schema import TRIP_KEY
 from lakeops.operators import audit as A
+from lakeops.operators import cube as C
 from lakeops.operators import metrics as M
 from lakeops.operators import quality as Q
 from lakeops.plans.oracle_sql import with_base
@@ -696,3 +697,39 @@ SELECT f.total_inconsistentes, f.store_and_fwd_flag_preenchido,
 def q_timestamp_bundle(spark, sf_dir):
     from lakeops.operators.bundle import timestamp_bundle
     return timestamp_bundle(_st(spark, sf_dir).repaired)
+
+
+# ---------------------------------------------------------------------------
+# the counting reports as roll-ups of one cube: same rows as the operators above
+# ---------------------------------------------------------------------------
+
+def _cells(cube: DataFrame) -> DataFrame:
+    return C.scoped(cube, QUERY_MONTHS)
+
+
+CUBE_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "rows_by_source": C.rows_by_source,
+    "volume_by_key": C.volume_by,
+    "null_rate_by_vendor": lambda c: C.rates_by(c, "VendorID", "valor_nulo", "passenger_count_nulo"),
+    "null_rate_by_flag": lambda c: C.rates_by(c, "store_and_fwd_flag", "valor_nulo", "passenger_count_nulo"),
+    "zero_rate_by_subtype": lambda c: C.rates_by(c, "trip_type", "valor_zero", "passenger_count_zero", "green"),
+    "rate_bundle": C.rate_bundle,
+    "timestamp_problems": C.timestamp_problems,
+    "timestamp_bundle": C.timestamp_bundle,
+    "period_scope_counts": lambda c: C.period_scope_counts(c, QUERY_MONTHS),
+    "out_of_period_detail": lambda c: C.out_of_period_detail(c, QUERY_MONTHS),
+    "negatives_summary": lambda c: C.negatives_summary(_cells(c)),
+    "negatives_by_month": lambda c: C.negatives_by(_cells(c), ["year", "month"]),
+    "negatives_by_date": lambda c: C.negatives_by(_cells(c), ["data_corrida"]),
+    "negatives_by_vendor": lambda c: C.negatives_by_vendor(_cells(c)),
+    "negatives_by_payment": lambda c: C.negatives_by(_cells(c), ["payment_type"]),
+    "recompose_check": lambda c: C.recompose_check(_cells(c)),
+}
+
+
+def _cube_query(report: Callable[[DataFrame], DataFrame]) -> QueryFn:
+    return lambda spark, sf_dir: report(C.trip_cube(_st(spark, sf_dir).typed))
+
+
+for _name, _report in CUBE_REPORTS.items():
+    register(f"cube_{_name}", ORACLES[_name])(_cube_query(_report))

@@ -79,17 +79,49 @@ def test_radix_keeps_discrete_type_and_hot_value(spark):
     assert QQ.quantile_frame(df, "y", {"q": 0.9}, method="radix").collect()[0].q == exp
 
 
-def test_exact_method_picks_by_type(frame):
-    plan_int = QQ.quantile_frame(frame, "iv", {"m": 0.5})._jdf.queryExecution().optimizedPlan().toString()
-    plan_dbl = QQ.quantile_frame(frame, "v", {"m": 0.5})._jdf.queryExecution().optimizedPlan().toString()
-    assert "percentile" in plan_int.lower()
-    assert "percentile" not in plan_dbl.lower() and "shiftright" in plan_dbl.lower()
+@pytest.mark.parametrize("column", ["v", "iv", "f", "d"])
+@pytest.mark.parametrize("continuous", [False, True])
+@pytest.mark.parametrize("accuracy", [100, 10_000])
+def test_brackets_equal_spark_percentiles(frame, column, continuous, accuracy):
+    # accuracy 100: brackets from the sketch; 10 000: groups small enough to need none
+    wide = frame.selectExpr("*", "CAST(v AS FLOAT) AS f", "CAST(iv AS DECIMAL(20, 2)) AS d")
+    for by in ([], ["g"]):
+        got = QQ.quantile_frame(wide, column, PROBS, by, continuous=continuous, accuracy=accuracy)
+        builtin = QQ.quantile_frame(wide, column, PROBS, by, method="disc", continuous=continuous)
+        want = [tuple(r) for r in builtin.collect() if not by or any(x is not None for x in r[1:])]
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+        if not continuous:
+            assert got.schema[-1].dataType == wide.schema[column].dataType
+
+
+def test_brackets_with_hot_values_nan_and_infinities(spark):
+    df = spark.range(0, 20_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 42D WHEN id % 50 = 1 THEN double('nan') WHEN id % 50 = 2 THEN double('infinity') "
+        "WHEN id % 50 = 4 THEN double('-infinity') WHEN id % 50 = 5 THEN -0D ELSE (id * 7919) % 1000 / 7D END AS v")
+    probs = {f"p{k}": k / 40 for k in range(41)}
+    got = QQ.quantile_frame(df, "v", probs, accuracy=200).first()
+    want = QQ.quantile_frame(df, "v", probs, method="disc").first()
+    assert repr(got).replace("-0.0", "0.0") == repr(want).replace("-0.0", "0.0")
+
+
+def test_the_exact_method_moves_counts_only_and_runs_nothing_early(frame, spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    q = QQ.quantile_frame(frame, "v", {"m": 0.5}, ["g"])
+    plan = q._jdf.queryExecution().optimizedPlan().toString()
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert plan.count("percentile_approx") == 1 and "collect_list" not in plan
     with pytest.raises(ValueError):
         QQ.quantile_frame(frame, "v", {"m": 1.5})
     with pytest.raises(ValueError):
         QQ.quantile_frame(frame, "v", {"m": 0.5}, method="bogus")
 
 
+def test_a_rank_outside_its_bracket_is_an_error(frame, monkeypatch):
+    monkeypatch.setattr(QQ, "_targets", lambda probs, continuous: ["__q_n"])      # asks the median's bracket for the maximum
+    with pytest.raises(Exception, match="outside its bracket"):
+        QQ.quantile_frame(frame, "v", {"m": 0.5}, accuracy=100).collect()
+
+
 def test_attach_groups_null_safe(spark):
     main = spark.createDataFrame([(True, 1), (False, 2), (None, 3)], "f boolean, n int")
     q = spark.createDataFrame([(True, 10.0), (None, 30.0)], "f boolean, m double")
