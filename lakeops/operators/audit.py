@@ -11,13 +11,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeops.functions import expressions as X
 from lakeops.functions.schema import quote, sql_literal, try_cast_sql
 from lakeops.operators.quality import DEFAULT_ACCURACY, DEFAULT_METHOD
 from lakeops.operators.quantiles import attach_groups, quantile_frame
+from lakeops.session import scratch_path
 
 
 # --------------------------------------------------------------------------
@@ -33,19 +34,23 @@ def rows_by_source(df: DataFrame, source: str = "tipo", total_label: str = "tota
                         "registros"))
 
 
+# pairs of hashes seen more than once that may be broadcast (16 bytes each, about 64 MB)
+BROADCAST_PAIRS = 4_000_000
+
+
 def exact_duplicates(df: DataFrame) -> DataFrame:
     """Total rows, distinct full rows and the difference, as one row.
 
-    Every row is shuffled as two 64-bit hashes; rows whose hashes occur once
-    are distinct. Only rows whose hashes repeat are compared in full.
+    Two phases. The first counts rows per pair of 64-bit hashes and writes
+    the pairs seen more than once below the shared checkpoint folder (it runs
+    now); rows of all other pairs are distinct. The second compares in full
+    only the rows of the written pairs, found in place: see ``_repeated``.
     """
-    marked, sizes = _by_hash(df, df.columns)
-    doubtful = _repeated(marked, sizes).groupBy(*df.columns).agg(F.expr("count(1) AS _n"))
-    parts = (sizes.selectExpr("_n AS r", "CASE WHEN _n = 1 THEN 1L ELSE 0L END AS d")
-             .unionAll(doubtful.selectExpr("0L AS r", "1L AS d")))
-    return (parts.selectExpr("coalesce(sum(r), 0L) AS registros", "coalesce(sum(d), 0L) AS registros_distintos")
-            .selectExpr("registros", "registros_distintos",
-                        "registros - registros_distintos AS duplicados"))
+    marked, twice, once = _hash_pairs(df, df.columns)
+    doubtful = _repeated(marked, twice).groupBy(*df.columns).agg(F.expr("count(1) AS _n"))
+    parts = doubtful.selectExpr("_n AS r", "1L AS d")
+    return (parts.selectExpr(f"coalesce(sum(r), 0L) + {once}L AS registros", f"coalesce(sum(d), 0L) + {once}L AS registros_distintos")
+            .selectExpr("registros", "registros_distintos", "registros - registros_distintos AS duplicados"))
 
 
 def key_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -53,20 +58,48 @@ def key_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
     As in ``exact_duplicates``, keys are shuffled only where their hashes repeat.
     """
-    marked, sizes = _by_hash(df.select(*key), key)
-    return (_repeated(marked, sizes).groupBy(*key).agg(F.expr("count(1) AS count"))
+    marked, twice, _ = _hash_pairs(df.select(*key), key)
+    return (_repeated(marked, twice).groupBy(*key).agg(F.expr("count(1) AS count"))
             .where(F.expr("count > 1")))
 
 
-def _by_hash(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """``df`` with two hashes of ``columns``, and the rows per pair of hashes."""
+def _hash_pairs(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame, int]:
+    """``df`` with two hashes of ``columns``, the pairs seen more than once (written), and the number of the others."""
     cols = ", ".join(quote(c) for c in columns)
     marked = df.selectExpr("*", f"xxhash64({cols}) AS _h1", f"xxhash64('second', {cols}) AS _h2")
-    return marked, marked.groupBy("_h1", "_h2").agg(F.expr("count(1) AS _n"))
+    sizes = marked.groupBy("_h1", "_h2").agg(F.expr("count(1) AS _n"))
+    seen = Observation("hash_pairs")
+    path = scratch_path(df.sparkSession, "repeated-hashes")
+    (sizes.observe(seen, F.expr("count(1) AS pairs"), F.expr("count_if(_n = 1) AS once"))
+     .where("_n > 1").select("_h1", "_h2").write.parquet(path))
+    return marked, df.sparkSession.read.schema("_h1 long, _h2 long").parquet(path), int(seen.get["once"])
+
+
+def _repeated(marked: DataFrame, twice: DataFrame) -> DataFrame:
+    """Rows of ``marked`` whose pair is in ``twice``, without moving any other row in full.
+
+    Few pairs are broadcast (their number is known by now). Beyond that a
+    bit map of the pairs, of a fixed 64 MB, is broadcast: it keeps a row of no
+    written pair out of the shuffle but for chance hits, and the join that
+    follows is exact.
+    """
+    pairs = twice.count()
+    if pairs <= BROADCAST_PAIRS:
+        return marked.join(F.broadcast(twice), ["_h1", "_h2"], "left_semi")
+    return _in_bit_map(marked, twice).join(twice, ["_h1", "_h2"], "left_semi")
+
+
+MAP_ROWS = 1 << 14                  # of 4 KB each (32 768 bits), as bitmap_construct_agg makes them
 
 
-def _repeated(marked: DataFrame, sizes: DataFrame) -> DataFrame:
-    return marked.join(sizes.where("_n > 1").select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
+def _in_bit_map(marked: DataFrame, twice: DataFrame) -> DataFrame:
+    """Rows of ``marked`` whose first hash falls on a set bit of the map of the first hashes of ``twice``."""
+    row = f"pmod(shiftrightunsigned(_h1, 15), {MAP_ROWS}L)"
+    held = (twice.selectExpr(f"{row} AS _row", "CAST(_h1 & 32767 AS INT) AS _bit").distinct()
+            .groupBy("_row").agg(F.expr("bitmap_construct_agg(_bit) AS _map")))
+    byte = "CAST(conv(hex(substring(_map, _bit DIV 8 + 1, 1)), 16, 10) AS INT)"
+    return (marked.selectExpr("*", f"{row} AS _row", "CAST(_h1 & 32767 AS INT) AS _bit").join(F.broadcast(held), "_row")
+            .where(f"getbit({byte}, _bit % 8) = 1").drop("_row", "_bit", "_map"))
 
 
 def volume_by(df: DataFrame, column: str = "VendorID") -> DataFrame:

@@ -1,9 +1,10 @@
 """Column profile of raw monthly files, and the schema audits built on it.
 
-The profile of one (service, month) file is a single aggregate over all of
-its columns (one scan, partial aggregation per task), unpivoted to one row
-per column. Profiles of all months are unioned lazily and run as one job.
-Missing columns and type drift are then small aggregates over the profile.
+Months whose files share a schema are profiled by one scan: a single
+aggregate over all columns, by month (taken from the file's path), partially
+aggregated per task and unpivoted to one row per column. The plan grows with
+the number of different schemas, not of files. Missing columns and type
+drift are then small aggregates over the profile.
 """
 
 from __future__ import annotations
@@ -15,33 +16,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.schema import quote, sql_literal
-from lakeops.sources.bronze import month_leaves
+from lakeops.sources.bronze import month_leaves, schema_groups
 
 PROFILE_SCHEMA = ("taxi_type string, periodo string, total_registros bigint, coluna string, "
                   "datatype string, nullable boolean, min string, max string, nulls bigint")
 
 
 def profile_frame(df: DataFrame, service: str, period: str) -> DataFrame:
-    """Long-form profile of every column of ``df``: rows, type, min, max, nulls.
+    """Long-form profile of every column of ``df``: rows, type, min, max, nulls."""
+    return _profiled(df.schema, df, service, sql_literal(period), [period])
 
-    One global aggregate over all columns, then ``stack`` to one row per
-    column; both steps are SQL text sent in one call each.
+
+def _profiled(schema, df: DataFrame, service: str, period: str, periods: list[str]) -> DataFrame:
+    """One aggregate over all columns per value of ``period`` (SQL text), then ``stack`` to one row per column.
+
+    Both steps are SQL text sent in one call each; a period without rows
+    (an empty file) still gets its rows.
     """
-    fields = df.schema.fields
+    fields = schema.fields
     aggs = ["count(1) AS _rows"]
     for i, f in enumerate(fields):
         q = quote(f.name)
         aggs += [f"CAST(min({q}) AS STRING) AS mn{i}", f"CAST(max({q}) AS STRING) AS mx{i}",
                  f"count({q}) AS nn{i}"]
-    wide = df.selectExpr(*aggs)
+    wide = df.groupBy(F.expr(period).alias("_period")).agg(*map(F.expr, aggs))
+    asked = df.sparkSession.createDataFrame([(p,) for p in periods], "_period string")
     entries = ", ".join(
         f"{sql_literal(f.name)}, {sql_literal(f.dataType.simpleString())}, "
-        f"{'true' if f.nullable else 'false'}, mn{i}, mx{i}, nn{i}"
+        f"{'true' if f.nullable else 'false'}, mn{i}, mx{i}, coalesce(nn{i}, 0L)"
         for i, f in enumerate(fields))
-    long = wide.selectExpr("_rows", f"stack({len(fields)}, {entries}) "
-                                    "AS (coluna, datatype, nullable, min, max, nn)")
+    long = asked.join(wide, "_period", "left").selectExpr(
+        "_period", "coalesce(_rows, 0L) AS _rows", f"stack({len(fields)}, {entries}) AS (coluna, datatype, nullable, min, max, nn)")
     return long.selectExpr(
-        f"{sql_literal(service)} AS taxi_type", f"{sql_literal(period)} AS periodo",
+        f"{sql_literal(service)} AS taxi_type", "_period AS periodo",
         "_rows AS total_registros", "coluna", "datatype", "nullable", "min", "max",
         "_rows - nn AS nulls")
 
@@ -50,8 +57,11 @@ def profile_columns(spark: SparkSession, root: str, services: Iterable[str], mon
     """Profile of every (service, month) raw file present under ``root``."""
     parts = []
     for service in services:
-        for month, path in month_leaves(spark, root, service, months).items():
-            parts.append(profile_frame(spark.read.parquet(path), service, month))
+        leaves = month_leaves(spark, root, service, months)
+        for schema, names in schema_groups(spark, leaves).items():
+            files = spark.read.parquet(*(leaves[m] for m in names))
+            month = r"regexp_replace(regexp_extract(_metadata.file_path, 'year=\\d+/month=\\d+', 0), 'year=(\\d+)/month=', '$1-')"
+            parts.append(_profiled(files.schema, files, service, month, names))
     if not parts:
         return spark.createDataFrame([], PROFILE_SCHEMA)
     return reduce(lambda a, b: a.unionByName(b), parts)

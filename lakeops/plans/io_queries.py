@@ -8,6 +8,8 @@ operator, and returns a DataFrame that reads what was written.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lakeops.functions.descriptions import COLUMN_TEXTS
 from lakeops.functions.periods import month_tuple
 from lakeops.functions.schema import SERVING_COLUMNS
@@ -32,8 +34,9 @@ def landed_raw(spark, sf_dir, drift=False):
     """Stage the raw monthly files and land them; returns (root, report)."""
     source = scratch_path(spark, "source")
     root = scratch_path(spark, "raw")
-    E.write_raw_sources(spark, sf_dir, source, SERVICES, E.EVENT_MONTHS, drift=drift)
-    report = B.land_months(spark, source, root, SERVICES, E.EVENT_MONTHS)
+    months = E.trip_months(spark, sf_dir)
+    E.write_raw_sources(spark, sf_dir, source, SERVICES, months, drift=drift)
+    report = B.land_months(spark, source, root, SERVICES, months)
     return root, report
 
 
@@ -108,6 +111,46 @@ def q_catalog_months(spark, sf_dir):
     return spark.table(table).where(_SCAN_PRED)
 
 
+@register("switch_months", with_base("""
+SELECT * REPLACE (CASE WHEN month = 2 THEN total_amount * 2 ELSE total_amount END AS total_amount)
+  FROM scoped WHERE NOT (year = 2024 AND month = 3)"""))
+def q_switch_months(spark, sf_dir):
+    """Months written as versions of a catalog table; February rewritten from the table itself and switched,
+    March switched to a delivery without rows; then the versions that nothing reads are removed."""
+    st = stages_from_events(spark, sf_dir)
+    path = scratch_path(spark, "switched_trips")
+    table = path.rpartition("/")[2].replace("-", "_")
+    S.switch_months(spark, st.scoped, table, path, QUERY_MONTHS, COLUMN_TEXTS, time_col="pickup_datetime_tratado")
+    doubled = spark.table(table).where("year = 2024 AND month = 2").withColumn("total_amount", F.expr("total_amount * 2"))
+    S.switch_months(spark, doubled, table, path, ["2024-02", "2024-03"], time_col="pickup_datetime_tratado")
+    S.drop_old_versions(spark, table, path)
+    return spark.table(table)
+
+
+# Fixed value: the month that the raw zone's query delivers with text in a number column.
+TEXT_MONTH = ("green", "2024-04")
+_RAW_ZONE = """
+SELECT t.* EXCLUDE (data_corrida) REPLACE (
+         CASE WHEN tipo = 'yellow' AND year = 2024 AND month = 3 THEN NULL ELSE congestion_surcharge END AS congestion_surcharge,
+         CASE WHEN tipo = 'green' AND year = 2024 AND month = 4 AND PULocationID % 2 = 0 THEN NULL ELSE passenger_count END
+           AS passenger_count)
+  FROM typed t"""
+
+
+@register("raw_zone_view", with_base(_RAW_ZONE))
+def q_raw_zone_view(spark, sf_dir):
+    """The raw zone by name: months retyped, renamed, without a column, and one with text where a number belongs."""
+    source, root = scratch_path(spark, "source"), scratch_path(spark, "raw")
+    months = E.trip_months(spark, sf_dir)
+    E.write_raw_sources(spark, sf_dir, source, SERVICES, months, drift=True)
+    text = E.raw_month_frame(E.trips_from_events(spark, sf_dir), *TEXT_MONTH).withColumn(
+        "passenger_count", F.expr("CASE WHEN PULocationID % 2 = 0 THEN 'unknown' ELSE CAST(passenger_count AS STRING) END"))
+    text.write.mode("overwrite").parquet(B.source_path(source, *TEXT_MONTH))
+    B.land_months(spark, source, root, SERVICES, months)
+    database = root.rpartition("/")[2].replace("-", "_")
+    return spark.table(B.publish_raw(spark, database, root, SERVICES, months))
+
+
 # ---------------------------------------------------------------------------
 # profile, missing columns, type drift
 # ---------------------------------------------------------------------------
@@ -137,26 +180,28 @@ def _raw_columns(service):
 
 
 def _profile_sql() -> str:
+    """Per service and column one SELECT over all months; drift changes single months' types, names and columns."""
     parts = []
     for service in SERVICES:
-        for month in E.EVENT_MONTHS:
-            y, m = month_tuple(month)
-            change = E.DRIFT.get((service, month), {})
-            where = (f"tipo = '{service}' AND year(pickup_datetime) = {y} "
-                     f"AND month(pickup_datetime) = {m}")
-            for name, expr in _raw_columns(service):
-                if name in change.get("drop", []):
-                    continue
-                dtype = RAW_TYPES[name]
-                if name in change.get("retype", {}):
-                    dtype = change["retype"][name]
-                    expr = f"CAST({expr} AS {_SQL_TYPES[dtype]})"
-                out_name = change.get("rename", {}).get(name, name)
-                parts.append(
-                    f"SELECT '{service}' AS taxi_type, '{month}' AS periodo, count(*) AS total_registros, "
-                    f"'{out_name}' AS coluna, '{dtype}' AS datatype, true AS nullable, "
-                    f"CAST(min({expr}) AS VARCHAR) AS min, CAST(max({expr}) AS VARCHAR) AS max, "
-                    f"count(*) - count({expr}) AS nulls FROM trips WHERE {where}")
+        drifts = {m: c for (s, m), c in E.DRIFT.items() if s == service}
+        for name, expr in _raw_columns(service):
+            dropped = [m for m, c in drifts.items() if name in c.get("drop", [])]
+            retyped = {m: c["retype"][name] for m, c in drifts.items() if name in c.get("retype", {})}
+            renamed = {m: c["rename"][name] for m, c in drifts.items() if name in c.get("rename", {})}
+
+            def by_month(cases: dict, other: str) -> str:
+                return f"CASE {' '.join(f'WHEN periodo = {m!r} THEN {v}' for m, v in cases.items())} ELSE {other} END" if cases else other
+
+            low, high = ({m: f"CAST(CAST({f}(v) AS {_SQL_TYPES[t]}) AS VARCHAR)" for m, t in retyped.items()} for f in ("min", "max"))
+            gone = f" WHERE periodo NOT IN ({', '.join(map(repr, dropped))})" if dropped else ""
+            parts.append(
+                f"SELECT '{service}' AS taxi_type, periodo, count(*) AS total_registros, "
+                f"{by_month({m: repr(v) for m, v in renamed.items()}, repr(name))} AS coluna, "
+                f"{by_month({m: repr(t) for m, t in retyped.items()}, repr(RAW_TYPES[name]))} AS datatype, true AS nullable, "
+                f"{by_month(low, 'CAST(min(v) AS VARCHAR)')} AS min, {by_month(high, 'CAST(max(v) AS VARCHAR)')} AS max, "
+                f"count(*) - count(v) AS nulls "
+                f"FROM (SELECT {expr} AS v, strftime(pickup_datetime, '%Y-%m') AS periodo FROM trips WHERE tipo = '{service}') r"
+                f"{gone} GROUP BY periodo")
     return "\n UNION ALL ".join(parts)
 
 
@@ -169,7 +214,7 @@ def _with_profile(final: str) -> str:
 
 def _profile(spark, sf_dir):
     root, _ = landed_raw(spark, sf_dir, drift=True)
-    return P.profile_columns(spark, root, SERVICES, E.EVENT_MONTHS)
+    return P.profile_columns(spark, root, SERVICES, E.trip_months(spark, sf_dir))
 
 
 @register("profile_columns", _with_profile("SELECT * FROM profile"))
@@ -216,3 +261,37 @@ def q_panel_free_query(spark, sf_dir):
     S.replace_months(spark, st.metrics, metrics, QUERY_MONTHS, small=True)
     register_views(spark, trips, metrics)
     return free_query(spark, PANEL_QUERY)
+
+
+def _with_questions(spark, sf_dir):
+    from lakeops.plans.panel import register_questions
+    path = scratch_path(spark, "gold_metrics")
+    S.replace_months(spark, stages_from_events(spark, sf_dir).metrics, path, QUERY_MONTHS, small=True)
+    spark.read.parquet(path).createOrReplaceTempView("trip_metrics")
+    register_questions(spark)
+
+
+@register("question_mean_amount", with_base("""
+SELECT 'green' AS servico, year, month, round(sum(soma_total_amount) / sum(qtd_corridas), 2) AS media_total_amount
+  FROM metrics WHERE tipo = 'green' GROUP BY year, month
+UNION ALL
+SELECT NULL AS servico, year, month, round(sum(soma_total_amount) / sum(qtd_corridas), 2) AS media_total_amount
+  FROM metrics GROUP BY year, month"""))
+def q_question_mean_amount(spark, sf_dir):
+    """A question as an SQL table function, its parameter bound: one service, and all of them."""
+    _with_questions(spark, sf_dir)
+    return spark.sql("""SELECT :service AS servico, * FROM mean_amount_by_month(:service)
+                        UNION ALL SELECT CAST(NULL AS STRING), * FROM mean_amount_by_month(NULL)""", args={"service": "green"})
+
+
+@register("question_mean_passengers", with_base("""
+SELECT '2024-02' AS mes, hora_do_dia, round(sum(soma_passenger_count) / sum(qtd_corridas), 2) AS media_passenger_count
+  FROM metrics WHERE tipo = 'yellow' AND year = 2024 AND month = 2 GROUP BY hora_do_dia
+UNION ALL
+SELECT NULL AS mes, hora_do_dia, round(sum(soma_passenger_count) / sum(qtd_corridas), 2) AS media_passenger_count
+  FROM metrics WHERE year * 100 + month = (SELECT max(year * 100 + month) FROM metrics) GROUP BY hora_do_dia"""))
+def q_question_mean_passengers(spark, sf_dir):
+    """Mean passengers per hour as an SQL table function: a service's fixed month, and the latest month of all."""
+    _with_questions(spark, sf_dir)
+    return spark.sql("""SELECT :month AS mes, * FROM mean_passengers_by_hour('yellow', :month)
+                        UNION ALL SELECT CAST(NULL AS STRING), * FROM mean_passengers_by_hour(NULL, NULL)""", args={"month": "2024-02"})

@@ -15,6 +15,7 @@ Run with spark-submit or ``python -m lakeops.plans.jobs <job> ...``.
 from __future__ import annotations
 
 import argparse
+import math
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.descriptions import COLUMN_TEXTS, TABLE_TEXTS
-from lakeops.functions.periods import default_months, month_tuple, parse_months, validate_months
+from lakeops.functions.periods import default_months, month_set_predicate, month_tuple, parse_months, validate_months
 from lakeops.functions.schema import SERVING_COLUMNS, SILVER_SCHEMA, TRIP_KEY, conform
 from lakeops.operators import audit as A
 from lakeops.operators import cube as C
@@ -32,7 +33,7 @@ from lakeops.operators import profile as P
 from lakeops.operators import quality as Q
 from lakeops.sources import bronze as B
 from lakeops.sources import sinks as S
-from lakeops.session import delete_path, scratch_path
+from lakeops.session import delete_path, folder_bytes, scratch_path
 from lakeops.sources.services import SERVICES, standardize
 
 SERVICE_NAMES = tuple(SERVICES)
@@ -71,10 +72,16 @@ def write_reports(reports: Mapping[str, DataFrame], path: str, max_parallel: int
 # ---------------------------------------------------------------------------
 
 def land_job(spark: SparkSession, source_root: str, raw_root: str, months,
-             reports_path: str, services=SERVICE_NAMES) -> dict:
-    """Clear + land the requested months, then profile them."""
+             reports_path: str, services=SERVICE_NAMES, database: str | None = None) -> dict:
+    """Clear + land the requested months, then profile them.
+
+    With ``database`` the raw zone is published there: a table per service and
+    file schema, and the view ``raw_trips`` over all of them.
+    """
     months = validate_months(months)
     landed = B.land_months(spark, source_root, raw_root, services, months)
+    if database:
+        B.publish_raw(spark, database, raw_root, services, months)
     # one scan per raw file: the schema reports read the profile as written
     out = write_reports({"landed": landed, "profile": P.profile_columns(spark, raw_root, services, months)},
                         reports_path)
@@ -115,7 +122,8 @@ def counting_reports(cube: DataFrame, months) -> dict[str, DataFrame]:
 def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
                reports_path: str, method: str = Q.DEFAULT_METHOD,
                services=SERVICE_NAMES, work_path: str | None = None,
-               database: str | None = None, top_k: int = 20) -> dict:
+               database: str | None = None, top_k: int = 20,
+               target_file_bytes: int = S.TARGET_FILE_BYTES, atomic: bool = False) -> dict:
     """Raw months -> typed, repaired trips; reports; month replacement.
 
     The typed trips are written once as Parquet below the shared checkpoint
@@ -126,9 +134,13 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
     roll-ups of a small cube that is written beside the trips. Repairs
     (imputation, ordering, period scope) are cheap projections over that
     table, recomputed per reader. With ``database`` the table is published
-    there as ``silver``.
+    there as ``silver``. Files are about ``target_file_bytes`` each, from the
+    size of the typed trips. ``atomic`` (with ``database``) writes the months
+    beside the old ones and switches the table's partitions to them.
     """
     months = validate_months(months)
+    if atomic and not database:
+        raise ValueError("an atomic replacement needs a database: readers go by the table's name")
     raw_cast = raw_standardized(spark, raw_root, months, True, services)
     if not raw_cast:
         raise ValueError(f"no raw files under {raw_root} for {months}")
@@ -172,8 +184,13 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
             **counting_reports(cube, months),
         }
         out = write_reports(reports, reports_path)
-        out["written"] = S.replace_months(spark, scoped, silver_path, months,
-                                          time_col="pickup_datetime_tratado")
+        layout = {"time_col": "pickup_datetime_tratado", "sort_within": ("tipo", "VendorID"),
+                  "num_partitions": max(1, math.ceil(folder_bytes(spark, f"{work}/typed") / target_file_bytes))}
+        if atomic:
+            out["written"] = S.switch_months(spark, scoped, f"{database}.silver", silver_path, months, COLUMN_TEXTS, **layout)
+            S.document_table(spark, f"{database}.silver", TABLE_TEXTS["silver"])
+            return out
+        out["written"] = S.replace_months(spark, scoped, silver_path, months, **layout)
         if database:
             S.publish(spark, f"{database}.silver", silver_path, TABLE_TEXTS["silver"], COLUMN_TEXTS)
         return out
@@ -188,9 +205,13 @@ def silver_job(spark: SparkSession, raw_root: str, silver_path: str, months,
 
 def gold_job(spark: SparkSession, silver_path: str, trips_path: str, metrics_path: str,
              months, reports_path: str, question_service: str = "yellow",
-             question_month: str | None = None, database: str | None = None) -> dict:
+             question_month: str | None = None, database: str | None = None,
+             silver_table: str | None = None, target_file_bytes: int = S.TARGET_FILE_BYTES) -> dict:
     """Serving trips, hourly metrics and the questions over them.
 
+    The trips come from ``silver_path``, or from ``silver_table`` by name
+    (needed where the silver job replaced months atomically).
+
     ``question_month`` (default: the last requested month) is the month of the
     fixed-month question. With ``database`` both tables are published there.
     """
@@ -198,10 +219,14 @@ def gold_job(spark: SparkSession, silver_path: str, trips_path: str, metrics_pat
     year, month = month_tuple(question_month or max(months))
     source_cols = [{"pickup_datetime": "pickup_datetime_tratado",
                     "dropoff_datetime": "dropoff_datetime_tratado"}.get(c, c) for c in SERVING_COLUMNS]
-    serving = S.read_table_months(spark, silver_path, months, source_cols,
-                                  {"pickup_datetime_tratado": "pickup_datetime",
-                                   "dropoff_datetime_tratado": "dropoff_datetime"})
-    written_trips = S.replace_months(spark, serving, trips_path, months, time_col="pickup_datetime")
+    renames = {"pickup_datetime_tratado": "pickup_datetime", "dropoff_datetime_tratado": "dropoff_datetime"}
+    if silver_table:
+        serving = (spark.table(silver_table).where(month_set_predicate(months))
+                   .select(*[F.col(c).alias(renames.get(c, c)) for c in source_cols]))
+    else:
+        serving = S.read_table_months(spark, silver_path, months, source_cols, renames)
+    written_trips = S.replace_months(spark, serving, trips_path, months, time_col="pickup_datetime",
+                                     sort_within=("tipo", "VendorID"), target_file_bytes=target_file_bytes)
     # metrics are computed from the table just written (short lineage, pruned scan)
     trips = S.read_table_months(spark, trips_path, months)
     written_metrics = S.replace_months(spark, M.hourly_metrics(trips), metrics_path, months, small=True)
@@ -248,10 +273,12 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--months", default=None,
                         help="comma-separated YYYY-MM list; default: two months back")
         sp.add_argument("--reports-path", required=True)
-    for sp in (silver, gold):
+    for sp in (land, silver, gold):
         sp.add_argument("--database", default=None, help="publish the written tables there")
     silver.add_argument("--work-path", default=None,
                         help="shared folder for the typed work table; default: below spark.checkpoint.dir")
+    silver.add_argument("--atomic", action="store_true", help="switch the table's months to the new ones when all is written")
+    gold.add_argument("--silver-table", default=None, help="read the trips by this name instead of by path")
     silver.add_argument("--top-k", type=int, default=20, help="rows of the top_outliers report")
     gold.add_argument("--question-month", default=None, help="YYYY-MM of the fixed-month question")
     return p
@@ -263,13 +290,14 @@ def main(argv=None) -> None:
     months = parse_months(args.months) if args.months else default_months()
     spark = build_session(app_name=f"lakeops-{args.job}")
     if args.job == "land":
-        out = land_job(spark, args.source_root, args.raw_root, months, args.reports_path)
+        out = land_job(spark, args.source_root, args.raw_root, months, args.reports_path, database=args.database)
     elif args.job == "silver":
         out = silver_job(spark, args.raw_root, args.silver_path, months, args.reports_path,
-                         work_path=args.work_path, database=args.database, top_k=args.top_k)
+                         work_path=args.work_path, database=args.database, top_k=args.top_k, atomic=args.atomic)
     else:
         out = gold_job(spark, args.silver_path, args.trips_path, args.metrics_path, months,
-                       args.reports_path, question_month=args.question_month, database=args.database)
+                       args.reports_path, question_month=args.question_month, database=args.database,
+                       silver_table=args.silver_table)
     for name, df in out.items():
         print(f"\n[{name}] {df.count()} rows")
         in_reading_order(name, df).show(20, truncate=False)

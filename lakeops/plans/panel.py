@@ -24,6 +24,30 @@ def register_views(spark: SparkSession, trips_path: str, metrics_path: str,
     spark.read.parquet(metrics_path).createOrReplaceTempView(metrics_view)
 
 
+def register_questions(spark: SparkSession, metrics_view: str = "trip_metrics") -> None:
+    """The questions as SQL table functions over the metrics view, with their parameters typed and bound.
+
+    * ``mean_amount_by_month(service)``: mean amount per month of a service, of all if NULL;
+    * ``mean_passengers_by_hour(service, month)``: mean passengers per hour
+      of a month ('2024-03'; NULL: the latest one) and service (NULL: all).
+
+    A value never becomes part of the SQL text. Filters on year and month
+    reach the table's partitions.
+    """
+    of_service = "(service IS NULL OR m.tipo = service)"
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION mean_amount_by_month(service STRING)
+        RETURNS TABLE (year INT, month INT, media_total_amount DOUBLE)
+        RETURN SELECT m.year, m.month, round(sum(m.soma_total_amount) / sum(m.qtd_corridas), 2)
+               FROM {metrics_view} m WHERE {of_service} GROUP BY m.year, m.month""")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION mean_passengers_by_hour(service STRING, in_month STRING)
+        RETURNS TABLE (hora_do_dia INT, media_passenger_count DOUBLE)
+        RETURN SELECT m.hora_do_dia, round(sum(m.soma_passenger_count) / sum(m.qtd_corridas), 2)
+               FROM {metrics_view} m
+               WHERE {of_service} AND m.year * 100 + m.month = coalesce(
+                   CAST(replace(in_month, '-', '') AS INT), (SELECT max(l.year * 100 + l.month) FROM {metrics_view} l))
+               GROUP BY m.hora_do_dia""")
+
+
 def free_query(spark: SparkSession, sql: str) -> DataFrame:
     """The whole result of a query over the registered views."""
     return spark.sql(sql)

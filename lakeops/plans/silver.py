@@ -30,8 +30,9 @@ QUERY_MONTHS = ["2024-01", "2024-02", "2024-03", "2024-04"]
 def conform_services(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Standardize and conform each service, then union by name.
 
-    Conforming before the union makes every branch the same shape, so a
-    month that lacks or retypes a column cannot break the union.
+    Conforming before the union makes every branch the same shape whatever
+    the types it was delivered in; a branch that lacks a column raises
+    (``bronze.publish_raw`` reads such months with NULLs instead).
     """
     parts = [conform(standardize(df, SERVICES[name]), SILVER_SCHEMA) for name, df in raw.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -86,6 +86,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, by the path's file system; 0 if it is not there."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(jpath).getLength()) if fs.exists(jpath) else 0
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder, sorted; none if it is not there."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Recursive delete through the Hadoop file system (works on any store)."""
     jvm = spark.sparkContext._jvm
@@ -97,5 +113,5 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 __all__ = [
     "DEFAULT_CONF", "build_session", "ensure_checkpoint_dir", "scratch_path",
-    "local_path", "path_exists", "delete_path",
+    "local_path", "path_exists", "delete_path", "folder_bytes", "child_names",
 ]

@@ -12,6 +12,8 @@ per month.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections import defaultdict
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -19,11 +21,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeops.functions.periods import month_tuple, validate_months
-from lakeops.functions.schema import SILVER_SCHEMA, conform
+from lakeops.functions.schema import SILVER_SCHEMA, conform, quote, try_cast_sql
 from lakeops.session import delete_path, path_exists
-from lakeops.sources.services import SERVICES, standardize
+from lakeops.sources.services import SERVICES, standardize, standardize_sql
+from lakeops.sources.sinks import create_database
 
 
 def leaf_path(root: str, service: str, month: str) -> str:
@@ -94,6 +98,14 @@ def month_leaves(spark: SparkSession, root: str, service: str, months) -> dict[s
     return found
 
 
+def schema_groups(spark: SparkSession, leaves: Mapping[str, str]) -> dict[str, list[str]]:
+    """Months whose files share a schema, by that schema (as JSON)."""
+    groups: dict[str, list[str]] = defaultdict(list)
+    for month, path in leaves.items():
+        groups[spark.read.parquet(path).schema.json()].append(month)
+    return dict(groups)
+
+
 def read_months_raw(spark: SparkSession, root: str, service: str, months) -> list[DataFrame]:
     """One scan per group of months whose files share a schema.
 
@@ -101,11 +113,7 @@ def read_months_raw(spark: SparkSession, root: str, service: str, months) -> lis
     columns come back exactly as stored.
     """
     leaves = month_leaves(spark, root, service, months)
-    groups: dict[str, list[str]] = defaultdict(list)
-    for path in leaves.values():
-        schema = spark.read.parquet(path).schema
-        groups[schema.json()].append(path)
-    return [spark.read.parquet(*paths) for paths in groups.values()]
+    return [spark.read.parquet(*(leaves[m] for m in names)) for names in schema_groups(spark, leaves).values()]
 
 
 def read_service_months(spark: SparkSession, root: str, service: str, months,
@@ -126,3 +134,59 @@ def read_months(spark: SparkSession, root: str, services: Iterable[str], months,
     if not parts:
         raise ValueError(f"no raw files found under {root} for {list(months)}")
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+# ---------------------------------------------------------------------------
+# the raw zone in the catalog
+# ---------------------------------------------------------------------------
+
+def publish_raw(spark: SparkSession, database: str, root: str, services: Iterable[str], months,
+                schema: Mapping[str, str] = SILVER_SCHEMA, view: str = "raw_trips") -> str:
+    """Register the landed months and the view ``database.view`` that conforms and unites them; returns its name.
+
+    A Parquet table has one schema, the raw months may have several: months
+    with equal schemas are partitions of one external table, named by the
+    schema's digest, and a month delivered again with another schema moves
+    from one to the other. The view reads every registered month, not only
+    those of this call, in the target types: a value that does not fit is
+    NULL, as is a column that a month was delivered without. It carries the
+    file's ``year`` and ``month``; filters on them prune partitions.
+    """
+    create_database(spark, database)
+    parts = []
+    for service in services:
+        leaves = month_leaves(spark, root, service, months)
+        prefix = f"raw_{service}_"
+        table_of: dict[str, str] = {}
+        for text, names in schema_groups(spark, leaves).items():
+            table = f"{database}.{prefix}{hashlib.sha256(text.encode()).hexdigest()[:12]}"
+            cols = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in StructType.fromJson(json.loads(text)).fields)
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, year INT, month INT) USING parquet "
+                      f"PARTITIONED BY (year, month) LOCATION '{root.rstrip('/')}/{service}'")
+            table_of |= dict.fromkeys(names, table)
+        tables = [f"{database}.{r.tableName}" for r in spark.sql(f"SHOW TABLES IN {database} LIKE '{prefix}*'").collect()]
+        for month in validate_months(months):
+            y, m = month_tuple(month)
+            for table in tables:
+                if table_of.get(month) != table:
+                    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (year={y}, month={m})")
+            if month in table_of:
+                spark.sql(f"ALTER TABLE {table_of[month]} ADD IF NOT EXISTS PARTITION (year={y}, month={m}) LOCATION '{leaves[month]}'")
+        for table in sorted(tables):
+            spark.catalog.refreshTable(table)
+            if spark.sql(f"SHOW PARTITIONS {table}").limit(1).count():
+                parts.append(_conforming_select(spark.table(table), table, service, schema))
+    if not parts:
+        raise ValueError(f"no landed months under {root} for {list(months)}")
+    name = f"{database}.{view}"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS " + "\nUNION ALL\n".join(parts))
+    return name
+
+
+def _conforming_select(df: DataFrame, table: str, service: str, schema: Mapping[str, str]) -> str:
+    """SQL text: one raw table standardized as ``standardize`` does, in the types of ``schema``, with its year and month."""
+    raw = df.drop("year", "month")
+    named = standardize(raw, SERVICES[service])
+    inner = ", ".join([*standardize_sql(raw, SERVICES[service]), "year", "month"])
+    outer = [f"{try_cast_sql(named, c, t) if c in named.columns else f'CAST(NULL AS {t})'} AS {quote(c)}" for c, t in schema.items()]
+    return f"SELECT {', '.join(outer)}, year, month FROM (SELECT {inner} FROM {table})"

@@ -119,9 +119,15 @@ def raw_service_frame(trips: DataFrame, service: str) -> DataFrame:
     raise ValueError(f"unknown service {service!r}")
 
 
-# Months covered by the events-derived trips.
+# Months that the test tables' trips are known to cover.
 EVENT_MONTHS = ["2024-01", "2024-02", "2024-03", "2024-04", "2024-05"]
 
+
+def trip_months(spark: SparkSession, sf_dir: str) -> list[str]:
+    """All months in which the trips start, read from the table: one short text per calendar month."""
+    starts = trips_from_events(spark, sf_dir).select(F.date_format("pickup_datetime", "yyyy-MM").alias("m"))
+    return sorted(r.m for r in starts.where("m is not null").distinct().collect())
+
 # Schema drift written into the staged raw files, per
 # (service, month): retyped columns, dropped columns, renamed spellings.
 DRIFT = {
@@ -153,7 +159,7 @@ def write_raw_sources(spark: SparkSession, sf_dir: str, source_root: str,
     """Write one raw file per (service, month), as a provider would deliver
     them, under ``source_root`` (the input of ``bronze.land_months``)."""
     trips = trips_from_events(spark, sf_dir)
-    jobs = [(s, m) for s in services for m in (months or EVENT_MONTHS)]
+    jobs = [(s, m) for s in services for m in (months or trip_months(spark, sf_dir))]
 
     def one(job):
         s, m = job

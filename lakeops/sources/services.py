@@ -46,16 +46,8 @@ SERVICES = {SERVICE_A.name: SERVICE_A, SERVICE_B.name: SERVICE_B}
 SERVICE_TAG_COLUMN = "tipo"
 
 
-def standardize(df: DataFrame, spec: ServiceSpec, tag_column: str = SERVICE_TAG_COLUMN,
-                cast: bool = True) -> DataFrame:
-    """Rename, cast and tag one service's rows in a single projection.
-
-    Column names named by the spec are matched ignoring case (a source may
-    spell ``airport_fee`` as ``Airport_fee``). Casts are ``try_cast``: a value
-    that does not fit becomes NULL instead of failing the job. Columns the spec
-    does not mention pass through unchanged. ``cast=False`` keeps the raw
-    types (input of the cast-loss audit, so losses of these casts show too).
-    """
+def standardize_sql(df: DataFrame, spec: ServiceSpec, tag_column: str = SERVICE_TAG_COLUMN, cast: bool = True) -> list[str]:
+    """The select list of ``standardize``, as SQL text."""
     wanted = list(spec.renames) + list(spec.casts)
     actual_to_spec = {}
     for name in wanted:
@@ -76,5 +68,18 @@ def standardize(df: DataFrame, spec: ServiceSpec, tag_column: str = SERVICE_TAG_
     for name, (value, dtype) in spec.constants.items():
         exprs.append(f"CAST({sql_literal(value)} AS {dtype}) AS {quote(name)}")
     exprs.append(f"{sql_literal(spec.name)} AS {quote(tag_column)}")
+    return exprs
+
+
+def standardize(df: DataFrame, spec: ServiceSpec, tag_column: str = SERVICE_TAG_COLUMN,
+                cast: bool = True) -> DataFrame:
+    """Rename, cast and tag one service's rows in a single projection.
+
+    Column names named by the spec are matched ignoring case (a source may
+    spell ``airport_fee`` as ``Airport_fee``). Casts are ``try_cast``: a value
+    that does not fit becomes NULL instead of failing the job. Columns the spec
+    does not mention pass through unchanged. ``cast=False`` keeps the raw
+    types (input of the cast-loss audit, so losses of these casts show too).
+    """
     # one selectExpr: a single call to the JVM whatever the number of columns
-    return df.selectExpr(*exprs)
+    return df.selectExpr(*standardize_sql(df, spec, tag_column, cast))

@@ -1,3 +1,11 @@
+import json
+import os
+import subprocess
+import sys
+from collections import Counter
+
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators import audit as A
@@ -24,6 +32,48 @@ def test_exact_duplicates_with_nulls(spark):
     assert (r.registros, r.registros_distintos, r.duplicados) == (4, 3, 1)
 
 
+@pytest.mark.parametrize("limit", [4_000_000, 0])
+def test_duplicates_by_broadcast_pairs_and_by_bit_map(spark, monkeypatch, limit):
+    # the bit map takes over where the repeated pairs are too many to broadcast: same result
+    monkeypatch.setattr(A, "BROADCAST_PAIRS", limit)
+    df = spark.range(0, 3000).selectExpr("CASE WHEN id % 7 = 0 THEN id % 100 ELSE id END AS a", "CAST(NULL AS STRING) AS b")
+    rows = [tuple(r) for r in df.collect()]
+    r = A.exact_duplicates(df).first()
+    assert (r.registros, r.registros_distintos) == (3000, len(set(rows)))
+    want = {k: n for k, n in Counter(rows).items() if n > 1}
+    assert {(r.a, r.b): r["count"] for r in A.key_duplicates(df, ["a", "b"]).collect()} == want
+    empty = A.exact_duplicates(df.limit(0)).first()
+    assert tuple(empty) == (0, 0, 0) and A.key_duplicates(df.limit(0), ["a"]).count() == 0
+
+
+def test_unique_rows_never_cross_an_exchange_in_full(tmp_dir):
+    # lineitem has no equal rows: by the event log, only pairs of hashes are shuffled
+    script = f"""
+from lakeops.session import build_session
+from lakeops.operators import audit as A
+spark = build_session("local[2]", shuffle_partitions=4, extra={{
+    "spark.eventLog.enabled": "true", "spark.eventLog.dir": "file:{tmp_dir}", "spark.eventLog.compress": "false",
+    "spark.eventLog.rolling.enabled": "false", "spark.checkpoint.dir": "{tmp_dir}/scratch",
+    "spark.sql.autoBroadcastJoinThreshold": "1m"}})
+df = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+print(A.exact_duplicates(df).first().duplicados)
+spark.stop()
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300,
+                          cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert done.stdout.split()[-1:] == ["0"], done.stderr[-2000:]
+    log = next(f"{tmp_dir}/{f}" for f in os.listdir(tmp_dir) if f.startswith(("local-", "app-")))
+    written = Counter()
+    with open(log) as events:
+        for event in map(json.loads, events):
+            if event["Event"] == "SparkListenerTaskEnd":
+                write = event["Task Metrics"]["Shuffle Write Metrics"]
+                written[event["Stage ID"]] += write["Shuffle Records Written"]
+    rows = duckdb.sql("select count(*) from '/root/testdata/sf0.01/lineitem.parquet'").fetchall()[0][0]
+    busy = sorted(n for n in written.values() if n > 100)
+    assert busy == [rows]                 # one shuffle of one row each: the hashes
+
+
 def test_key_duplicates(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2)], "a int, b int")
     assert [tuple(r) for r in A.key_duplicates(df, ["a", "b"]).collect()] == [(1, 1, 2)]

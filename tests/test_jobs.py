@@ -1,8 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.plans import jobs as J
 from lakeops.plans.silver import QUERY_MONTHS, stages_from_events
 from lakeops.sources import events_trips as E
+from lakeops.sources import sinks as S
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,6 +39,11 @@ def test_land_silver_gold_end_to_end(spark, tmp_dir):
                   for s in ("yellow", "green")}
     st = build_stages(raw_frames, QUERY_MONTHS)       # same batch as the job (the median depends on it)
     same = {"rows_by_source": A.rows_by_source(st.typed), "passenger_rates": BU.rate_bundle(st.typed),
+            "volume_by_vendor": A.volume_by(st.typed), "timestamp_checks": BU.timestamp_bundle(st.repaired),
+            "period_scope": Q.period_scope_counts(st.repaired, QUERY_MONTHS),
+            "out_of_period": Q.out_of_period_detail(st.repaired, QUERY_MONTHS),
+            "negatives": Q.negatives_summary(st.scoped), "negatives_by_vendor": Q.negatives_by_vendor(st.scoped),
+            "negatives_by_date": Q.negatives_by(st.scoped, ["data_corrida"]), "recompose_check": Q.recompose_check(st.scoped),
             "iqr_bounds": Q.iqr_bounds(st.scoped), "outliers_by_band": Q.outliers_by_band(st.scoped),
             "amount_summary": Q.numeric_summary(st.scoped), "iqr_outliers": Q.iqr_outlier_counts(st.scoped),
             "recompose_mismatch": Q.recompose_mismatch(st.scoped),
@@ -85,3 +92,44 @@ def test_silver_job_survives_text_in_a_number_column(spark, tmp_dir):
     texts = {r.col_name: r.comment for r in spark.sql("DESCRIBE TABLE jobs_test.silver").collect()}
     assert texts["total_amount"] and texts["tipo"]
     spark.sql("DROP DATABASE jobs_test CASCADE")
+
+
+def test_land_job_publishes_the_raw_zone_and_moves_redelivered_months(spark, tmp_dir):
+    src, raw = f"{tmp_dir}/src", f"{tmp_dir}/raw"
+    months = ["2024-01", "2024-02"]
+    spark.sql("DROP DATABASE IF EXISTS raw_test CASCADE")
+    E.write_raw_sources(spark, SF, src, ("yellow", "green"), months)
+    J.land_job(spark, src, raw, months, f"{tmp_dir}/reports", database="raw_test")
+    typed = stages_from_events(spark, SF).typed.drop("data_corrida").where("year = 2024 AND month <= 2")
+    rows = lambda df: _rows(df.select(*typed.columns))
+    assert rows(spark.table("raw_test.raw_trips")) == _rows(typed)
+    assert spark.sql("SHOW TABLES IN raw_test LIKE 'raw_yellow_*'").count() == 1
+    # February again, in other types: it moves to a table of its own; January stays registered though not named
+    E.write_raw_sources(spark, SF, src, ("yellow",), ["2024-02"], drift=True)
+    J.land_job(spark, src, raw, ["2024-02"], f"{tmp_dir}/reports", database="raw_test")
+    assert spark.sql("SHOW TABLES IN raw_test LIKE 'raw_yellow_*'").count() == 2
+    assert rows(spark.table("raw_test.raw_trips")) == _rows(typed)
+    spark.sql("DROP DATABASE raw_test CASCADE")
+
+
+def test_silver_job_replaces_atomically_and_gold_reads_by_name(spark, tmp_dir):
+    src, raw = f"{tmp_dir}/src", f"{tmp_dir}/raw"
+    months = ["2024-01", "2024-02"]
+    spark.sql("DROP DATABASE IF EXISTS atomic_test CASCADE")
+    E.write_raw_sources(spark, SF, src, ("yellow", "green"), months)
+    J.land_job(spark, src, raw, months, f"{tmp_dir}/reports/land")
+    with pytest.raises(ValueError):
+        J.silver_job(spark, raw, f"{tmp_dir}/silver", months, f"{tmp_dir}/r", atomic=True)
+    for _ in range(2):                  # the second run switches the months of the first
+        J.silver_job(spark, raw, f"{tmp_dir}/silver", months, f"{tmp_dir}/reports/silver", database="atomic_test", atomic=True)
+    assert len(S.drop_old_versions(spark, "atomic_test.silver", f"{tmp_dir}/silver")) == 1
+    gold = J.gold_job(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gt", f"{tmp_dir}/gm", months, f"{tmp_dir}/reports/gold",
+                      silver_table="atomic_test.silver")
+    assert gold["coverage"].first().total_corridas == spark.table("atomic_test.silver").count() > 0
+    spark.sql("DROP DATABASE atomic_test CASCADE")
+
+
+def test_reports_are_printed_largest_first(spark):
+    counts = spark.createDataFrame([("a", 1), ("b", 3), ("c", 3)], "nome string, count long")
+    assert [r.nome for r in J.in_reading_order("passenger_distribution", counts).collect()] == ["b", "c", "a"]
+    assert [r.nome for r in J.in_reading_order("period_scope", counts).collect()] == ["a", "b", "c"]

@@ -132,3 +132,84 @@ def test_hot_timestamp_is_split_over_tasks(spark, tmp_dir):
     sizes = sorted(pq.read_metadata(f).num_rows for f in files)
     assert sum(sizes) == 8000
     assert len(sizes) >= 4 and sizes[-1] < 8000 * 0.5       # the hot value is not in one file
+
+
+def _versioned(spark, tmp_dir, table):
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return os.path.join(tmp_dir, table), lambda: sorted(tuple(r) for r in spark.table(table).select("id", "month").collect())
+
+
+def test_a_reader_sees_the_old_month_until_the_switch(spark, tmp_dir):
+    path, read = _versioned(spark, tmp_dir, "switched")
+    df = _frame(spark)
+    S.switch_months(spark, df, "switched", path, ["2024-01", "2024-02", "2024-03"])
+    old = read()
+    assert old == sorted((i, m) for m in (1, 2, 3) for i in range(5))
+    new = df.withColumn("id", F.col("id") + 100).where("month <> 3")
+    version, report = S.write_version(spark, new, path, ["2024-02", "2024-03"], time_col="ts")
+    assert read() == old                                       # written, not committed
+    assert {r.ano_mes: r.registros for r in report.collect()} == {"2024-02": 5, "2024-03": 0}
+    S.commit_version(spark, "switched", version, ["2024-02", "2024-03"])
+    switched = sorted([(i, 1) for i in range(5)] + [(100 + i, 2) for i in range(5)])
+    assert read() == switched
+    # a version written but never committed is no part of the table, nor is what was replaced
+    S.write_version(spark, df, path, ["2024-01"])
+    assert len(S.drop_old_versions(spark, "switched", path)) == 1 and read() == switched
+    assert S.drop_old_versions(spark, "switched", path) == []
+    spark.sql("DROP TABLE switched")
+
+
+def test_a_month_may_be_rewritten_from_itself_and_gain_a_column(spark, tmp_dir):
+    path, read = _versioned(spark, tmp_dir, "rewritten")
+    S.switch_months(spark, _frame(spark), "rewritten", path, ["2024-01", "2024-02"], comments={"id": "row id"})
+    doubled = spark.table("rewritten").where("month = 2").selectExpr("id * 2 AS id", "ts", "'x' AS tag", "year", "month")
+    S.switch_months(spark, doubled, "rewritten", path, ["2024-02"])
+    assert read() == sorted([(i, 1) for i in range(5)] + [(2 * i, 2) for i in range(5)])
+    assert {(r.month, r.tag) for r in spark.table("rewritten").collect()} == {(1, None), (2, "x")}
+    texts = {r.col_name: r.comment for r in spark.sql("DESCRIBE TABLE rewritten").collect()}
+    assert texts["id"] == "row id"
+    assert set(S.current_folders(spark, "rewritten")) == {(2024, 1), (2024, 2)}
+    empty, _ = _versioned(spark, tmp_dir, "never_written")
+    S.switch_months(spark, _frame(spark).limit(0), "never_written", empty, ["2024-01"])
+    assert not S.table_exists(spark, "never_written")
+    spark.sql("DROP TABLE rewritten")
+
+
+def test_files_follow_the_size_of_each_month(spark, tmp_dir):
+    wide = spark.range(0, 60_000).selectExpr(
+        "id", "sha2(CAST(id AS STRING), 256) AS noise", "2024 AS year", "CASE WHEN id % 6 = 0 THEN 1 ELSE 2 END AS month",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts")
+    ranges = S.ranges_by_month(wide, target_file_bytes=256 << 10, fraction=0.2)
+    assert ranges[2024, 2] > 2 * ranges[2024, 1] > 2
+    assert S.ranges_by_month(wide.limit(0)) == {}
+    path = os.path.join(tmp_dir, "sized")
+    S.replace_months(spark, wide, path, ["2024-01", "2024-02"], time_col="ts", target_file_bytes=256 << 10)
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{path}/*/*/*.parquet")]
+    assert abs(len(sizes) - sum(ranges.values())) <= 0.3 * len(sizes) + 2
+    assert max(sizes) < 2.5 * (256 << 10)
+
+
+def test_row_groups_are_skipped_on_a_secondary_column(spark, tmp_dir):
+    df = spark.range(0, 40_000).selectExpr(
+        "id", "CAST((id * 7919) % 4 AS INT) AS VendorID", "CAST((id * 104729) % 100000 AS STRING) AS code", "2024 AS year", "1 AS month",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts")
+
+    def groups(name, **layout):
+        path = os.path.join(tmp_dir, name)
+        S.replace_months(spark, df, path, ["2024-01"], time_col="ts", num_partitions=1,
+                         write_options={"parquet.block.size": str(64 << 10), "parquet.page.size": "4096"}, **layout)
+        metas = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path}/*/*/*.parquet")]
+        spans = []
+        for meta in metas:
+            at = [meta.schema.column(i).name for i in range(meta.num_columns)].index("VendorID")
+            spans += [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        return path, sum(s.min <= 1 <= s.max for s in spans), len(spans)
+
+    _, hit, total = groups("by_time")
+    assert hit == total > 3                                    # time order mixes vendors: nothing can be skipped
+    path, hit, total = groups("by_vendor", sort_within=["VendorID"], bloom_columns=["code"])
+    assert hit <= total / 2
+    assert spark.read.parquet(path).where("VendorID = 1 AND code = '7'").count() == df.where("VendorID = 1 AND code = '7'").count()
+    bloom = [f for f in glob.glob(f"{path}/*/*/*.parquet")]
+    plain = [f for f in glob.glob(f"{tmp_dir}/by_time/*/*/*.parquet")]
+    assert sum(map(os.path.getsize, bloom)) > sum(map(os.path.getsize, plain))     # the filters are in the files
