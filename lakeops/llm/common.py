@@ -27,6 +27,14 @@ def utf8(column: Column) -> Column:
     return column.cast("binary")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str, compression: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` below the shared scratch folder and read it back.
 

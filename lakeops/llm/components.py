@@ -16,24 +16,40 @@ from pyspark.sql import functions as F
 from .common import drop, written
 
 
-def _smallest(edges: DataFrame) -> DataFrame:
-    """Per vertex ``u`` of the directed edges: its smallest neighbour, itself included."""
-    return (edges.groupBy("u").agg(F.min("v").alias("m"))
-            .select("u", F.least("u", "m").alias("m")))
+def _smallest(edges: DataFrame) -> tuple[DataFrame, str]:
+    """Per vertex ``u`` of the directed edges: its smallest neighbour, itself included. Stored, with its folder.
+
+    A join of edges with their own aggregate would keep the aggregate's
+    partitioning, and all edges of a hub in one task. Stored, both sides are
+    plain shuffles: adaptive execution splits a hub's edges over many tasks,
+    or moves none where the minima are few.
+    """
+    return written(edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "smallest")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame) -> tuple[DataFrame, str]:
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return (both.join(_smallest(both), "u").where("v > u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+    low, path = _smallest(both)
+    return (both.join(low, "u").where("v > u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()), path
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame) -> tuple[DataFrame, str]:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = _smallest(down)
+    low, path = _smallest(down)
     linked = (down.join(low, "u").where("v <> m")
               .select(F.col("v").alias("u"), F.col("m").alias("v")))
-    return linked.unionAll(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+    return linked.unionAll(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), path
+
+
+def _round(edges: DataFrame) -> tuple[DataFrame, str]:
+    """The edges after a large and a small star, each stored; scratch tables in between are removed."""
+    large, low_path = _large_star(edges)
+    large, large_path = written(large, "edges")
+    small, small_low = _small_star(large)
+    done, path = written(small, "edges")
+    drop(edges, low_path, large_path, small_low)
+    return done, path
 
 
 def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
@@ -51,7 +67,7 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
     for _ in range(max_rounds):
         if state[0] == 0:
             break
-        following, next_path = written(_small_star(_large_star(current)), "edges")
+        following, next_path = _round(current)
         seen, state = state, _state(following)
         drop(current, path)
         current, path = following, next_path

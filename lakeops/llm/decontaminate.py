@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, slices, text_or_empty, utf8, written
+from .common import Memo, free_name, slices, text_or_empty, utf8, written
 
 WORD = re.compile(r"\w+")
 GAP = 0                      # between the covered runs of a text; no token has this value
@@ -278,9 +278,14 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
                     item_text: str = "text", min_match: int = 5, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
     pairs = tiled_pairs(docs, benchmark, text_col, item_col, item_text, min_match, threshold)
-    bad, _ = written(pairs.select(F.col("digest").alias("__digest")).distinct(), "tiled")
+    told = free_name(docs, "digest")
+    bad, _ = written(pairs.select(F.col("digest").alias(told)).distinct(), "tiled")
     digest = F.unhex(F.sha2(utf8(text_or_empty(text_col)), 256))
-    return docs.withColumn("__digest", digest).join(bad, "__digest", "left_anti").drop("__digest")
+    return docs.withColumn(told, digest).join(bad, told, "left_anti").select(*map(_quoted, docs.columns))
+
+
+def _quoted(name: str):
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 __all__ = ["contamination", "clean_documents", "tiled_pairs", "tile", "coverage"]

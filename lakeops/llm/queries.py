@@ -63,7 +63,8 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.deduplicate(table(spark, sf_dir, "documents"), exact_dedup.DigestIndex(spark))
+    with exact_dedup.DigestIndex(spark) as index:
+        return exact_dedup.deduplicate(table(spark, sf_dir, "documents"), index)
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, text_or_empty, utf8, written
+from .common import free_name, slices, text_or_empty, utf8, written
 from .components import connected_components
 
 BITS = 64
@@ -198,13 +198,28 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stays; of rows equal in id and text one stays.
     """
     rows, _ = written(with_fingerprints(docs, id_col, text_col, shingle, seed, digest=True), "fingerprints")
+    placed, _ = written(_groups(rows, max_bits, segments, heavy), "groups")
     # equal texts have equal fingerprints: id and digest together name one group
-    first = (rows.join(_groups(rows, max_bits, segments, heavy), "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
-             .groupBy("component", "component_id").agg(F.min("digest").alias("__first")))
-    stay, _ = written(first.select(F.col("component_id").alias("__stay"), "__first"), "group-firsts")
-    told = docs.withColumn("__digest", _digest(text_col))
-    same = told[id_col].eqNullSafe(stay["__stay"]) & (told["__digest"] == stay["__first"])
-    return told.join(stay, same, "left_semi").dropDuplicates([id_col, "__digest"]).drop("__digest")
+    counted, _ = written(rows.groupBy("id", "digest", "fp").agg(F.count(F.lit(1)).alias("copies"))
+                         .join(placed, "fp").select("id", "digest", "copies", "component", "component_id"), "placed-rows")
+    first = (counted.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component")
+             .agg(F.min("digest").alias("first")))
+    first, _ = written(first, "group-firsts")
+    keys = counted.join(first, "component").select(
+        "id", "digest", "copies", (F.col("id").eqNullSafe(F.col("component_id")) & (F.col("digest") == F.col("first"))).alias("stays"))
+    # the keys of rows to drop, and of those that repeat id and text: no other row need move
+    keys, _ = written(keys.where("not stays or copies > 1").select("id", "digest", "stays"), "dropped")
+    told = free_name(docs, "digest")
+    marked = docs.withColumn(told, _digest(text_col))
+
+    def met(some: DataFrame, how: str) -> DataFrame:
+        return marked.join(some, marked[id_col].eqNullSafe(some["id"]) & (marked[told] == some["digest"]), how)
+
+    rest = met(keys.select("id", "digest"), "left_anti").drop(told)
+    repeated = keys.where("stays").select("id", "digest")
+    if not repeated.limit(1).count():
+        return rest
+    return rest.unionAll(met(repeated, "left_semi").dropDuplicates([id_col, told]).drop(told))
 
 
 __all__ = ["one_per_group", "fingerprint", "with_fingerprints", "hamming_links", "near_duplicates", "segment_plan"]

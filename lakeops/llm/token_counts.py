@@ -3,8 +3,10 @@
 A stored count belongs to the pair (digest of the normalised content, digest
 of the tokenizer version). Documents are joined to the cache on both; only
 distinct contents without a count are encoded by the tokenizer library, and
-their counts are appended. Texts move only for the misses, one row per
-distinct content; the join back to documents moves digests.
+their counts are appended. Digests meet the cache first: a delivery that the
+cache knows moves no text, and otherwise only misses move, one row per
+distinct content (where they are too many to broadcast their digests, all
+distinct contents). The join back to documents moves digests.
 """
 
 from __future__ import annotations
@@ -23,6 +25,9 @@ from .common import slices_by_bytes, text_or_empty, utf8, written
 from .pieces import encoder, kept_in_worker
 
 
+BROADCAST_MISSES = 1_000_000         # digests, 32 MB
+
+
 def tokenizer_version(path: str) -> str:
     """SHA-256 of the tokenizer file: a changed file never meets old counts."""
     with open(path, "rb") as f:
@@ -95,15 +100,22 @@ def document_token_counts(docs: DataFrame, tokenizer: str, cache: CountCache | N
     version = tokenizer_version(tokenizer)
     content = normalise(text_col)
     digest = F.unhex(F.sha2(utf8(content), 256))
-    known = cache.counts(version)
-    texts = docs.select(digest.alias("digest"), content.alias("content"))
-    # distinct first: map-side, so a text in a third of all rows moves once per task
-    misses = texts.dropDuplicates(["digest"]).join(known.select("digest"), "digest", "left_anti")
-    cache.append(count_tokens(misses.select("digest", "content"), tokenizer), version)
     rows = docs.select(F.col(id_col).alias("id"), F.octet_length(utf8(text_or_empty(text_col)))
                        .cast("long").alias("n_bytes"), digest.alias("digest"))
+    distinct, _ = written(rows.select("digest").distinct(), "digests")
+    misses, _ = written(distinct.join(cache.counts(version).select("digest"), "digest", "left_anti"), "misses")
+    missed = misses.count()
+    if missed:
+        texts = docs.select(digest.alias("digest"), content.alias("content"))
+        if missed <= BROADCAST_MISSES:
+            texts = texts.join(F.broadcast(misses), "digest", "left_semi")
+        # distinct map-side first, so a text in a third of all rows moves once per task
+        texts = texts.dropDuplicates(["digest"])
+        if missed > BROADCAST_MISSES:
+            texts = texts.join(misses, "digest", "left_semi")
+        cache.append(count_tokens(texts.select("digest", "content"), tokenizer), version)
     # the delivery's counts, stored: the join below then shuffles both sides and a text in very many rows can be split
-    counts, _ = written(cache.counts(version).join(rows.select("digest").distinct(), "digest", "left_semi"), "counts")
+    counts, _ = written(cache.counts(version).join(distinct, "digest", "left_semi"), "counts")
     return (rows.join(counts, "digest")
             .select(F.col("id").alias(id_col), "n_bytes", "n_tokens",
                     (F.col("n_tokens") > limit).alias("over_limit")))

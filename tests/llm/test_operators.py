@@ -132,6 +132,64 @@ def test_exact_dedup(spark, odd_docs, no_docs):
     assert rows_of(exact_dedup.deduplicate(no_docs, exact_dedup.DigestIndex(spark))) == []
 
 
+def test_an_index_keeps_its_layout_when_reopened(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(400)], "doc_id long, text string")
+    with exact_dedup.DigestIndex(spark, buckets=4) as index:
+        assert exact_dedup.deduplicate(docs, index).where("kept").count() == 400
+    assert not spark.catalog.tableExists(index.name)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (8, 3):
+            spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+            with exact_dedup.DigestIndex(spark, path=index.path) as reopened:
+                assert (reopened.buckets, reopened.id_type) == (4, "bigint")
+                later = docs.withColumn("doc_id", F.col("doc_id") + 1000)
+                assert exact_dedup.deduplicate(later, reopened).where("kept").count() == 0
+                assert reopened.table().count() == 400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for wish in ({"buckets": 8}, {"id_type": "string"}):
+        with pytest.raises(ValueError, match="was written with"):
+            exact_dedup.DigestIndex(spark, path=index.path, **wish)
+
+
+def test_a_digest_stored_twice_gives_one_row_per_document(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 3}") for i in range(6)], "doc_id long, text string")
+    with exact_dedup.DigestIndex(spark, buckets=2) as index:
+        exact_dedup.deduplicate(docs, index, batch="one")
+        # a second writer that did not see the first
+        other = index.table().where("keep_id <= 1").select("digest", (F.col("keep_id") + 500).alias("keep_id"), F.lit("two").alias("batch"))
+        other.repartition(2, "digest").write.insertInto(index.name)
+        spark.catalog.refreshTable(index.name)
+        rows = rows_of(exact_dedup.deduplicate(docs, index, batch="one").select("doc_id", "keep_id", "kept"))
+        assert sorted(rows) == [(i, i % 3, i < 3) for i in range(6)]
+
+
+def test_documents_keep_clashing_columns(spark):
+    schema = "doc_id long, text string, digest string, __digest string, __id long, id long, Digest_ string, kept string, copies long"
+    rows = [(i, f"some words that stand in number {i % 4}", "d", f"x{i}", i, 7, "y", "z", 9) for i in range(8)] + [
+        (2, "some words that stand in number 2", "d", "x2", 2, 7, "y", "z", 9)]
+    docs = spark.createDataFrame(rows, schema).drop("Digest_").withColumn("digest_", F.lit(1))
+    docs = docs.withColumn("text", F.expr("CASE WHEN doc_id IN (3, 7) THEN 'who was it that wrote this line' ELSE text END"))
+    benchmark = spark.createDataFrame([(1, "Who was it that wrote this line?")], "item_id long, text string")
+    exact = exact_dedup.kept_documents(docs, exact_dedup.DigestIndex(spark))
+    near, clean = simhash.one_per_group(docs), decontaminate.clean_documents(docs, benchmark)
+    for kept, ids in ((exact, [0, 1, 2, 3]), (near, [0, 1, 2, 3]), (clean, [0, 1, 2, 2, 4, 5, 6])):
+        assert kept.columns == docs.columns
+        assert sorted(r.doc_id for r in kept.collect()) == ids
+        assert all(r["__digest"] == f"x{r.doc_id}" and r.digest == "d" and r.copies == 9 for r in kept.collect())
+
+
+def test_a_hub_is_one_component(spark):
+    star = spark.range(1, 30_000).selectExpr("0L AS a", "id AS b").unionAll(spark.range(30_000, 30_050).selectExpr("id AS a", "id - 1 AS b"))
+    got = components.connected_components(star, "a", "b")
+    assert got.count() == 30_050 and got.where("component <> 0").count() == 0
+    # the minima of a step are read from a table: a hub's edges meet them in a join that can be split
+    plan = components._large_star(star.selectExpr("a AS u", "b AS v"))[0]._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join"):]
+    assert "Aggregate" not in join
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 40, 41, 1000, 1025])
 def test_permutation_is_one_and_inverts(n):
     rows = np.arange(n)
@@ -197,6 +255,19 @@ def test_token_counts(spark, odd_docs, no_docs, name):
     assert rows_of(token_counts.document_token_counts(no_docs, path)) == []
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_a_warm_cache_encodes_and_moves_misses_only(spark, monkeypatch, limit):
+    monkeypatch.setattr(token_counts, "BROADCAST_MISSES", limit)
+    encoded = []
+    real = token_counts.count_tokens
+    monkeypatch.setattr(token_counts, "count_tokens", lambda texts, path: encoded.append(texts.count()) or real(texts, path))
+    cache, path = token_counts.CountCache(spark), str(P.path("byte_bpe_50k.json"))
+    docs = spark.createDataFrame([(i, f"words of text {i % 20}") for i in range(60)], "doc_id long, text string")
+    for delivery in (docs, docs, docs.withColumn("text", F.expr("CASE WHEN doc_id < 5 THEN concat(text, ' new') ELSE text END"))):
+        assert token_counts.document_token_counts(delivery, path, cache).count() == 60
+    assert encoded == [20, 5]
+
+
 def test_variable_length_code():
     rnd = np.random.default_rng(1)
     for n in (0, 1, 3, 4, 5, 1000):
