@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
@@ -462,6 +463,58 @@ def test_html_text(spark):
     assert rows_of(html_text.extract_main_text(pages.limit(0))) == []
 
 
+PROSE_TEXT = "The article says a lot of things here. " * 10
+
+
+def text_of(page, *host):
+    return html_text.main_text(html_text.parse(page), *host)
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<body style="overflow:hidden">%s', '<div title="The hidden city">%s</div>', '<div class="layout has-sidebar no-comments">%s</div>',
+    '<div class="social-science">%s</div>', '<form id="aspnetForm" action="x">%s</form>', '<div id="header">%s</div>',
+    '<div class="header-fixed">%s<p><a href="/">More</a></p></div>'.replace('<p><a href="/">More</a></p>', ''), '<div class=content>%s</div><div class="site-footer"><p>All rights</p></div>',
+    '<div>%s</div><div style="display: none"><p>Secret words</p></div><p hidden>Others</p><div class="main sidebar"><p>Side</p></div>',
+    '<div class="a">%s</div><div role="navigation"><p>Menu</p></div><form><p>Your name</p></form>'])
+def test_wrappers_do_not_empty_a_page(wrapper):
+    assert text_of(wrapper % f"<p>{PROSE_TEXT}</p>") == PROSE_TEXT.strip()
+
+
+def test_an_article_in_sibling_elements_is_whole():
+    parts = ["intro " * 33, "body " * 200, "ending " * 43]
+    page = "<div class=top><a href=/>Home</a></div><div class=post>" + "".join(
+        f"<section class=s{chr(97 + k)}><p>{p}</p></section>" for k, p in enumerate(parts)) + "</div><div class=footer><p>Imprint</p></div>"
+    assert text_of(page) == " ".join(p.strip() for p in parts)
+    deep = "<div>" * 12 + f"<p>{PROSE_TEXT}</p>" + "</div>" * 12 + "<div><a href=x>one</a> <a href=y>two</a></div>"
+    assert text_of(deep) == PROSE_TEXT.strip()
+    linked = "<div><p>" + "<a href=x>" + "<i>" * 9 + "many linked words here" + "</i>" * 9 + "</a></p></div>"
+    assert html_text.parse(linked).blocks[0][2] == len("many linked words here")
+
+
+def test_a_page_of_another_template_keeps_its_article():
+    page = f'<div class="story"><p>Teaser.</p></div><div class="long"><p>{PROSE_TEXT}</p></div>'
+    assert text_of(page, ["body/div.story", "body/div.long"], None) == PROSE_TEXT.strip()
+    assert text_of(page, ["body/div.long", "body/div.story"], None) == PROSE_TEXT.strip()
+    assert text_of(page, ["body/div.story"], "body/div.story") == "Teaser."     # what most pages of the host say
+
+
+@pytest.mark.parametrize("page", [
+    lambda n: "<a x" * n + '"', lambda n: '<a x="' * n, lambda n: "<div>" * n + "text", lambda n: "<b>" * n + "<p>x" * n,
+    lambda n: "<div>" * n + "</span>" * n, lambda n: "< " * n, lambda n: "<a href='" * n + '<p>"' * n, lambda n: "<!--" * n,
+    lambda n: "<ul>" + "<li><b>" * n, lambda n: "<script>" * n, lambda n: "<table>" + "<tr><td>" * n, lambda n: "<div class='a b c'" * n])
+def test_hostile_pages_are_read_in_linear_time(page):
+    spent = []
+    for n in (15_000, 60_000):
+        start = time.process_time()
+        text_of(page(n))
+        spent.append(time.process_time() - start)
+    assert spent[1] < 8 * spent[0] + 0.5          # four times the page
+    tracemalloc.start()
+    text_of(page(8_000))
+    assert tracemalloc.get_traced_memory()[1] < 30_000_000
+    tracemalloc.stop()
+
+
 def test_html_on_the_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}
