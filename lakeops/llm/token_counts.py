@@ -25,7 +25,7 @@ from .common import slices_by_bytes, text_or_empty, utf8, written
 from .pieces import encoder, kept_in_worker
 
 
-BROADCAST_MISSES = 1_000_000         # digests, 32 MB
+BROADCAST_MISSES = 100_000           # digests, 3 MB
 
 
 def tokenizer_version(path: str) -> str:

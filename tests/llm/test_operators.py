@@ -384,16 +384,17 @@ def test_contamination(spark, odd_docs, no_docs):
         cover = {}
         for no, item in enumerate(items):
             b = word.findall((item or "").lower())
-            if len(b) >= 5:
-                c = sum(x[2] for x in plain_tiles(word.findall((t or "").lower()), b, 5)) / len(b)
-                if c >= 0.5:
+            a = word.findall((t or "").lower())
+            if b:
+                c = sum(x[2] for x in plain_tiles(a, b, min(5, len(b)))) / len(b)
+                if c >= 0.5 and (len(b) >= 5 or len(b) >= 0.5 * len(a)):
                     cover[no] = c
         best = min(((-c, no) for no, c in cover.items()), default=None)
         assert (got[k].contaminated, got[k].items) == (bool(cover), len(cover))
         assert (got[k].item, got[k].coverage) == ((best[1], -best[0]) if best else (None, 0.0))
     assert got[5].contaminated and got[5].tiles == 3
     clean = decontaminate.clean_documents(docs, benchmark)
-    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [0, 3, 4, 6, 7, 8]
+    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [0, 3, 4, 6, 7]
     assert decontaminate.clean_documents(odd_docs, benchmark).count() == odd_docs.count()
     assert decontaminate.clean_documents(docs, benchmark.limit(0)).count() == docs.count()
     assert rows_of(decontaminate.contamination(no_docs, benchmark)) == []
@@ -463,6 +464,68 @@ def test_html_text(spark):
     assert rows_of(html_text.extract_main_text(pages.limit(0))) == []
 
 
+def test_repeated_phrases_are_shortened_without_changing_the_coverage():
+    rnd = random.Random(12)
+    for _ in range(300):
+        item = [rnd.choice([1, 1, 2, 3]) for _ in range(rnd.randint(3, 14))]
+        text = []
+        for _ in range(rnd.randint(1, 4)):
+            phrase = [rnd.choice([1, 2, 3, 4]) for _ in range(rnd.randint(1, 4))]
+            text += phrase * rnd.choice([1, 2, 60]) + [rnd.choice([0, 5, 1])]
+        plain = sum(n for _, _, n in plain_tiles(text, item, 3)) / len(item)
+        assert decontaminate.coverage(text, item, 3)[0] == plain
+    start = time.process_time()
+    assert decontaminate.coverage([7] * 1_000_000, [7] * 200, 5) == (1.0, 1)
+    assert decontaminate.coverage([7, 8, 9] * 300_000, [7, 8, 9] * 60, 5) == (1.0, 1)
+    assert time.process_time() - start < 15
+
+
+def test_short_and_unsegmented_items(spark):
+    chinese = "今天天气怎么样我们去公园吧"
+    benchmark = spark.createDataFrame([(1, "Who wrote Hamlet?"), (2, "中国的首都是哪里？"), (3, chinese), (4, ""), (5, None), (6, "Yes")],
+                                      "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "who wrote HAMLET"), (2, "中国的首都是哪里"), (3, "前面有一些别的话。" + chinese + "后面也有。"), (4, "Tell me: who wrote Hamlet?"),
+        (5, "Those who wrote Hamlet down were many, and the many words of this text prove nothing about it at all"),
+        (6, "yes"), (7, "he said yes and went on to say many other things"), (8, ""), (9, None), (10, "Hamlet wrote who")],
+        "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.contamination(docs, benchmark).collect()}
+    assert {i: r.item for i, r in got.items() if r.contaminated} == {1: 1, 2: 2, 3: 3, 4: 1, 6: 6}
+    assert len(got) == 10 and got[1].coverage == got[3].coverage == 1.0
+
+
+def test_phrases_that_many_texts_and_items_share_list_no_pairs(spark):
+    rnd = random.Random(4)
+    words = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    boiler = "choose the best answer from the following options"
+    items = [(i, f"{boiler} {words(24)}") for i in range(300)]
+    texts = [(i, f"{words(6)} {boiler} {words(6)}") for i in range(2000)] + [(5000 + i, f"{words(4)} {items[i][1]}") for i in range(20)]
+    texts.append((6000, f"{boiler} " + " ".join(items[7][1].split()[8:20])))       # more than the phrase, in another order
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r.item for r in decontaminate.contamination(docs, benchmark).collect() if r.contaminated}
+    assert got == {**{5000 + i: i for i in range(20)}, 6000: 7}
+    # the join itself: a few rows per real pair instead of 600,000
+    keyed = decontaminate._benchmark_tokens(benchmark, "item_id", "text").withColumn("key", F.monotonically_increasing_id())
+    seeds = decontaminate._item_seeds(keyed, 5)
+    found = decontaminate._text_seeds(docs, "text", 5, 0.5, decontaminate._seed_map(seeds))
+    probes = decontaminate._probes(seeds, found, 5, 0.5)
+    assert found.select(F.explode("hashes").alias("hash")).join(probes, "hash").count() < 1000
+    assert decontaminate.candidate_pairs(found, seeds, 5, 0.5).count() < 100
+
+
+def test_probes_miss_no_pair():
+    rnd = random.Random(6)
+    for _ in range(500):
+        size, least, share = rnd.randint(1, 14), rnd.randint(1, 4), rnd.choice([0.3, 0.5, 0.8, 1.0])
+        length = min(size, least)
+        frequency = [rnd.choice([0, 1, 5, 900]) for _ in range(size - length + 1)]
+        probes = set(decontaminate.probe_positions(frequency, size, least, share))
+        held = {p for p in range(len(frequency)) if frequency[p] and rnd.random() < 0.6}
+        reached = len({k for p in held for k in range(p, p + length)})
+        assert held & probes or reached < share * size
+
+
 PROSE_TEXT = "The article says a lot of things here. " * 10
 
 
