@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices_by_bytes, utf8
+from .common import free_name, slices_by_bytes, utf8
 
 WINDOW = 256                 # bytes per window when predicting
 PAD = 256                    # beside the 256 byte values; leaves states untouched
@@ -183,13 +183,16 @@ class ByteGru:
             flat[row * WINDOW:row * WINDOW + len(text)] = np.frombuffer(text, np.uint8)
             row += n
         total = np.zeros((len(texts), len(self.languages)))
-        for at in range(0, len(owner), 1024):
-            part = windows[at:at + 1024]
+        # windows of like length together: the last ones of texts cost no more than they hold
+        order = np.argsort(-(windows != PAD).sum(axis=1), kind="stable")
+        for at in range(0, len(order), 1024):
+            rows = order[at:at + 1024]
+            part = windows[rows]
             real = part != PAD
             used = int(real.sum(axis=1).max())
             prob = self.probabilities(part[:, :used])
             pooled = np.einsum("trc,tr->rc", prob, real[:, :used].T.astype(np.float32))
-            np.add.at(total, owner[at:at + 1024], pooled)
+            np.add.at(total, owner[rows], pooled)
         size = np.array([max(1, len(t)) for t in texts])[:, None]
         return total / size
 
@@ -200,20 +203,18 @@ def held_out(id_col: str) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = 600, window: int = 64, max_languages: int = 64, **fit) -> ByteGru | None:
+          per_language: int = 600, window: int = 64, **fit) -> ByteGru | None:
     """Fit on a bounded sample of the labelled rows that are not held out.
 
-    Bound: about ``per_language`` windows of ``window`` bytes for each of the
-    ``max_languages`` most frequent languages; rows are chosen by a hash of
-    id and text, the window's place by another. None if nothing is labelled.
+    Bound: about ``per_language`` windows of ``window`` bytes for each
+    language, however many there are; rows are chosen by a hash of id and
+    text, the window's place by another. None if nothing is labelled.
     """
     usable = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.rlike(F.col(text_col), F.lit(HAS_LETTER)))
-    rows = (usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), "lang").limit(max_languages).collect())
-    if not rows:
-        return None
-    languages = sorted(r["lang"] for r in rows)
-    share = F.create_map(*[F.lit(x) for r in rows for x in (r["lang"], min(1.0, 1.15 * per_language / r["n"]))])
+    counts = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    # one struct of all languages, as one literal of the sampling plan
+    told = F.map_from_entries(F.collect_list(F.struct("lang", F.least(F.lit(1.0), 1.15 * per_language / F.col("n")))))
+    share = counts.agg(told.alias("share")).scalar()
     text = utf8(F.col(text_col))
     draw = F.xxhash64(F.lit("row"), F.col(id_col).cast("string"), F.col(text_col))
     place = F.pmod(F.xxhash64(F.lit("place"), F.col(text_col)), F.greatest(F.octet_length(text) - window, F.lit(0)) + 1)
@@ -243,7 +244,7 @@ def predict(docs: DataFrame, model: ByteGru | None, text_col: str = "text", labe
     clash = {label, score} & set(docs.columns)
     if clash:
         raise ValueError(f"columns to be added exist already: {sorted(clash)}")
-    ready = docs.withColumn("__input", F.when(F.rlike(F.col(text_col), F.lit(HAS_LETTER)), utf8(F.col(text_col))))
+    ready = docs.withColumn(free_name(docs, "input"), F.when(F.rlike(F.col(text_col), F.lit(HAS_LETTER)), utf8(F.col(text_col))))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices_by_bytes(batches, -1, 2 << 20):

@@ -298,6 +298,40 @@ def test_token_files(spark, odd_docs, no_docs):
     assert rows_of(token_files.read_token_files(spark, empty)) == []
 
 
+def plain_probabilities(model, data):
+    """The two-way network by its formulas, one byte after the other, in double precision."""
+    p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    h, squash = model.hidden, lambda x: 1 / (1 + np.exp(-x))
+    logits = np.zeros((len(data), len(model.languages))) + p["bias"]
+    for side, places in enumerate((range(len(data)), range(len(data) - 1, -1, -1))):
+        state = np.zeros(h)
+        for at in places:
+            x, u = p["table"][side, data[at]], state @ p["inner"][side]
+            z, r = squash(x[:h] + u[:h]), squash(x[h:2 * h] + u[h:2 * h])
+            state = z * state + (1 - z) * np.tanh(x[2 * h:] + r * u[2 * h:])
+            logits[at] += state @ p["head"][side]
+    e = np.exp(logits - logits.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def test_the_fast_forward_pass_equals_a_plain_one():
+    model = language_id.ByteGru(["a", "b", "c"], seed=3)
+    rnd = random.Random(8)
+    texts = [bytes(rnd.randrange(256) for _ in range(n)) for n in (1, 5, 255, 256, 257, 700, 40)]
+    got = model.document_probabilities([*texts, b""])
+    for text, pooled in zip(texts, got):
+        cut = [text[i:i + language_id.WINDOW] for i in range(0, len(text), language_id.WINDOW)]
+        want = np.concatenate([plain_probabilities(model, np.frombuffer(c, np.uint8)) for c in cut]).mean(axis=0)
+        assert np.abs(pooled - want).max() < 1e-4
+    assert (got[-1] == 0).all()
+
+
+def test_every_labelled_language_is_learned(spark):
+    rows = [(i, f"{chr(0x4e00 + i % 65)} sample text number {i} of {i % 65}", f"l{i % 65:02d}") for i in range(1300)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=9, steps=3)
+    assert model.languages == [f"l{k:02d}" for k in range(65)]
+
+
 def test_gru_gradients():
     net = language_id.ByteGru(["a", "b", "c"], hidden=4)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}

@@ -58,3 +58,23 @@ def test_pipeline(spark, odd_docs, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, no_docs.select(*docs.columns), SF).count() == 0
         stage(spark, odd_docs.select(*docs.columns), SF).count()
+
+
+def test_extra_columns_pass_through_every_stage(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["predicted", "score", "input", "digest", "id", "key", "fp", "kept", "copies", "nbest", "decoded", "piece_ids", "N_Tokens"]
+    wide = docs.withColumns({c: F.concat(F.lit(f"{c}:"), F.col("doc_id")) for c in names})
+    kept = plain = None
+    for name, stage in corpus_pipeline.STAGES:
+        kept, _ = corpus_pipeline.written(stage(spark, wide if kept is None else kept, SF), "test-wide")
+        plain, _ = corpus_pipeline.written(stage(spark, docs if plain is None else plain, SF), "test-plain")
+        assert kept.count() == plain.count() > 0
+        where = {c: c if c in kept.columns and name != "sentencepiece" or c.lower() not in corpus_pipeline.ADDED else f"{c}_" for c in names}
+        for c, at in where.items():
+            assert kept.where(F.col(at) != F.concat(F.lit(f"{c}:"), F.col("doc_id"))).count() == 0, (name, c)
+    assert set(plain.columns) <= set(kept.columns)
+
+
+def test_without_labels_the_language_stage_keeps_texts_with_letters(spark):
+    docs = spark.createDataFrame([(1, "words", None), (2, "123", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [tuple(r) for r in corpus_pipeline.identify_language(spark, docs, SF).collect()] == [(1, "words", None)]
