@@ -6,6 +6,10 @@ shared scratch folder and rereads it as the next stage's documents, so a
 lost executor repeats tasks of one stage only. All stages but the last
 return the columns of ``documents``.
 
+Documents may have any further columns; a name that a stage needs for itself
+gives way to theirs. Only the last stage adds columns: a document's column of
+the same name is found there under that name and an underscore.
+
 Rows are rejected for one reason each: a text in which no language can be
 told (no letter at all), a copy, a near copy of a document with a smaller
 id, a text that covers half of a benchmark item. Nothing else is dropped.
@@ -17,24 +21,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import decontaminate, exact_dedup, language_id, sentencepiece_nbest, simhash
-from lakeops.llm.common import written
+from lakeops.llm.common import free_name, written
 from lakeops.llm.queries import BEST, vocabulary
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; ``lang`` becomes the predicted one.
 
-    Texts without a letter (NULL and empty among them) are rejected.
+    Texts without a letter (NULL and empty among them) are rejected. If no
+    row is labelled there is nothing to learn: texts with a letter stay, with
+    the ``lang`` they have.
     """
     model = language_id.train(docs)
-    told = language_id.predict(docs, model, label="__predicted", score="__score")
-    kept = told.where(F.col("__predicted") != language_id.UNDETERMINED)
-    return kept.withColumn("lang", F.col("__predicted")).select(*docs.columns)
+    if model is None:
+        return docs.where(F.rlike(F.col("text"), F.lit(language_id.HAS_LETTER)))
+    label, score = free_name(docs, "predicted"), free_name(docs, "score")
+    told = language_id.predict(docs, model, label=label, score=score)
+    kept = told.where(F.col(label) != language_id.UNDETERMINED)
+    return kept.withColumn("lang", F.col(label)).drop(label, score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id stays."""
-    return exact_dedup.kept_documents(docs, exact_dedup.DigestIndex(spark))
+    with exact_dedup.DigestIndex(spark) as index:
+        return exact_dedup.kept_documents(docs, index)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +57,13 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+ADDED = ("piece_ids", "nbest", "decoded", "n_tokens")
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: its columns but the text, the piece ids, the best segmentations, and the decoding check."""
+    for name in [c for c in docs.columns if c.lower() in ADDED]:
+        docs = docs.withColumnRenamed(name, free_name(docs, f"{name}_"))
     coded = sentencepiece_nbest.encode_nbest(docs, vocabulary("piece_bpe_32k.model"), BEST, ids="piece_ids")
     return coded.drop("text").withColumn("n_tokens", F.size("piece_ids").cast("long"))
 
