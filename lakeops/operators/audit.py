@@ -26,10 +26,10 @@ from lakeops.session import scratch_path
 # --------------------------------------------------------------------------
 
 def rows_by_source(df: DataFrame, source: str = "tipo", total_label: str = "total") -> DataFrame:
-    """Rows per source plus a total row, in one aggregation (rollup)."""
+    """Rows per source plus a total row: a rollup of the counts, so no row is read or moved twice."""
     q = quote(source)
-    return (df.rollup(source)
-            .agg(F.expr("count(1) AS registros"), F.expr(f"grouping({q}) AS _g"))
+    return (df.groupBy(source).agg(F.expr("count(1) AS _n")).rollup(source)
+            .agg(F.expr("coalesce(sum(_n), 0L) AS registros"), F.expr(f"grouping({q}) AS _g"))
             .selectExpr(f"CASE WHEN _g = 1 THEN {sql_literal(total_label)} ELSE {q} END AS fonte",
                         "registros"))
 
@@ -145,8 +145,9 @@ def stats_by_flag(df: DataFrame, flag: Column, flag_name: str, value: str = "tot
     flagged = df.withColumn(flag_name, flag)
     main = flagged.groupBy(flag_name).agg(F.count(F.lit(1)).alias("total"),
                                           F.avg(value).alias(f"{value}_medio"))
-    med = quantile_frame(flagged, value, {f"{value}_mediano": 0.5}, [flag_name], method, accuracy)
-    return attach_groups(main, med, [flag_name])
+    med = quantile_frame(flagged, value, {f"{value}_mediano": 0.5}, [flag_name], method, accuracy,
+                         bounded_groups=True)
+    return attach_groups(main, med, [flag_name], bounded_groups=True)
 
 
 def amount_by_null_flag(df: DataFrame, column: str = "passenger_count", value: str = "total_amount",

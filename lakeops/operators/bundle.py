@@ -1,9 +1,9 @@
 """Fused reports: many small audits from one scan.
 
 The per-dimension NULL and zero rates (by vendor, by subtype of one service,
-by flag) are six separate groupBys when written one by one; here they are
-one aggregate with grouping sets - one scan, one shuffle of at most
-(#vendors + #subtypes + #flags) partial rows per task. The one-row timestamp
+by flag) are six separate groupBys when written one by one; here rows are
+counted once on all three keys and the grouping sets roll those counts up -
+one scan, and shuffles of at most #vendors x #subtypes x #flags rows per task. The one-row timestamp
 reports are likewise one global aggregate. Results equal the unfused
 operators (tested).
 """
@@ -25,16 +25,19 @@ def rate_bundle(df: DataFrame, column: str = "passenger_count", vendor: str = "V
     unfused report filters on it); its groups with no such rows are dropped.
     """
     c = F.col(column)
-    in_sub = F.col(service_col) == subtype_service
+    # counted once on all keys: the grouping sets triple these few cells, not the rows
+    cells = df.groupBy(vendor, subtype, flag, (F.col(service_col) == subtype_service).alias("_sub_row")).agg(
+        F.count(F.lit(1)).alias("_n"), X.count_if(c.isNull()).alias("_null"), X.count_if(c == 0).alias("_zero"))
+    in_sub = F.col("_sub_row")
     gid = F.grouping_id(vendor, subtype, flag)
-    agg = (df.groupingSets([[vendor], [subtype], [flag]], vendor, subtype, flag)
+    agg = (cells.groupingSets([[vendor], [subtype], [flag]], vendor, subtype, flag)
            .agg(gid.alias("_gid"),
-                F.count(F.lit(1)).alias("_all"),
-                X.count_if(c.isNull()).alias("_null_all"),
-                X.count_if(c == 0).alias("_zero_all"),
-                X.count_if(in_sub).alias("_sub"),
-                X.count_if(in_sub & c.isNull()).alias("_null_sub"),
-                F.sum(F.when(in_sub, (c == 0).cast("int"))).alias("_zero_sub")))
+                F.sum("_n").alias("_all"),
+                F.sum("_null").alias("_null_all"),
+                F.sum("_zero").alias("_zero_all"),
+                F.coalesce(F.sum(F.when(in_sub, F.col("_n"))), F.lit(0)).alias("_sub"),
+                F.sum(F.when(in_sub, F.col("_null"))).alias("_null_sub"),
+                F.sum(F.when(in_sub, F.col("_zero"))).alias("_zero_sub")))
     # grouping_id bits follow (vendor, subtype, flag): 3 = vendor only, 5 = subtype, 6 = flag
     dim = (F.when(F.col("_gid") == 3, F.lit(vendor))
             .when(F.col("_gid") == 5, F.lit(subtype)).otherwise(F.lit(flag)))

@@ -141,7 +141,7 @@ def impute_before_after(df: DataFrame, column: str = "passenger_count",
     means = imputed.agg(F.avg(column).alias("media_antes"), F.avg(after).alias("media_depois"))
     # both medians in one selection: the two columns stacked, grouped by side
     stacked = imputed.selectExpr(f"stack(2, 0, {quote(column)}, 1, {quote(after)}) AS (__side, __val)")
-    med = quantile_frame(stacked, "__val", {"m": 0.5}, ["__side"], method, accuracy)
+    med = quantile_frame(stacked, "__val", {"m": 0.5}, ["__side"], method, accuracy, bounded_groups=True)
     med = med.selectExpr("max(CASE WHEN __side = 0 THEN m END) AS mediana_antes",
                          "max(CASE WHEN __side = 1 THEN m END) AS mediana_depois")
     return attach_row(means, med).select("media_antes", "mediana_antes", "media_depois",
@@ -300,8 +300,8 @@ def outliers_by_band(df: DataFrame, amount: str = "total_amount",
                  F.expr(f"{X.count_if_sql('outlier')} AS qtd_outliers"),
                  F.expr(f"avg(CASE WHEN outlier THEN {a} END) AS total_medio_outlier")))
     med = quantile_frame(banded.where(F.col("outlier")), amount, {"total_mediano_outlier": 0.5},
-                         ["faixa_duracao"], method, accuracy, continuous=True)
-    return attach_groups(main, med, ["faixa_duracao"])
+                         ["faixa_duracao"], method, accuracy, continuous=True, bounded_groups=True)
+    return attach_groups(main, med, ["faixa_duracao"], bounded_groups=True)
 
 
 # --------------------------------------------------------------------------

@@ -129,14 +129,14 @@ def _pick(counts: DataFrame, part: list[str]) -> DataFrame:
 
 
 def select_ranks(df: DataFrame, column: str, probs: Mapping[str, float], by: Sequence[str] = (),
-                 continuous: bool = False, bounded_groups: bool = True) -> DataFrame:
+                 continuous: bool = False, bounded_groups: bool = False) -> DataFrame:
     """Long form (by..., __q_t, __q_v, __q_n): the value at every target rank.
 
-    ``bounded_groups`` (default): the number of groups is small by
-    construction (global, a flag, a band), so the per-pass lookup - one row
-    per group and target - is broadcast. Otherwise no hint is given and
-    adaptive execution broadcasts it when its measured size allows, else
-    joins by group with skew splitting.
+    ``bounded_groups``: the caller knows that the groups are few by
+    construction (a flag, a band), so the per-pass lookup - one row per group
+    and target - is broadcast. By default no hint is given and adaptive
+    execution broadcasts it when its measured size allows, else joins by
+    group with skew splitting.
     """
     by = list(by)
     for b in by:
@@ -189,7 +189,7 @@ def select_ranks(df: DataFrame, column: str, probs: Mapping[str, float], by: Seq
 
 
 def bracket_ranks(df: DataFrame, column: str, probs: Mapping[str, float], by: Sequence[str] = (),
-                  continuous: bool = False, bounded_groups: bool = True, accuracy: int = 10_000) -> DataFrame:
+                  continuous: bool = False, bounded_groups: bool = False, accuracy: int = 10_000) -> DataFrame:
     """As ``select_ranks``, by a sketch and one counting pass between its brackets."""
     by = list(by)
     for b in by:
@@ -243,7 +243,7 @@ def bracket_ranks(df: DataFrame, column: str, probs: Mapping[str, float], by: Se
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Mapping[str, float], by: Sequence[str] = (),
-                    continuous: bool = False, bounded_groups: bool = True, ranks=select_ranks) -> DataFrame:
+                    continuous: bool = False, bounded_groups: bool = False, ranks=select_ranks) -> DataFrame:
     """One row per group of ``by`` (exactly one row when ``by`` is empty) with
     one column per entry of ``probs``: the exact quantile of ``column``.
 
@@ -270,7 +270,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: Mapping[str, float], by:
 
 def quantile_frame(df: DataFrame, column: str, probs: Mapping[str, float], by: Sequence[str] = (),
                    method: str = "exact", accuracy: int = 10_000, continuous: bool = False,
-                   bounded_groups: bool = True) -> DataFrame:
+                   bounded_groups: bool = False) -> DataFrame:
     """Quantiles of ``column`` per group of ``by`` (one row when ``by`` is empty).
 
     Methods (all but ``approx`` exact, with equal results):
@@ -307,7 +307,7 @@ def quantile_frame(df: DataFrame, column: str, probs: Mapping[str, float], by: S
 
 
 def attach_groups(main: DataFrame, quantiles: DataFrame, by: Sequence[str],
-                  bounded_groups: bool = True) -> DataFrame:
+                  bounded_groups: bool = False) -> DataFrame:
     """``main`` (one row per group) with the quantile columns of its group;
     NULL-safe on the group keys (a NULL flag is a group of its own)."""
     by = list(by)

@@ -102,6 +102,16 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
 
 
+def rename_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder to a name that is free, by its file system; the parent is created."""
+    jvm = spark.sparkContext._jvm
+    source, goal = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(target)
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(goal.getParent())
+    if not fs.rename(source, goal):
+        raise OSError(f"cannot rename {path} to {target}")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Recursive delete through the Hadoop file system (works on any store)."""
     jvm = spark.sparkContext._jvm
@@ -113,5 +123,5 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 __all__ = [
     "DEFAULT_CONF", "build_session", "ensure_checkpoint_dir", "scratch_path",
-    "local_path", "path_exists", "delete_path", "folder_bytes", "child_names",
+    "local_path", "path_exists", "delete_path", "folder_bytes", "child_names", "rename_path",
 ]

@@ -14,18 +14,22 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
+import uuid
 from collections import defaultdict
-from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import nullcontext
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.functions.periods import month_tuple, validate_months
 from lakeops.functions.schema import SILVER_SCHEMA, conform, quote, try_cast_sql
-from lakeops.session import delete_path, path_exists
+from lakeops.session import child_names, delete_path, local_path, path_exists, rename_path
 from lakeops.sources.services import SERVICES, standardize, standardize_sql
 from lakeops.sources.sinks import create_database
 
@@ -51,41 +55,140 @@ def clear_months(spark: SparkSession, root: str, services: Iterable[str], months
     return cleared
 
 
-def _land_one(spark: SparkSession, source_root: str, root: str, service: str, month: str):
-    src = source_path(source_root, service, month)
-    if not path_exists(spark, src):
-        return service, month, None, f"missing source {src}"
-    obs = Observation(f"land_{service}_{month}".replace("-", "_"))
-    try:
-        (spark.read.parquet(src).observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").parquet(leaf_path(root, service, month)))
-    except Exception as exc:  # noqa: BLE001 - every failure is reported together
-        return service, month, None, f"{type(exc).__name__}: {exc}"
-    return service, month, int(obs.get["rows"]), None
-
-
-def land_months(spark: SparkSession, source_root: str, root: str, services: Iterable[str],
-                months, max_parallel: int = 8) -> DataFrame:
-    """Land each (service, month) raw file unchanged into the raw zone.
-
-    The requested leaves are cleared first. Every month is copied by its own
-    Spark job (files keep their own schema); up to ``max_parallel`` jobs run
-    at once. Failures are gathered and raised together at the end; leaves
-    already cleared stay empty rather than holding stale data. The returned
-    report has one row per landed file with the row count, taken during the
-    write (no second scan).
+# ---------------------------------------------------------------------------
+# landing: the delivered bytes
+# ---------------------------------------------------------------------------
+
+COPY_CHUNK = 8 << 20
+MANIFEST = "servico string, ano_mes string, arquivo string, bytes bigint, sha256 string, registros bigint"
+
+
+def _delivered(spark: SparkSession, src: str) -> list[str]:
+    """Names of the files of a delivery: of the folder's data files, or '' for a single file."""
+    names = [n for n in child_names(spark, src) if n[:1] not in "._"]
+    return [""] if names == [src.rstrip("/").rpartition("/")[2]] else names
+
+
+def _each_file(spark: SparkSession, files: list[tuple], copy: bool) -> list:
+    """Read every file in a task of its own; write it elsewhere if ``copy``. ``(service, month, name, bytes, sha256, rows, error)``.
+
+    Files are streamed in chunks, whatever their size. A copy is written
+    under a name of its own and renamed when complete, so a task that runs
+    twice leaves one whole file.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                size = rows = None
+                digest, error = hashlib.sha256(), None
+                try:
+                    fs, source = pyarrow_fs(row["src"])
+                    part = None
+                    if copy:
+                        _, target = pyarrow_fs(row["dst"])
+                        fs.create_dir(target.rpartition("/")[0], recursive=True)
+                        part = f"{target}.{uuid.uuid4().hex}.part"
+                    with fs.open_input_stream(source) as read, (fs.open_output_stream(part) if copy else nullcontext()) as write:
+                        size = 0
+                        while chunk := read.read(COPY_CHUNK):
+                            digest.update(chunk)
+                            size += len(chunk)
+                            if copy:
+                                write.write(chunk)
+                    if copy:
+                        fs.move(part, target)
+                    rows = pq.read_metadata(source, filesystem=fs).num_rows
+                except Exception as exc:  # noqa: BLE001 - every failure is reported together
+                    error = f"{type(exc).__name__}: {exc}"
+                out.append({"servico": row["servico"], "ano_mes": row["ano_mes"], "arquivo": row["arquivo"], "bytes": size,
+                            "sha256": digest.hexdigest(), "registros": rows, "erro": error})
+            yield pa.RecordBatch.from_pylist(out, schema=told)
+
+    told = pa.schema([("servico", pa.string()), ("ano_mes", pa.string()), ("arquivo", pa.string()), ("bytes", pa.int64()),
+                      ("sha256", pa.string()), ("registros", pa.int64()), ("erro", pa.string())])
+    if not files:
+        return []
+    asked = spark.createDataFrame(files, "servico string, ano_mes string, arquivo string, src string, dst string")
+    return asked.repartition(len(files), "src").mapInArrow(run, MANIFEST + ", erro string").collect()
+
+
+def pyarrow_fs(path: str):
+    """The Arrow file system and path of a URI or local path, in a task."""
+    from pyarrow import fs
+    local = local_path(path)
+    return (fs.LocalFileSystem(), local) if local != path or "://" not in path else fs.FileSystem.from_uri(path)
+
+
+def landed_files(spark: SparkSession, root: str) -> DataFrame:
+    """The manifest of the raw zone: per landed file its bytes, SHA-256 and rows, as of its last landing."""
+    where = f"{root.rstrip('/')}/_manifest"
+    if not path_exists(spark, where):
+        return spark.createDataFrame([], MANIFEST)
+    rows = spark.read.schema(MANIFEST + ", entrega bigint").parquet(where)
+    last = rows.groupBy("servico", "ano_mes").agg(F.max("entrega").alias("entrega"))
+    return rows.join(last, ["servico", "ano_mes", "entrega"], "left_semi").drop("entrega").where("arquivo is not null")
+
+
+def land_months(spark: SparkSession, source_root: str, root: str, services: Iterable[str], months) -> DataFrame:
+    """Land each (service, month) delivery in the raw zone, byte for byte.
+
+    Files are copied by tasks, one file each, in chunks; nothing is decoded
+    or written anew. Each month arrives in a folder beside its leaf and takes
+    the leaf's place when it is complete. The manifest keeps every file's
+    length, SHA-256 and rows (from its footer): a delivery equal to the landed
+    one is read but not copied again, and its leaf stays as it is.
+
+    Failures (no delivery, a file that cannot be read or is no Parquet) are
+    gathered and raised together at the end; the leaves of those months are
+    cleared, so none holds stale data. The report has one row per month.
     """
-    services = list(services)
-    months = validate_months(months)
-    clear_months(spark, root, services, months)
-    jobs = [(s, m) for s in services for m in months]
-    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
-        results = list(pool.map(lambda sm: _land_one(spark, source_root, root, *sm), jobs))
-    failures = [f"{s} {m}: {err}" for s, m, _, err in results if err]
+    months, services, root = validate_months(months), list(services), root.rstrip("/")
+    failures: dict[tuple, str] = {}
+    known: dict[tuple, set] = defaultdict(set)
+    for r in landed_files(spark, root).where(F.col("servico").isin(services) & F.col("ano_mes").isin(months)).collect():
+        known[r.servico, r.ano_mes].add((r.arquivo, r.bytes, r.sha256, r.registros))
+    jobs = {(s, m): f"{leaf_path(root, s, m)}.incoming-{uuid.uuid4().hex[:8]}" for s in services for m in months}
+    names: dict[tuple, list[str]] = {}
+    for s, m in jobs:
+        names[s, m] = _delivered(spark, source_path(source_root, s, m))
+        if not names[s, m]:
+            failures[s, m] = f"missing source {source_path(source_root, s, m)}"
+
+    def files(wanted) -> list[tuple]:
+        return [(s, m, n or source_path("", s, m).strip("/"), f"{source_path(source_root, s, m)}/{n}".rstrip("/"),
+                 f"{jobs[s, m]}/{n or source_path('', s, m).strip('/')}") for s, m in wanted for n in names[s, m]]
+
+    def gathered(rows) -> dict[tuple, set]:
+        found: dict[tuple, set] = defaultdict(set)
+        for r in rows:
+            if r.erro:
+                failures[r.servico, r.ano_mes] = f"{r.arquivo}: {r.erro}"
+            found[r.servico, r.ano_mes].add((r.arquivo, r.bytes, r.sha256, r.registros))
+        return found
+
+    there = [k for k in known if k not in failures and path_exists(spark, leaf_path(root, *k))]
+    unchanged = {k for k, seen in gathered(_each_file(spark, files(there), copy=False)).items() if seen == known[k]}
+    copied = gathered(_each_file(spark, files([k for k in jobs if k not in failures and k not in unchanged]), copy=True))
+    for key, incoming in jobs.items():
+        if key in unchanged and key not in failures:
+            continue
+        delete_path(spark, leaf_path(root, *key))
+        if key in failures:
+            delete_path(spark, incoming)
+        else:
+            rename_path(spark, incoming, leaf_path(root, *key))
+    now = time.time_ns()
+    # a month that failed gets a row without a file: it is not landed any more
+    rows = [(*key, *f, now) for key, seen in copied.items() if key not in failures for f in seen] + [
+        (*key, None, None, None, None, now) for key in failures if key in known]
+    if rows:
+        spark.createDataFrame(rows, MANIFEST + ", entrega bigint").coalesce(1).write.mode("append").parquet(f"{root}/_manifest")
     if failures:
-        raise RuntimeError("landing failed for: " + "; ".join(failures))
-    rows = [(s, m, n) for s, m, n, _ in results]
-    return spark.createDataFrame(rows, "servico string, ano_mes string, registros bigint")
+        raise RuntimeError("landing failed for: " + "; ".join(f"{s} {m}: {e}" for (s, m), e in sorted(failures.items())))
+    counted = {**{k: known[k] for k in unchanged}, **copied}
+    report = [(*key, sum(f[3] for f in counted[key])) for key in jobs]
+    return spark.createDataFrame(report, "servico string, ano_mes string, registros bigint")
 
 
 def month_leaves(spark: SparkSession, root: str, service: str, months) -> dict[str, str]:

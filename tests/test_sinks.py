@@ -1,5 +1,7 @@
 import glob
+import hashlib
 import os
+import shutil
 
 import pyarrow.parquet as pq
 import pytest
@@ -213,3 +215,47 @@ def test_row_groups_are_skipped_on_a_secondary_column(spark, tmp_dir):
     bloom = [f for f in glob.glob(f"{path}/*/*/*.parquet")]
     plain = [f for f in glob.glob(f"{tmp_dir}/by_time/*/*/*.parquet")]
     assert sum(map(os.path.getsize, bloom)) > sum(map(os.path.getsize, plain))     # the filters are in the files
+
+
+def _digests(folder):
+    return {os.path.basename(f): hashlib.sha256(open(f, "rb").read()).hexdigest() for f in glob.glob(f"{folder}/*.parquet")}
+
+
+def test_landing_keeps_the_bytes_and_skips_what_is_unchanged(spark, tmp_dir):
+    src, raw = f"{tmp_dir}/src", f"{tmp_dir}/raw"
+    months = ["2024-01", "2024-02"]
+    E.write_raw_sources(spark, SF, src, ("yellow",), months)
+    # one month as a single file, as a provider delivers it
+    alone = B.source_path(src, "yellow", "2024-02")
+    table = pq.read_table(alone)
+    shutil.rmtree(alone)
+    pq.write_table(table, alone)
+    first = B.land_months(spark, src, raw, ["yellow"], months).collect()
+    leaf = {m: B.leaf_path(raw, "yellow", m) for m in months}
+    assert _digests(leaf["2024-01"]) == _digests(B.source_path(src, "yellow", "2024-01")) != {}
+    assert list(_digests(leaf["2024-02"]).values()) == [hashlib.sha256(open(alone, "rb").read()).hexdigest()]
+    assert {r.ano_mes: r.registros for r in first} == {m: spark.read.parquet(leaf[m]).count() for m in months}
+    times = {f: os.stat(f).st_mtime_ns for m in months for f in glob.glob(f"{leaf[m]}/*.parquet")}
+    # the same delivery again, then one month changed
+    assert B.land_months(spark, src, raw, ["yellow"], months).collect() == first
+    assert {f: os.stat(f).st_mtime_ns for f in times} == times
+    pq.write_table(table.slice(0, 3), alone)
+    again = {r.ano_mes: r.registros for r in B.land_months(spark, src, raw, ["yellow"], months).collect()}
+    assert again["2024-02"] == 3 == spark.read.parquet(leaf["2024-02"]).count()
+    assert all(os.stat(f).st_mtime_ns == t for f, t in times.items() if leaf["2024-01"] in f)
+    told = {r.ano_mes: r for r in B.landed_files(spark, raw).collect() if r.ano_mes == "2024-02"}["2024-02"]
+    assert (told.registros, told.bytes) == (3, os.path.getsize(alone))
+
+
+def test_a_file_that_is_no_parquet_fails_its_month_only(spark, tmp_dir):
+    src, raw = f"{tmp_dir}/src", f"{tmp_dir}/raw"
+    E.write_raw_sources(spark, SF, src, ("yellow",), ["2024-01", "2024-02"])
+    B.land_months(spark, src, raw, ["yellow"], ["2024-01", "2024-02"])
+    bad = B.source_path(src, "yellow", "2024-02")
+    shutil.rmtree(bad)
+    with open(bad, "w") as f:
+        f.write("<html>503</html>")
+    with pytest.raises(RuntimeError, match="2024-02"):
+        B.land_months(spark, src, raw, ["yellow"], ["2024-01", "2024-02"])
+    assert set(B.month_leaves(spark, raw, "yellow", ["2024-01", "2024-02"])) == {"2024-01"}
+    assert {r.ano_mes for r in B.landed_files(spark, raw).collect()} == {"2024-01"}
