@@ -1,12 +1,14 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
-The unit compared is a window of consecutive lines (one line, a paragraph, a
-whole text). Dice of two bigram multisets of sizes a and b is at most
+The unit compared is a window of consecutive units, which end at line ends
+and at sentence ends: a sentence, a line, a paragraph, a whole text. A notice
+between two sentences of a line, or a licence inside a paragraph whose line
+ends are gone, is a window of its own. Dice of two bigram multisets of sizes a and b is at most
 ``2 min(a, b) / (a + b)``, so a template is only compared with windows
 between ``t / (2 - t)`` and ``(2 - t) / t`` times its size, for threshold t.
 The same bound asks that ``t / (2 - t)`` of a window's bigrams occur in
-templates at all, hence in at least one of its lines; texts without such a
-line are done after one look-up per word, the others' windows are listed by
+templates at all, hence in at least one of its units; texts without such a
+unit are done after one look-up per word, the others' windows are listed by
 array arithmetic and only those that could reach t are compared.
 """
 
@@ -26,7 +28,10 @@ from pyspark.sql import types as T
 from .common import slices, text_or_empty
 from .licence_templates import TEMPLATES
 
-TOKEN = re.compile(r"[^\W_]+|\n")     # words, digits; lines end at a line feed
+# words and digits; line ends; sentence ends (a mark before white space or the end)
+TOKEN = re.compile(r"[^\W_]+|\r\n|[\n\r\x0b\x0c\x85\u2028\u2029]|[.!?;:\u3002](?=\s|$)")
+LINE_ENDS = frozenset(["\r\n", *"\n\r\x0b\x0c\x85\u2028\u2029"])
+BREAKS = LINE_ENDS | frozenset(".!?;:\u3002")
 LIMIT = 1 << 20                       # characters of all templates, shipped with the tasks
 
 
@@ -36,9 +41,11 @@ class Templates:
     def __init__(self, templates: list[tuple[str, str, str]]):
         if sum(len(t) for _, _, t in templates) > LIMIT:
             raise ValueError("templates are shipped to every task; cut them into several scans")
-        words = [[w for w in TOKEN.findall(text.lower()) if w != "\n"] for _, _, text in templates]
+        words = [[w for w in TOKEN.findall(text.lower()) if w not in BREAKS] for _, _, text in templates]
         self.vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for ws in words for w in ws}))}
         self.width = len(self.vocabulary) + 1
+        # numbers of all tokens that matter: words, -1 for a sentence end, -2 for a line end
+        self.numbers = self.vocabulary | dict.fromkeys(BREAKS, -1) | dict.fromkeys(LINE_ENDS, -2)
         self.entries = []
         for (name, licence, _), ws in zip(templates, words):
             ids = [self.vocabulary[w] for w in ws]
@@ -51,7 +58,7 @@ class Templates:
 
 
 def scan_text(text: str, templates: Templates, threshold: float) -> list[tuple[str, str, float, int, int]]:
-    """``(template, licence, dice, first line, last line)``, best first, no two sharing a line.
+    """``(template, licence, dice, first line, last line)``, best first, no two sharing a unit.
 
     Lines count from 0. Of equal Dice the earlier, then the shorter window,
     then the first template name wins. Texts without two words match nothing.
@@ -59,10 +66,10 @@ def scan_text(text: str, templates: Templates, threshold: float) -> list[tuple[s
     found = TOKEN.findall(text.lower())
     if len(found) < 2:
         return []
-    lookup = templates.vocabulary.get
-    ids = np.fromiter((-1 if w == "\n" else lookup(w, 0) for w in found), np.int64, len(found))
+    lookup = templates.numbers.get
+    ids = np.fromiter((lookup(w, 0) for w in found), np.int64, len(found))
     breaks = ids < 0
-    line = np.cumsum(breaks)[~breaks]
+    unit, line = np.cumsum(breaks)[~breaks], np.cumsum(ids == -2)[~breaks]
     ids = ids[~breaks]
     if len(ids) < 2:
         return []
@@ -71,7 +78,7 @@ def scan_text(text: str, templates: Templates, threshold: float) -> list[tuple[s
     if not hit.any():
         return []
     share = threshold / (2 - threshold)
-    numbers, first = np.unique(line, return_index=True)        # lines with words
+    _, first = np.unique(unit, return_index=True)              # units with words
     last = np.append(first[1:], len(ids)) - 1                  # their last words
     per_line = np.add.reduceat(np.append(hit, False), first)
     dense = per_line >= share * (last - first)
@@ -83,7 +90,7 @@ def scan_text(text: str, templates: Templates, threshold: float) -> list[tuple[s
     for name, licence, bag, size in templates.entries:
         low = max(1, math.ceil(size * share - 1e-9))
         high = math.floor(size / share + 1e-9)
-        begin = np.searchsorted(last, first + low)             # first and past-last line a window may end with
+        begin = np.searchsorted(last, first + low)             # first and past-last unit a window may end with
         end = np.searchsorted(last, first + high, side="right")
         counts = np.maximum(end - begin, 0)
         if not counts.any():
@@ -98,12 +105,12 @@ def scan_text(text: str, templates: Templates, threshold: float) -> list[tuple[s
             shared = sum(min(k, bag[code]) for code, k in Counter(own.tolist()).items() if code in bag)
             dice = 2 * shared / (int(last[b] - first[a]) + size)
             if dice >= threshold:
-                matches.append((-dice, int(numbers[a]), int(numbers[b]), name, licence))
+                matches.append((-dice, a, b, name, licence))
     taken, out = [], []
     for dice, a, b, name, licence in sorted(matches):
         if all(b < x or a > y for x, y in taken):
             taken.append((a, b))
-            out.append((name, licence, -dice, a, b))
+            out.append((name, licence, -dice, int(line[first[a]]), int(line[last[b]])))
     return out
 
 

@@ -5,6 +5,9 @@ Names in copyright lines and project names are left out.
 """
 
 TEMPLATES = [
+    ("all-rights-reserved", "Proprietary", "All rights reserved."),
+    ("all-rights-by-law", "Proprietary", "Unauthorized copying of this file, via any medium, is strictly prohibited."),
+    ("proprietary-notice", "Proprietary", "This software is proprietary and confidential."),
     ("mit-line", "MIT", "Released under the MIT License."),
     ("mit-notice", "MIT", "This project is licensed under the terms of the MIT license. See the LICENSE file for details."),
     ("mit", "MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -77,4 +80,76 @@ copy of the MPL was not distributed with this file, You can obtain one at https:
 
 Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
 as a compiled binary, for any purpose, commercial or non-commercial, and by any means."""),
+    ("mit-licensed", "MIT", "Licensed under the MIT License."),
+    ("isc-line", "ISC", "Licensed under the ISC License."),
+    ("bsd-2-line", "BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("bsd-3-line", "BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("bsd-3", "BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are
+permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("gpl2-header", "GPL-2.0-or-later", """This program is free software; you can redistribute it and/or modify it under
+the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the
+License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""),
+    ("lgpl3-line", "LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("lgpl21-line", "LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("lgpl21-header", "LGPL-2.1-or-later", """This library is free software; you can redistribute it and/or modify it under
+the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the
+License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more
+details."""),
+    ("lgpl3-header", "LGPL-3.0-or-later", """This program is free software: you can redistribute it and/or modify it under
+the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the
+License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more
+details."""),
+    ("agpl3-line", "AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("agpl3-header", "AGPL-3.0-or-later", """This program is free software: you can redistribute it and/or modify it under
+the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the
+License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more
+details."""),
+    ("mpl2-line", "MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    ("bsl-line", "BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("cc0-line", "CC0-1.0", "Licensed under CC0 1.0."),
+    ("cc0-notice", "CC0-1.0", """To the extent possible under law, the author has waived all copyright and related or
+neighboring rights to this work."""),
+    ("cc-by-nd-line", "CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("cc-by-nc-sa-line", "CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc-by-nc-nd-line", "CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("cc-by-3-line", "CC-BY-3.0", "Licensed under CC BY 3.0."),
+    ("cc-by-sa-3-line", "CC-BY-SA-3.0", "Licensed under CC BY-SA 3.0."),
+    ("cc-by-nd-notice", "CC-BY-ND-4.0",
+     "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-nc-sa-notice", "CC-BY-NC-SA-4.0",
+     "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("cc-by-nc-nd-notice", "CC-BY-NC-ND-4.0",
+     "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("cc-by-3-notice", "CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    ("cc-by-sa-3-notice", "CC-BY-SA-3.0",
+     "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
 ]

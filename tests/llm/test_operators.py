@@ -435,8 +435,9 @@ def test_contamination(spark, odd_docs, no_docs):
 
 
 def plain_matches(text, threshold):
-    """Best Dice per template over all windows of lines."""
-    lines = [re.findall(r"[^\W_]+", x.lower()) for x in text.split("\n")]
+    """Best Dice per template over all windows of sentences and lines."""
+    units = re.split("\r\n|[\n\r\x0b\x0c\x85\u2028\u2029]|[.!?;:\u3002](?=\\s|$)", text)
+    lines = [re.findall(r"[^\W_]+", x.lower()) for x in units]
     best = {}
     for name, _, template in licence_scan.TEMPLATES:
         words = re.findall(r"[^\W_]+", template.lower())
@@ -470,6 +471,19 @@ def test_licences(spark, odd_docs, no_docs):
     assert [m.licence for m in got[0]] == ["MIT"] and [m.first_line for m in got[0]] == [1]
     assert {m.licence for m in got[5]} == {"CC-BY-NC-4.0", "Apache-2.0"}
     assert got[4][0].licence == "Apache-2.0" and got[3][0].template == "mit" and got[1][0].dice == 1.0
+    by_name = {n: t for n, _, t in licence_scan.TEMPLATES}
+    inside = "Read this first. " + " ".join(by_name["mit"].split()) + " That was the licence; the program follows."
+    told = {
+        "Copyright 2020 Someone Inc. All rights reserved.": ["Proprietary"], "Use it well. Released under the MIT License. Have fun!": ["MIT"],
+        inside: ["MIT"], "\r".join(["first", "Licensed under CC0 1.0.", "last"]): ["CC0-1.0"], by_name["bsd-3"]: ["BSD-3-Clause"],
+        "This work is licensed under the GNU Lesser General Public License, version 3.": ["LGPL-3.0"],
+        "This work is licensed under the GNU Affero General Public License, version 3.": ["AGPL-3.0"],
+        "Licensed under CC BY-ND 4.0.": ["CC-BY-ND-4.0"], "Licensed under CC BY 3.0.": ["CC-BY-3.0"], by_name["lgpl21-header"]: ["LGPL-2.1-or-later"],
+        "The law says that all rights may be reserved by the owner of a house": []}
+    prepared = licence_scan.Templates(licence_scan.TEMPLATES)
+    for text, licences in told.items():
+        assert [m[1] for m in licence_scan.scan_text(text, prepared, 0.8)] == licences, text
+    assert [m[3:] for m in licence_scan.scan_text("a\r\nb. Released under the MIT License. c\nd", prepared, 0.8)] == [(1, 1)]
     assert licence_scan.scan_licences(odd_docs).count() == odd_docs.count()
     assert rows_of(licence_scan.scan_licences(no_docs)) == []
 
