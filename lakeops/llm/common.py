@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.session import delete_path, scratch_path
@@ -43,10 +44,31 @@ def written(df: DataFrame, name: str, compression: str | None = None) -> tuple[D
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
+    for held in _scopes[-1:]:
+        held.append(path)
     df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes the tables that ``written`` stores inside the block, at its end; take out what must stay.
+
+    Results are lazy and read those tables: write a result inside the block.
+    """
+    held: list[str] = []
+    _scopes.append(held)
+    try:
+        yield held
+    finally:
+        _scopes.remove(held)
+        for path in held:
+            delete_path(spark, path)
+
+
 def drop(df: DataFrame, *paths: str) -> None:
     for path in paths:
         delete_path(df.sparkSession, path)

@@ -78,3 +78,17 @@ def test_extra_columns_pass_through_every_stage(spark):
 def test_without_labels_the_language_stage_keeps_texts_with_letters(spark):
     docs = spark.createDataFrame([(1, "words", None), (2, "123", None), (3, None, None)], "doc_id long, text string, lang string")
     assert [tuple(r) for r in corpus_pipeline.identify_language(spark, docs, SF).collect()] == [(1, "words", None)]
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    from lakeops.llm.common import scratch_scope, written
+    from lakeops.session import path_exists
+    with scratch_scope(spark) as outer:
+        _, first = written(spark.range(3), "scope")
+        with scratch_scope(spark) as inner:
+            kept, second = written(spark.range(4), "scope")
+            _, third = written(spark.range(5), "scope")
+            inner.remove(second)
+        assert not path_exists(spark, third) and path_exists(spark, first) and kept.count() == 4
+        assert outer == [first]
+    assert not path_exists(spark, first)
