@@ -3,7 +3,8 @@
 ``STAGES`` lists ``(name, function)``; each function takes ``(spark, docs,
 sf_dir)`` and returns a DataFrame. ``run`` writes each stage's result to the
 shared scratch folder and rereads it as the next stage's documents, so a
-lost executor repeats tasks of one stage only. All stages but the last
+lost executor repeats tasks of one stage only; scratch tables of finished
+stages are removed. All stages but the last
 return the columns of ``documents``.
 
 Documents may have any further columns; a name that a stage needs for itself
@@ -21,8 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import decontaminate, exact_dedup, language_id, sentencepiece_nbest, simhash
-from lakeops.llm.common import free_name, written
+from lakeops.llm.common import free_name, scratch_scope, written
 from lakeops.llm.queries import BEST, vocabulary
+from lakeops.session import delete_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,7 +82,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch_scope(spark) as scratch:         # what the stage stored on its way goes with it
+            docs, path = written(stage(spark, docs, sf_dir), f"stage-{name}")
+            scratch.remove(path)
+        if before:
+            delete_path(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
