@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType
 
 from lakeops.session import path_exists, scratch_path
 
-from .common import free_name, text_or_empty, utf8, written
+from .common import few_or_shuffled, free_name, text_or_empty, utf8, written
 
 
 def text_digest(text_col: str = "text") -> Column:
@@ -140,8 +140,9 @@ def kept_documents(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
     def met(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
         return rows.join(some, rows[id_col].eqNullSafe(some["id"]) & (rows[told] == some["digest"]), how)
 
-    rest = met(marked, keys.select("id", "digest"), "left_anti").drop(told)
-    repeated = keys.where("kept").select("id", "digest")
+    # few keys are broadcast and no text moves; many are shuffled, and with them each text once
+    rest = met(marked, few_or_shuffled(keys.select("id", "digest")), "left_anti").drop(told)
+    repeated = few_or_shuffled(keys.where("kept").select("id", "digest"))
     if not repeated.limit(1).count():
         return rest
     one = met(marked, repeated, "left_semi").dropDuplicates([id_col, told]).drop(told)

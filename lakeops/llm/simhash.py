@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, slices, text_or_empty, utf8, written
+from .common import few_or_shuffled, free_name, slices, text_or_empty, utf8, written
 from .components import connected_components
 
 BITS = 64
@@ -215,8 +215,8 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def met(some: DataFrame, how: str) -> DataFrame:
         return marked.join(some, marked[id_col].eqNullSafe(some["id"]) & (marked[told] == some["digest"]), how)
 
-    rest = met(keys.select("id", "digest"), "left_anti").drop(told)
-    repeated = keys.where("stays").select("id", "digest")
+    rest = met(few_or_shuffled(keys.select("id", "digest")), "left_anti").drop(told)
+    repeated = few_or_shuffled(keys.where("stays").select("id", "digest"))
     if not repeated.limit(1).count():
         return rest
     return rest.unionAll(met(repeated, "left_semi").dropDuplicates([id_col, told]).drop(told))

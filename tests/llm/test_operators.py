@@ -16,7 +16,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lakeops.llm import (components, decontaminate, exact_dedup, html_text, language_id, licence_scan, pieces,
+from lakeops.llm import (common, components, decontaminate, exact_dedup, html_text, language_id, licence_scan, pieces,
                          sentencepiece_nbest, sharding, simhash, token_counts, token_files)
 from lakeops.session import scratch_path
 
@@ -166,7 +166,9 @@ def test_a_digest_stored_twice_gives_one_row_per_document(spark):
         assert sorted(rows) == [(i, i % 3, i < 3) for i in range(6)]
 
 
-def test_documents_keep_clashing_columns(spark):
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_documents_keep_clashing_columns(spark, monkeypatch, limit):
+    monkeypatch.setattr(common, "BROADCAST_KEYS", limit)
     schema = "doc_id long, text string, digest string, __digest string, __id long, id long, Digest_ string, kept string, copies long"
     rows = [(i, f"some words that stand in number {i % 4}", "d", f"x{i}", i, 7, "y", "z", 9) for i in range(8)] + [
         (2, "some words that stand in number 2", "d", "x2", 2, 7, "y", "z", 9)]
