@@ -55,6 +55,12 @@ class Templates:
         self.known = np.zeros(self.width * self.width, bool)
         for _, _, bag, _ in self.entries:
             self.known[list(bag)] = True
+        # how often each template has each known bigram
+        self.row = np.cumsum(self.known) - 1
+        self.sizes = np.array([size for *_, size in self.entries], np.int64)
+        self.bags = np.zeros((int(self.known.sum()), len(self.entries)), np.int64)
+        for k, (_, _, bag, _) in enumerate(self.entries):
+            self.bags[self.row[list(bag)], k] = list(bag.values())
 
 
 def scan_text(text: str, templates: Templates, threshold: float) -> list[tuple[str, str, float, int, int]]:
@@ -78,6 +84,12 @@ def scan_text(text: str, templates: Templates, threshold: float) -> list[tuple[s
     if not hit.any():
         return []
     share = threshold / (2 - threshold)
+    # a window that reaches the threshold shares that part of the template with it, hence so does the text
+    codes, times = np.unique(bigram[hit], return_counts=True)
+    shared = np.minimum(templates.bags[templates.row[codes]], times[:, None]).sum(axis=0)
+    possible = np.flatnonzero(shared >= share * templates.sizes - 1e-9).tolist()
+    if not possible:
+        return []
     _, first = np.unique(unit, return_index=True)              # units with words
     last = np.append(first[1:], len(ids)) - 1                  # their last words
     per_line = np.add.reduceat(np.append(hit, False), first)
@@ -87,7 +99,7 @@ def scan_text(text: str, templates: Templates, threshold: float) -> list[tuple[s
     seen = np.concatenate(([0], np.cumsum(hit)))               # hits before a bigram
     dense_before = np.concatenate(([0], np.cumsum(dense)))
     matches = []
-    for name, licence, bag, size in templates.entries:
+    for name, licence, bag, size in map(templates.entries.__getitem__, possible):
         low = max(1, math.ceil(size * share - 1e-9))
         high = math.floor(size / share + 1e-9)
         begin = np.searchsorted(last, first + low)             # first and past-last unit a window may end with
@@ -102,8 +114,8 @@ def scan_text(text: str, templates: Templates, threshold: float) -> list[tuple[s
             2 * np.minimum(seen[last[j]] - seen[first[i]], size) >= threshold * (n + size) - 1e-9)
         for a, b in zip(i[likely].tolist(), j[likely].tolist()):
             own = bigram[first[a]:last[b]][hit[first[a]:last[b]]]
-            shared = sum(min(k, bag[code]) for code, k in Counter(own.tolist()).items() if code in bag)
-            dice = 2 * shared / (int(last[b] - first[a]) + size)
+            common = sum(min(k, bag[code]) for code, k in Counter(own.tolist()).items() if code in bag)
+            dice = 2 * common / (int(last[b] - first[a]) + size)
             if dice >= threshold:
                 matches.append((-dice, a, b, name, licence))
     taken, out = [], []
