@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import Memo, slices, text_or_empty
+from .common import Memo, free_name, slices, text_or_empty
 from .pieces import kept_in_worker
 
 SPACE = "▁"                  # how the model writes a space; fixed value
@@ -156,7 +156,12 @@ class PieceLattice:
         found: list[tuple[float, tuple[int, ...]]] = []
         heap: list[tuple] = [(-best[-1], len(text), 0, 0.0, None)]
         order, floor = 0, -math.inf
-        while heap and len(found) < 8 * n and -heap[0][0] >= floor:      # 8 n: a large tie, the search order decides
+        while heap and -heap[0][0] >= floor:
+            if len(found) >= 8 * n:                            # a large tie: its first ones by ids, without listing it
+                found.sort(key=_rank)
+                level = found[n - 1][0]
+                better = [f for f in found if f[0] > level]
+                return better + [(level, ids) for ids in self._tied(text, starts, level, n, n - len(better))]
             reach, at, _, score, node = heappop(heap)
             while at:
                 onward = None
@@ -177,6 +182,39 @@ class PieceLattice:
                     floor = score
         return sorted(found, key=_rank)[:n] if len(found) > 1 else found
 
+    def _tied(self, text: str, starts: list[list[int]], level: float, n: int, wanted: int) -> list[tuple[int, ...]]:
+        """The first ``wanted`` segmentations by ids from the left among those that score ``level``, an ``n``-th best or better.
+
+        A suffix of such a segmentation has one of the ``n`` best distinct
+        scores from its place on (else its better ones would make ``n`` better
+        segmentations). With these at hand a walk from the left takes the
+        smallest ids first and never a path that misses the level. Pieces
+        that start at one place differ in their first id.
+        """
+        size, pieces = len(text), self.pieces
+        edges: list[list[tuple]] = [[] for _ in range(size)]
+        for j, opened in enumerate(starts):
+            for i in opened:
+                own, s = pieces.get(text[i:j]) or (self._fallback(text[i]), self.low)
+                edges[i].append((own, s, j))
+        rest: list[list[float]] = [[] for _ in range(size)] + [[0.0]]
+        for i in range(size - 1, -1, -1):
+            edges[i].sort(reverse=True)
+            rest[i] = sorted({s + score for _, s, j in edges[i] for score in rest[j]}, reverse=True)[:n]
+        tied: list[tuple[int, ...]] = []
+        stack: list[tuple] = [(0, level, None)]
+        while stack and len(tied) < wanted:
+            at, score, node = stack.pop()
+            if at == size:
+                parts = []
+                while node:
+                    parts.append(node[0])
+                    node = node[1]
+                tied.append(tuple(chain.from_iterable(reversed(parts))))
+            else:
+                stack += [(j, behind, (own, node)) for own, s, j in edges[at] for behind in rest[j] if s + behind == score]
+        return tied
+
     def cut(self, text: str) -> list[str]:
         """Parts of normalised text that no piece joins."""
         pairs = map(self.joined.__contains__, map(add, text, text[1:]))
@@ -310,16 +348,15 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, text_col: str = "text"
     and score 0. ``memo`` bounds the words, and the parts of words, whose
     result a worker keeps (about 600 bytes for one of each); it changes the
     time only. New columns must not exist yet. A tie between segmentations
-    of a word goes to the smaller ids (of more than ``8 n`` in one tie, to
-    the smaller among those that the search meets first, the same in every
-    run); between words, to the earlier one. A search takes memory in
-    proportion to the length of its part, however long that is.
+    of a word goes to the smaller ids, however many share the score; between
+    words, to the earlier one. A search takes memory in proportion to the
+    length of its part, however long that is.
     """
     new = [c for c in (ids, detail, "decoded") if c]
     clash = set(new) & set(docs.columns)
     if clash:
         raise ValueError(f"columns to be added exist already: {sorted(clash)}")
-    ready = docs.withColumn("__input", text_or_empty(text_col))
+    ready = docs.withColumn(free_name(docs, "input"), text_or_empty(text_col))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = lattice(model, memo)

@@ -663,6 +663,21 @@ def test_nbest_is_exact():
     assert lattice.search("", 3) == [(0.0, ())]
 
 
+def test_large_ties_go_to_the_smallest_ids():
+    lattice = sentencepiece_nbest.PieceLattice(str(P.path("piece_bpe_32k.model")), memo=20)
+    large = 0
+    for text in ["-" * 15, "-" * 16, "a" * 16, "xy" * 7, "xy" * 10, "lalalalala"]:
+        every = sorted(all_segmentations(lattice, text), key=lambda f: (-f[0], f[1]))
+        for n in (1, 2, 3):
+            level = every[n - 1][0]
+            large += sum(s == level for s, _ in every) > 8 * n
+            assert lattice.search(text, n) == every[:n]
+            first = next(k for k, f in enumerate(every) if f[0] == level)
+            tied = lattice._tied(text, lattice._forward(text)[1], level, n, 5)
+            assert tied == [ids for s, ids in every if s == level][:5] and first < n
+    assert large
+
+
 def test_parts_keep_the_searched_gap():
     lattice = sentencepiece_nbest.PieceLattice(str(P.path("piece_bpe_32k.model")), memo=20)
     for part in ["a", "there", "aaaa", "日x", "ab" * 40, "0f" * 30, "international", "▁the"]:
