@@ -293,6 +293,32 @@ def test_counts_that_fill_the_memo(spark, odd_docs):
     assert got == plain_words(rows_of(odd_docs.select("doc_id", "text")), 199, 1, 1)
 
 
+def test_a_thinned_run_that_is_another_run_is_thinned_once(spark):
+    def crc(i, run):
+        return zlib.crc32(f"{i}:{run}".encode())
+
+    # ids under which a run loses a letter and what is left stands in the text too and loses one itself
+    whole, docs = "misspellings", []
+    for i in range(300_000):
+        if crc(i, whole) % 199 == 0:
+            at = crc(i, whole) % len(whole)
+            less = whole[:at] + whole[at + 1:]
+            if crc(i, less) % 199 == 0:
+                docs += [(i, f"{whole} {less} {less} " * 3), (i, f"{less} {whole} " * 5)]
+    assert docs
+    words = plain_words(docs, 199, 6, 5)
+    got = rows_of(spelling.spelling_variants(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert sorted(got) == sorted(plain_variants(words, 5))
+
+    rnd = random.Random(3)
+    for modulus in (1, 2, 3):
+        texts = [(i, " ".join("".join(rnd.choice("abÉ") for _ in range(rnd.randint(1, 4))) for _ in range(30))) for i in range(200)]
+        total = Counter()
+        for i, text in texts:
+            total.update(spelling.words_of(str(i), text, modulus))
+        assert {w: n for w, n in total.items() if w} == plain_words(texts, modulus, 1, 1)
+
+
 # ---- the registered queries -------------------------------------------------------------------
 
 def test_op12_covers_every_document(spark):
