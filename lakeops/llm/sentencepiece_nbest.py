@@ -35,7 +35,23 @@ SPACE = "▁"                  # how the model writes a space; fixed value
 UNKNOWN_PENALTY = 10.0       # below the lowest piece score, as in the public library; fixed value
 
 
-_NONE = ()
+_NO_PIECE = (None, None)
+
+
+def _trie(scores: dict[str, float]) -> dict[str, tuple]:
+    """Per first character the score of the piece that ends there (None: none does) and the same for what may follow."""
+    first: dict[str, tuple] = {}
+    for piece, score in scores.items():
+        level = first
+        for char in piece[:-1]:
+            own, longer = level.get(char, _NO_PIECE)
+            if longer is None:
+                longer = {}
+                level[char] = own, longer
+            level = longer
+        if piece:
+            level[piece[-1]] = score, level.get(piece[-1], _NO_PIECE)[1]
+    return first
 
 
 def _ids(node: tuple | None) -> tuple[int, ...]:
@@ -107,8 +123,7 @@ class PieceLattice:
                 self.pieces[piece] = ((i,), model.get_score(i))
                 self.bytes_of[i] = piece.replace(SPACE, " ").encode()
         self.low = min((s for _, s in self.pieces.values()), default=0.0) - UNKNOWN_PENALTY
-        # every prefix of a piece, with the piece's ids and score where it is one itself
-        self.table = {p[:k]: self.pieces.get(p[:k]) for p in self.pieces for k in range(1, len(p) + 1)}
+        self.trie = _trie({p: score for p, (_, score) in self.pieces.items()})
         self.joined = {p[k:k + 2] for p in self.pieces for k in range(len(p) - 1)}
         # words can be taken apart at spaces if no piece has a space after another character
         self.by_word = all(SPACE not in p.lstrip(SPACE) for p in self.pieces)
@@ -126,22 +141,27 @@ class PieceLattice:
 
     def _forward(self, text: str) -> tuple[list[float], list[list[int]]]:
         """Best score of each prefix, and per place where the edges that end there start."""
-        size, table = len(text), self.table
+        size, first, low = len(text), self.trie, self.low
         starts: list[list[int]] = [[] for _ in range(size + 1)]
         best = [0.0] + [-math.inf] * size
-        for i in range(size):
-            here, j, edge = best[i], i + 1, table.get(text[i], _NONE)
-            if not edge:                                       # no piece covers the character alone
-                starts[j].append(i)
-                if here + self.low > best[j]:
-                    best[j] = here + self.low
-            while edge is not _NONE:
-                if edge:
-                    starts[j].append(i)
-                    if here + edge[1] > best[j]:
-                        best[j] = here + edge[1]
+        for i, char in enumerate(text):
+            here, j = best[i], i + 1
+            score, longer = first.get(char, _NO_PIECE)
+            if score is None:                                  # no piece covers the character alone
+                score = low
+            starts[j].append(i)
+            if here + score > best[j]:
+                best[j] = here + score
+            while longer and j < size:
+                node = longer.get(text[j])
+                if node is None:
+                    break
                 j += 1
-                edge = table.get(text[i:j], _NONE) if j <= size else _NONE
+                score, longer = node
+                if score is not None:
+                    starts[j].append(i)
+                    if here + score > best[j]:
+                        best[j] = here + score
         return best, starts
 
     def search(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -217,30 +237,49 @@ class PieceLattice:
 
     def cut(self, text: str) -> list[str]:
         """Parts of normalised text that no piece joins."""
-        pairs = map(self.joined.__contains__, map(add, text, text[1:]))
-        cuts = [k for k, joined in enumerate(pairs, 1) if not joined]
-        return [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)])] if cuts else [text]
+        joined = [*map(self.joined.__contains__, map(add, text, text[1:]))]
+        if False not in joined:
+            return [text]
+        cuts = [k for k, together in enumerate(joined, 1) if not together]
+        return [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)])]
 
     def _part(self, part: str) -> tuple[bytes, float, float]:
         """Ids of the best segmentation, its score, and the gap to the next.
 
         The search's first path is the best one, and as its bounds are exact
-        the highest bound then left open is the next one's score.
+        the highest bound then left open is the next one's score: at a place
+        of the path, that by the second best edge that ends there. So one
+        pass keeps the two best scores by which a place is reached.
         """
-        best, starts = self._forward(part)
-        pieces, total, left, score, at, path = self.pieces, best[-1], -math.inf, 0.0, len(part), []
-        while at:
-            onward = None
-            for i in starts[at]:
-                own, s = pieces.get(part[i:at]) or (self._fallback(part[i]), self.low)
-                bound = best[i] + s + score
-                if onward is None and bound >= total:
-                    onward = i, s + score, own
-                elif bound > left:
-                    left = bound
-            if onward is None:
-                break
-            at, score, own = onward
+        size, first, low = len(part), self.trie, self.low
+        best = [0.0] + [-math.inf] * size
+        second, back = [-math.inf] * (size + 1), [0] * (size + 1)
+        for i, char in enumerate(part):
+            here, j = best[i], i + 1
+            s, longer = first.get(char, _NO_PIECE)
+            reach = here + (low if s is None else s)           # as in _forward
+            if reach > best[j]:
+                second[j], best[j], back[j] = best[j], reach, i
+            elif reach > second[j]:
+                second[j] = reach
+            while longer and j < size:
+                node = longer.get(part[j])
+                if node is None:
+                    break
+                j += 1
+                s, longer = node
+                if s is not None:
+                    reach = here + s
+                    if reach > best[j]:
+                        second[j], best[j], back[j] = best[j], reach, i
+                    elif reach > second[j]:
+                        second[j] = reach
+        pieces, total, left, score, at, path = self.pieces, best[-1], -math.inf, 0.0, size, []
+        while at and best[at] + score >= total:
+            left = max(left, second[at] + score)
+            i = back[at]
+            own, s = pieces.get(part[i:at]) or (self._fallback(part[i]), low)
+            at, score = i, s + score
             path.append(own)
         if at or left >= total:        # a tie: the ids decide
             found = self.search(part, 2)
@@ -252,7 +291,8 @@ class PieceLattice:
         parts = [self.parts[p] for p in self.cut(word)]
         if len(parts) == 1:
             return parts[0]
-        return b"".join([p[0] for p in parts]), sum(p[1] for p in parts), min(p[2] for p in parts)
+        ids, scores, gaps = zip(*parts)
+        return b"".join(ids), sum(scores), min(gaps)
 
     def split(self, text: str) -> list[str]:
         """Normalised text as words, each with the spaces before it."""

@@ -687,6 +687,24 @@ def test_parts_keep_the_searched_gap():
         assert gap == (two[0][0] - two[1][0] if len(two) > 1 else math.inf)
 
 
+def test_a_part_without_ties_takes_one_pass():
+    lattice = sentencepiece_nbest.PieceLattice(str(P.path("piece_bpe_32k.model")), memo=20)
+    rnd = random.Random(4)
+    # scores that tie nowhere, and not exact in sums
+    lattice.pieces = {p: (ids, s - rnd.random()) for p, (ids, s) in lattice.pieces.items()}
+    lattice.trie = sentencepiece_nbest._trie({p: s for p, (_, s) in lattice.pieces.items()})
+    parts = ["".join(rnd.choice("▁theinorséß日") for _ in range(rnd.randint(2, 12))) for _ in range(300)] + ["international", "▁the", "日"]
+    expected = [lattice.search(part, 2) for part in parts]
+    passes, forward = [], lattice._forward
+    lattice._forward = lambda part: passes.append(part) or forward(part)
+    for part, two in zip(parts, expected):
+        ids, score, gap = lattice._part(part)
+        assert np.frombuffer(ids, "<u4").tolist() == list(two[0][1]) and score == pytest.approx(two[0][0])
+        assert gap == (pytest.approx(two[0][0] - two[1][0], abs=1e-6) if len(two) > 1 else math.inf)
+    # only rounding may look like a tie; the search's own pass is the exception
+    assert len(passes) < len(parts) // 2
+
+
 def test_nbest_of_a_very_long_word_takes_linear_memory():
     lattice = sentencepiece_nbest.PieceLattice(str(P.path("piece_bpe_32k.model")), memo=20)
     tracemalloc.start()
