@@ -66,8 +66,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: its columns but the text, the piece ids, the best segmentations, and the decoding check."""
     for name in [c for c in docs.columns if c.lower() in ADDED]:
         docs = docs.withColumnRenamed(name, free_name(docs, f"{name}_"))
-    coded = sentencepiece_nbest.encode_nbest(docs, vocabulary("piece_bpe_32k.model"), BEST, ids="piece_ids")
-    return coded.drop("text").withColumn("n_tokens", F.size("piece_ids").cast("long"))
+    coded = sentencepiece_nbest.encode_nbest(docs, vocabulary("piece_bpe_32k.model"), BEST, ids="piece_ids", keep_text=False)
+    return coded.withColumn("n_tokens", F.size("piece_ids").cast("long"))
 
 
 STAGES = [

@@ -71,7 +71,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the best segmentations' scores, lengths and checksums, and whether the best decodes to the text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece_nbest.encode_nbest(docs, vocabulary("piece_bpe_32k.model"), BEST, ids=None,
-                                            memo=700_000).select(
+                                            memo=700_000, keep_text=False).select(
         "doc_id", F.col("nbest")[0]["n_pieces"].alias("n_tokens"), "nbest", "decoded")
 
 

@@ -10,7 +10,8 @@ No piece joins two characters that no piece holds side by side, so the
 lattice falls apart there (at word starts, around punctuation): a text's
 best segmentation is its parts' best ones in a row, and its further ones
 swap a few parts for their next best. Parts repeat, so each task searches a
-distinct part once and the work per text is a lookup per word.
+distinct part once, as far as it remembers, and the work per text is a
+lookup per word.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import Memo, free_name, slices, text_or_empty
+from .common import free_name, slices, text_or_empty
 from .pieces import kept_in_worker
 
 SPACE = "▁"                  # how the model writes a space; fixed value
 UNKNOWN_PENALTY = 10.0       # below the lowest piece score, as in the public library; fixed value
+MET_PLACES = 1 << 21         # bytes by which a worker knows words that it met before
 
 
 _NO_PIECE = (None, None)
@@ -69,32 +71,55 @@ def _rank(found: tuple[float, tuple[int, ...]]) -> tuple[float, tuple[int, ...]]
 
 
 class _Words(dict):
-    """Number of each word seen; its ids, score and gap stand at that number."""
+    """Number of each word and part of a word seen; its ids, score and gap stand at that number.
+
+    From one text to the next it keeps up to ``limit`` of those that came up
+    in a text before (most words are rare; one that is met again is not).
+    """
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.kept = make, limit, 0
         self.ids: list[bytes] = []
         self.scores, self.gaps = array("d"), array("d")
-        self.late: list[str] = []
+        self.new: list[str] = []
+        self.met, self.marks = bytearray(MET_PLACES), 0
 
     def __missing__(self, word: str) -> int:
         ids, score, gap = self.make(word)
         number = self[word] = len(self.ids)
-        if number >= self.limit:
-            self.late.append(word)
+        self.new.append(word)
         self.ids.append(ids)
         self.scores.append(score)
         self.gaps.append(gap)
         return number
 
+    def _met(self, word: str) -> bool:
+        """Whether the word, or another with its place, was asked for since the marks were last wiped; marks it."""
+        place = hash(word) % MET_PLACES
+        if self.met[place]:
+            return True
+        self.met[place] = 1
+        self.marks += 1
+        if self.marks > MET_PLACES // 2:
+            self.met, self.marks = bytearray(MET_PLACES), 0
+        return False
+
     def trim(self) -> None:
-        """Forget what came after the first ``limit`` words (early words are the frequent ones)."""
-        if self.late:
-            for word in self.late:
+        """Forget the text's new words that no earlier text had or that find no room."""
+        kept = self.kept
+        found = list(zip(self.new, self.ids[kept:], self.scores[kept:], self.gaps[kept:]))
+        del self.ids[kept:], self.scores[kept:], self.gaps[kept:]
+        self.new.clear()
+        for word, ids, score, gap in found:
+            if self.kept < self.limit and self._met(word):
+                self[word] = self.kept
+                self.kept += 1
+                self.ids.append(ids)
+                self.scores.append(score)
+                self.gaps.append(gap)
+            else:
                 del self[word]
-            del self.ids[self.limit:], self.scores[self.limit:], self.gaps[self.limit:]
-            self.late.clear()
 
 
 class PieceLattice:
@@ -131,7 +156,6 @@ class PieceLattice:
         probe = "ﬁ Ⅷ é́ ａ\n\t ½"
         self.plain = self.normalize(probe) == SPACE + probe.replace(" ", SPACE)
         self.spaces_kept = self.normalize(" a  b ") == SPACE * 2 + "a" + SPACE * 2 + "b" + SPACE
-        self.parts = Memo(self._part, memo)
         self.words = _Words(self._word, memo)
 
     def _fallback(self, char: str) -> tuple[int, ...]:
@@ -288,11 +312,12 @@ class PieceLattice:
         return array("I", chain.from_iterable(reversed(path))).tobytes(), score, score - left
 
     def _word(self, word: str) -> tuple[bytes, float, float]:
-        parts = [self.parts[p] for p in self.cut(word)]
+        parts, known = self.cut(word), self.words
         if len(parts) == 1:
-            return parts[0]
-        ids, scores, gaps = zip(*parts)
-        return b"".join(ids), sum(scores), min(gaps)
+            return self._part(word)
+        numbers = [known[p] for p in parts]
+        return (b"".join([known.ids[k] for k in numbers]), sum([known.scores[k] for k in numbers]),
+                min([known.gaps[k] for k in numbers]))
 
     def split(self, text: str) -> list[str]:
         """Normalised text as words, each with the spaces before it."""
@@ -375,9 +400,11 @@ def lattice(path: str, memo: int = 250_000) -> PieceLattice:
 
 
 def encode_nbest(docs: DataFrame, model: str, n: int = 3, text_col: str = "text", ids: str | None = "ids",
-                 detail: str = "nbest", memo: int = 250_000) -> DataFrame:
+                 detail: str = "nbest", memo: int = 250_000, keep_text: bool = True) -> DataFrame:
     """``docs`` with all its columns plus the segmentations of each whole text; no shuffle.
 
+    Without ``keep_text`` the text column is left out.
+
     * ``ids`` (array of int): the best segmentation; None leaves it out;
     * ``detail``: array of up to ``n`` structs ``score, n_pieces, ids_crc32``,
       best first (CRC-32 of the ids as little-endian unsigned 32-bit integers);
@@ -385,9 +412,9 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, text_col: str = "text"
       model sees it (it writes U+2581 as a space).
 
     NULL counts as empty; the empty text has one segmentation without ids
-    and score 0. ``memo`` bounds the words, and the parts of words, whose
-    result a worker keeps (about 600 bytes for one of each); it changes the
-    time only. New columns must not exist yet. A tie between segmentations
+    and score 0. ``memo`` bounds the words and parts of words, together,
+    whose result a worker keeps (about 300 bytes each); it changes the time
+    only. New columns must not exist yet. A tie between segmentations
     of a word goes to the smaller ids, however many share the score; between
     words, to the earlier one. A search takes memory in proportion to the
     length of its part, however long that is.
@@ -396,14 +423,19 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, text_col: str = "text"
     clash = set(new) & set(docs.columns)
     if clash:
         raise ValueError(f"columns to be added exist already: {sorted(clash)}")
-    ready = docs.withColumn(free_name(docs, "input"), text_or_empty(text_col))
+    # a text goes to the worker once: as the column it is, else as a string beside it
+    own = [k for k, f in enumerate(docs.schema.fields) if f.name == text_col and isinstance(f.dataType, T.StringType)]
+    ready, at = (docs, own[0]) if len(own) == 1 else (docs.withColumn(free_name(docs, "input"), text_or_empty(text_col)), -1)
+    left_out = [] if keep_text else [c.lower() for c in docs.select(text_col).columns]
+    passed = [k for k, c in enumerate(docs.columns) if c.lower() not in left_out]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = lattice(model, memo)
         shape = pa.list_(pa.struct([("score", pa.float64()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64())]))
         for batch in slices(batches):
             best, details, same = [], [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
+            for text in batch.column(at).to_pylist():
+                text = text or ""
                 found = pieces.encode(text, n)
                 values = np.frombuffer(found[0][1], "<u4")
                 same.append(pieces.decode(values.tolist()) == seen_text(pieces, text))
@@ -411,11 +443,12 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, text_col: str = "text"
                 if ids:
                     best.append(values.astype(np.int32))
             made = ([pa.array(best, pa.list_(pa.int32()))] if ids else []) + [pa.array(details, shape), pa.array(same)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*batch.schema.names[:-1], *new])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, passed), *made],
+                                             [*map(batch.schema.names.__getitem__, passed), *new])
 
     entry = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("n_pieces", T.LongType()),
                           T.StructField("ids_crc32", T.LongType())])
-    fields = [*docs.schema.fields] + ([T.StructField(ids, T.ArrayType(T.IntegerType()))] if ids else [])
+    fields = [docs.schema.fields[k] for k in passed] + ([T.StructField(ids, T.ArrayType(T.IntegerType()))] if ids else [])
     return ready.mapInArrow(run, T.StructType([*fields, T.StructField(detail, T.ArrayType(entry)),
                                                T.StructField("decoded", T.BooleanType())]))
 

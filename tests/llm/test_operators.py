@@ -725,3 +725,26 @@ def test_sentencepiece(spark, odd_docs, no_docs):
         assert [n.score for n in r.nbest] == sorted((n.score for n in r.nbest), reverse=True)
         assert 1 <= len(r.nbest) <= 3 and (len(r.nbest) == 1 or r.text)
     assert sentencepiece_nbest.encode_nbest(no_docs, path).count() == 0
+
+
+def test_nbest_remembers_words_and_parts_in_one_bounded_table():
+    lattice = sentencepiece_nbest.PieceLattice(str(P.path("piece_bpe_32k.model")), memo=20)
+    fresh = sentencepiece_nbest.PieceLattice(str(P.path("piece_bpe_32k.model")), memo=0)
+    texts = [f"common, word{i} zx{i * 7919}q! (common)" for i in range(60)] * 2
+    for text in texts:
+        assert lattice.encode(text, 3) == fresh.encode(text, 3)
+        kept = [len(held) for held in vars(lattice).values() if hasattr(held, "limit")]
+        assert sum(kept) <= 20 and len(lattice.words.ids) == len(lattice.words) == len(lattice.words.scores)
+    assert "▁common," in lattice.words and not fresh.words
+
+
+def test_nbest_hands_a_text_over_once(odd_docs):
+    path = str(P.path("piece_bpe_32k.model"))
+    whole = sentencepiece_nbest.encode_nbest(odd_docs, path, 3)
+    handed = whole._jdf.queryExecution().analyzed().children().head().output()
+    assert handed.size() == len(odd_docs.columns)
+    slim = sentencepiece_nbest.encode_nbest(odd_docs, path, 3, keep_text=False)
+    assert slim.columns == [c for c in whole.columns if c != "text"]
+    assert sorted(map(str, slim.collect())) == sorted(map(str, whole.drop("text").collect()))
+    other = odd_docs.withColumn("text", F.col("text").cast("binary"))        # not a string yet
+    assert sorted(map(str, sentencepiece_nbest.encode_nbest(other, path, 3, keep_text=False).collect())) == sorted(map(str, slim.collect()))
