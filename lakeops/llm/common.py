@@ -74,7 +74,7 @@ BROADCAST_KEYS = 500_000          # rows of an id and a digest, about 20 MB
 
 def few_or_shuffled(keys: DataFrame) -> DataFrame:
     """A written table of keys, marked for broadcast if it is counted to be small; else joins shuffle both sides."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys.hint("merge")
 
 
 def drop(df: DataFrame, *paths: str) -> None:

@@ -109,10 +109,11 @@ def deduplicate(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", tex
     groups, _ = written(rows.groupBy("digest").agg(F.min("id").alias("keep_id"),
                                                    F.sum("copies").alias("group_size")), "digest-groups")
     index.add(groups, batch)
-    # stored, so that the join below shuffles both sides and a text in very many rows can be split
+    # stored, and joined by merging, so that the join below shuffles both sides (Spark would size the table by its
+    # compressed file, and broadcast it) and a text in very many rows can be split
     verdict, _ = written(groups.select("digest", "group_size").join(index.owners().hint("merge"), "digest"), "verdict")
     first = (F.col("batch") == batch) & F.col("id").eqNullSafe(F.col("keep_id"))
-    return (rows.join(verdict, "digest")
+    return (rows.join(verdict.hint("merge"), "digest")
             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast(LongType()), F.col("copies"))))
             .select(F.col("id").alias(id_col), "keep_id", "group_size",
                     (first & (F.col("copy") == 1)).alias("kept"),

@@ -137,7 +137,8 @@ def hamming_links(fps: DataFrame, max_bits: int = 2, segments: int = 2, heavy: i
     crowded, _ = written(crowded, "crowded")
     light = index.join(crowded, ["seg", "key"], "left_anti")
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    found = (probe.join(light, ["seg", "key"]).where((F.col("a") != F.col("b")) & (apart <= max_bits))
+    # Spark sizes an exploded side by the rows it came from and would broadcast the balls: both sides are shuffled
+    found = (probe.join(light.hint("merge"), ["seg", "key"]).where((F.col("a") != F.col("b")) & (apart <= max_bits))
              .select("a", "b"))
     reach = probe.join(crowded, ["seg", "key"], "left_semi").select(F.col("a").alias("fp")).distinct()
     return found.unionAll(_ball_links(reach, max_bits))
@@ -153,6 +154,7 @@ def _ball_links(fps: DataFrame, max_bits: int) -> DataFrame:
     inner = max_bits // 2
     near = fps.select(F.col("fp").alias("a"), _flips(F.col("fp"), _masks(BITS, inner)).alias("point"))
     least = near.groupBy("point").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1 or %d = 1" % (max_bits % 2))
+    least = least.hint("merge")                   # the balls are never broadcast, whatever Spark takes their size for
     edges = near.join(least, "point").where("a <> b").select("a", "b")
     if max_bits % 2:
         far = fps.select(F.col("fp").alias("a"),
@@ -201,7 +203,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed, _ = written(_groups(rows, max_bits, segments, heavy), "groups")
     # equal texts have equal fingerprints: id and digest together name one group
     counted, _ = written(rows.groupBy("id", "digest", "fp").agg(F.count(F.lit(1)).alias("copies"))
-                         .join(placed, "fp").select("id", "digest", "copies", "component", "component_id"), "placed-rows")
+                         .join(placed.hint("merge"), "fp").select("id", "digest", "copies", "component", "component_id"), "placed-rows")
     first = (counted.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component")
              .agg(F.min("digest").alias("first")))
     first, _ = written(first, "group-firsts")
