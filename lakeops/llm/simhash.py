@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows, _ = written(with_fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     of_fp = _groups(rows, max_bits, segments, heavy).select("fp", "component_id")
-    return (rows.join(of_fp, "fp")
+    return (rows.join(of_fp.hint("merge"), "fp")
             .select(F.col("id").alias(id_col),
                     F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 

@@ -1,6 +1,7 @@
 """What Spark may broadcast: it sizes exploded rows and compressed tables too low, the driver must not gather them."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,3 +86,10 @@ def test_covered_runs_of_texts_are_not_broadcast(spark):
     pairs = decontaminate.tiled_pairs(docs, benchmark)
     assert not [plan for plan in broadcasts(pairs) if "covered" in plan]
     assert pairs.count() == 30
+
+
+def test_rows_of_op1_are_not_broadcast(spark):
+    docs, _ = written(spark.range(500).selectExpr("id AS doc_id", "concat_ws(' ', 'some words of number', id % 50) AS text"), "test-docs")
+    near = simhash.near_duplicates(docs)
+    assert not [plan for plan in broadcasts(near) if re.search(r"Generate|FileScan parquet \[id#\d+L?,fp#", plan)]
+    assert near.count() == 500 and near.select("component_id").distinct().count() <= 50
